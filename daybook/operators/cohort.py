@@ -1,0 +1,17 @@
+"""Cohort pivots: conditional sums by day offset from a cohort date."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def offset_sums(k: Column, offsets: Iterable[int], value: Callable[[int], Column], name: str) -> list[Column]:
+    """``sum(CASE WHEN k = i THEN value(i) ELSE 0 END) AS {name}{i}`` for each offset.
+
+    One aggregate expression per offset; all of them are evaluated in a single
+    hash aggregation pass.
+    """
+    return [F.sum(F.when(k == F.lit(i), value(i)).otherwise(F.lit(0))).alias(f"{name}{i}") for i in offsets]
