@@ -5,11 +5,14 @@ The reference joins a (report day x segment) spine to member activity on
 range join multiplies every member-day by the days left in its month. Here:
 
 1. reduce activity to distinct (day, segment, member);
-2. per (month, segment, member) keep the first active day;
-3. count first days per (month, segment, day) and take a running sum over the
-   month (window partitions hold at most 31 rows);
-4. each running value holds until the next first day; explode that validity
-   span into days, keep the report days, and attach the plain daily count.
+2. flag each member's first active day of the month in that segment (a window
+   per (month, segment, member): at most 31 rows, whatever the volume);
+3. aggregate per (month, segment, day): members active that day and members
+   new to the month that day (partial aggregation before the shuffle);
+4. running sum of the new members over the month (at most 31 rows per
+   window partition); each running value holds until the segment's next
+   active day, so explode that span into days, keep the report days and take
+   the daily count only on the active day itself (0 elsewhere).
 
 The running sum covers every active day of the month window before the
 report-day filter, so a report starting mid-month still counts members first
@@ -43,33 +46,34 @@ def month_to_date_distinct(
     Rows exist where the month-to-date count is positive; the daily count may
     be zero.
     """
-    act = active.select("day", *SEG, "member_id").distinct()
-    act_m = act.withColumn("month", F.trunc("day", "month"))
-
-    new_per_day = (
-        act_m.groupBy("month", *SEG, "member_id")
-        .agg(F.min("day").alias("day"))
+    act = (
+        active.select("day", *SEG, "member_id")
+        .distinct()
+        .withColumn("month", F.trunc("day", "month"))
+    )
+    per_member = Window.partitionBy("month", *SEG, "member_id")
+    per_day = (
+        act.withColumn("is_new", (F.col("day") == F.min("day").over(per_member)).cast("int"))
         .groupBy("month", *SEG, "day")
-        .agg(F.count(F.lit(1)).alias("new_members"))
+        .agg(F.count(F.lit(1)).alias("daily"), F.sum("is_new").alias("new_members"))
     )
 
-    w = Window.partitionBy("month", *SEG).orderBy("day")
+    per_seg = Window.partitionBy("month", *SEG).orderBy("day")
     last_day = F.least(F.last_day("day"), F.lit(report_hi - timedelta(days=1)))
-    runs = (
-        new_per_day.withColumn("mtd", F.sum("new_members").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("until", F.coalesce(F.date_sub(F.lead("day").over(w), 1), last_day))
-        .select(*SEG, "mtd", F.explode(F.sequence("day", "until")).alias("day"))
-    )
-
-    daily = act.groupBy("day", *SEG).agg(F.count(F.lit(1)).alias("daily"))
-
-    return (
-        runs.join(report_days, "day")
-        .join(daily, ["day", *SEG], "left")
+    spans = (
+        per_day.withColumn("mtd", F.sum("new_members").over(per_seg.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("until", F.coalesce(F.date_sub(F.lead("day").over(per_seg), 1), last_day))
         .select(
-            F.col("day").alias(day_name),
             *SEG,
-            F.coalesce(F.col("daily"), F.lit(0)).cast("bigint").alias(daily_name),
-            F.col("mtd").cast("bigint").alias(mtd_name),
+            "mtd",
+            F.col("day").alias("active_day"),
+            "daily",
+            F.explode(F.sequence("day", "until")).alias("day"),
         )
     )
+    return spans.join(report_days, "day").select(
+        F.col("day").alias(day_name),
+        *SEG,
+        F.when(F.col("day") == F.col("active_day"), F.col("daily")).otherwise(F.lit(0)).cast("bigint").alias(daily_name),
+        F.col("mtd").cast("bigint").alias(mtd_name),
+    )
