@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 SEG = ["os_type", "country_code"]
 
 
+def row_weight(df: DataFrame) -> Column:
+    """Raw log rows a row stands for: ``n`` on pre-aggregated logs, else 1."""
+    return F.col("n") if "n" in df.columns else F.lit(1)
+
+
 def with_game(df: DataFrame, game_code: str) -> DataFrame:
     """Insert ``game_code`` as the first column."""
     return df.select(F.lit(game_code).alias("game_code"), *df.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from daybook.config import KpiConfig
 from daybook.functions.calendar import day_range, day_range_incl, local_date, scan_days
-from daybook.operators.activity import SEG, profile_segment, returning_days, seg_not_null, with_game
+from daybook.operators.activity import SEG, profile_segment, returning_days, row_weight, seg_not_null, with_game
 from daybook.operators.cohort import offset_sums
 from daybook.operators.month_to_date import month_to_date_distinct
 from daybook.operators.running import running_sum
@@ -179,10 +179,11 @@ def _sales(bill: DataFrame, period: F.Column, per_member: bool) -> DataFrame:
         "market",
         F.col("product_id").alias("product_idx"),
         "amount",
+        row_weight(bill).alias("n"),
     )
     inner_keys = ["period", *SALES_KEYS] + (["member_id"] if per_member else [])
     inner = rows.groupBy(*inner_keys).agg(
-        F.count(F.lit(1)).alias("sales_count"), F.sum("amount").alias("real_cash_kr")
+        F.sum("n").alias("sales_count"), F.sum("amount").alias("real_cash_kr")
     )
     return inner.groupBy("period", *SALES_KEYS).agg(
         F.count(F.lit(1)).alias("user_count"),

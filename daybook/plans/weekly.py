@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daybook.config import KpiConfig
 from daybook.functions.calendar import local_date, scan_days, week_range, week_start
-from daybook.operators.activity import SEG, pick_first, with_game
+from daybook.operators.activity import SEG, pick_first, row_weight, with_game
 from daybook.plans.daily import _defaulted_seg, _sales
 from daybook.sources.tables import Sources
 
@@ -72,7 +72,7 @@ def eru_week(cfg: KpiConfig, src: Sources) -> DataFrame:
     te = (
         _week_scan(cfg, src.tutorial_end, "log_ts")
         .groupBy("member_id", F.to_date("log_ts").alias("day"), *SEG)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(row_weight(src.tutorial_end)).alias("n"))
     )
     mi = _new_members_week(cfg, src).select("member_id", F.col("reg_date").alias("day"))
     out = (
