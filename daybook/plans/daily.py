@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from daybook.config import KpiConfig
 from daybook.functions.calendar import day_range, day_range_incl, local_date, scan_days
 from daybook.operators.activity import SEG, profile_segment, returning_days, row_weight, seg_not_null, with_game
-from daybook.operators.cohort import offset_sums
 from daybook.operators.month_to_date import month_to_date_distinct
 from daybook.operators.running import running_sum
 from daybook.operators.spine import bounded_days, expand_days
@@ -26,6 +25,7 @@ from daybook.sources.tables import Sources
 
 MONEY_SUM = T.DecimalType(38, 2)
 RETENTION_DAYS = 30
+COHORT_K = -1  # offset marking a cohort-membership row in retention_day
 
 
 def _new_members(cfg: KpiConfig, src: Sources, lo_exclusive=None, hi_exclusive=None) -> DataFrame:
@@ -302,30 +302,45 @@ def retention_day(cfg: KpiConfig, src: Sources) -> DataFrame:
         .join(src.profile.select("member_id", *SEG), "member_id", "inner")
         .select("member_id", "reg_date", *SEG)
     )
-    sizes = cohort.groupBy("reg_date", *SEG).agg(F.count(F.lit(1)).alias("user_count"))
-
     activity = member_day_activity(cfg, src, lo + timedelta(days=1), hi)
     k = F.datediff(F.col("day"), F.col("reg_date"))
-    joined = (
+    # one row per (member, active day k = 0..30) ...
+    active = (
         cohort.join(activity, "member_id", "inner")
-        .withColumn("k", k)
+        .select(
+            "reg_date",
+            *SEG,
+            k.alias("k"),
+            F.when(F.col("logged") == 1, 1).otherwise(0).alias("u"),
+            F.coalesce(F.col("amount"), F.lit(0)).cast(MONEY_SUM).alias("s"),
+        )
         .filter((F.col("k") >= 0) & (F.col("k") <= RETENTION_DAYS))
     )
-    users = offset_sums(
-        F.col("k"), range(1, RETENTION_DAYS + 1), lambda i: F.when(F.col("logged") == 1, 1).otherwise(0), "user_"
+    # ... plus one row per cohort member at k = -1, which counts the cohort and
+    # keeps cohorts without any activity.
+    members = cohort.select("reg_date", *SEG, F.lit(COHORT_K).alias("k"), F.lit(1).alias("u"), F.lit(0).cast(MONEY_SUM).alias("s"))
+    per_k = (
+        active.unionByName(members)
+        .groupBy("reg_date", *SEG, "k")
+        .agg(F.sum("u").alias("u"), F.sum("s").alias("s"))
     )
-    money = offset_sums(
-        F.col("k"), range(0, RETENTION_DAYS + 1), lambda i: F.coalesce(F.col("amount"), F.lit(0)), "sales_"
+    # narrow aggregate first, then a pivot of the (cohort x offset) rows
+    wide = (
+        per_k.groupBy("reg_date", *SEG)
+        .pivot("k", [COHORT_K] + list(range(RETENTION_DAYS + 1)))
+        .agg(F.first("u").alias("u"), F.first("s").alias("s"))
     )
-    per_cohort = joined.groupBy("reg_date", *SEG).agg(*users, *money)
-
-    measures = [f"user_{i}" for i in range(1, RETENTION_DAYS + 1)] + [f"sales_{i}" for i in range(RETENTION_DAYS + 1)]
-
-    def measure(name: str):
-        typ = "bigint" if name.startswith("user_") else MONEY_SUM
-        return F.when(seg_not_null(), F.coalesce(F.col(name), F.lit(0))).cast(typ).alias(name)
 
-    out = sizes.join(per_cohort, ["reg_date", *SEG], "left").select(
-        F.col("reg_date").alias("division_date"), *SEG, "user_count", *[measure(n) for n in measures]
+    def measure(i: int, kind: str):
+        v = F.col(f"{i}_{kind}")
+        name, typ = (f"user_{i}", "bigint") if kind == "u" else (f"sales_{i}", MONEY_SUM)
+        return F.when(seg_not_null(), F.coalesce(v, F.lit(0))).cast(typ).alias(name)
+
+    out = wide.select(
+        F.col("reg_date").alias("division_date"),
+        *SEG,
+        F.col(f"{COHORT_K}_u").cast("bigint").alias("user_count"),
+        *[measure(i, "u") for i in range(1, RETENTION_DAYS + 1)],
+        *[measure(i, "s") for i in range(0, RETENTION_DAYS + 1)],
     )
     return with_game(out, cfg.game_code)
