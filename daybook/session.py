@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -32,15 +30,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) is ``fallback``
-    (or a fresh folder under the system temp dir) installed.
+    A cluster names it in the session config. Only when it is unset is
+    ``fallback`` installed, or, on a local master (tests), a fresh folder under
+    the system temp dir; a cluster without the setting is an error, because a
+    machine-local folder would not survive the loss of that machine.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf or fallback
+    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if target is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         import tempfile
 
         target = tempfile.mkdtemp(prefix="daybook-ckpt-")
