@@ -11,7 +11,10 @@ One run of ``run_jobs`` does, for each job in order:
 3. skip the job when the result is empty (the reference does the same);
 4. merge it into the stored table with ``replace_range`` (delete the
    recomputed range, replace equal keys) and commit a new table version;
-5. advance the bookmark to the largest date produced, after the write.
+5. advance the bookmark to the largest date produced, after the write;
+6. with ``backup_root`` set, snapshot as CSV the member-level rows behind
+   ``nru_day`` (``nru_backup/<start>``) and the ``dau_day`` result
+   (``dau_backup/<start>``), overwriting an earlier snapshot of the same start.
 
 Shared reductions: each log is scanned once per run over the union of all
 jobs' windows and reduced to (member, local day, segment[, market, product])
@@ -35,7 +38,7 @@ from daybook.operators.activity import SEG
 from daybook.operators.incremental import BOOKMARK_SCHEMA, advance_bookmark, read_bookmark, replace_range
 from daybook.plans import daily, weekly
 from daybook.session import checkpoint_dir
-from daybook.sources.sinks import TableStore
+from daybook.sources.sinks import TableStore, backup_csv
 from daybook.sources.tables import Sources
 
 DAY = timedelta(days=1)
@@ -139,7 +142,20 @@ def scan_window(cfgs: list[KpiConfig]) -> tuple[date, date]:
     return lo, hi
 
 
-def run_jobs(spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig, jobs: list[Job]) -> dict[str, str | None]:
+BACKUPS: dict[str, Callable[[KpiConfig, Sources, DataFrame], DataFrame]] = {
+    "nru_day": lambda cfg, src, result: daily.nru_backup_rows(cfg, src),
+    "dau_day": lambda cfg, src, result: result,
+}
+
+
+def run_jobs(
+    spark: SparkSession,
+    store: TableStore,
+    src: Sources,
+    base: KpiConfig,
+    jobs: list[Job],
+    backup_root: str | None = None,
+) -> dict[str, str | None]:
     """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped)."""
     checkpoint_dir(spark)
     bookmarks = store.read("bookmark", BOOKMARK_SCHEMA)
@@ -166,11 +182,16 @@ def run_jobs(spark: SparkSession, store: TableStore, src: Sources, base: KpiConf
         store.commit("bookmark", marks, partitions=1)
         bookmarks = store.read("bookmark")
         out[job.table] = read_bookmark(bookmarks, cfg.game_code, job.name, job.kind, "")
+        if backup_root and job.table in BACKUPS:
+            folder = job.table.split("_")[0]
+            backup_csv(BACKUPS[job.table](cfg, src, result), f"{backup_root.rstrip('/')}/{folder}_backup/{cfg.start.isoformat()}")
     return out
 
 
-def run_daily(spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, DAILY_JOBS)
+def run_daily(
+    spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig, backup_root: str | None = None
+) -> dict[str, str | None]:
+    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root)
 
 
 def run_weekly(spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig) -> dict[str, str | None]:

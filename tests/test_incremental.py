@@ -138,3 +138,16 @@ def test_runner_incremental_equals_full_and_rerun_is_idempotent(spark):
     assert _tables(inc) == want
     assert spark_rows(inc.read("bookmark")) == spark_rows(full.read("bookmark"))
     assert inc.read("bookmark").schema == BOOKMARK_SCHEMA
+
+
+def test_runner_csv_backups(spark):
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="daybook-bk-"))
+    backups = tempfile.mkdtemp(prefix="daybook-csv-")
+    jobs = [j for j in runner.DAILY_JOBS if j.table in ("nru_day", "dau_day")]
+    runner.run_jobs(spark, store, src, CFG, jobs, backup_root=backups)
+    nru_rows = spark.read.option("header", True).csv(f"{backups}/nru_backup/2024-01-01")
+    assert nru_rows.columns == ["division_date", "member_id", "os_type", "country_code", "member_name"]
+    assert nru_rows.count() == daily.nru_backup_rows(CFG, src).count() > 0
+    dau = spark.read.option("header", True).csv(f"{backups}/dau_backup/2024-01-01")
+    assert dau.count() == store.read("dau_day").count() > 0
