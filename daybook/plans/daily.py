@@ -125,10 +125,10 @@ def eru_day(cfg: KpiConfig, src: Sources) -> DataFrame:
         .distinct()
     )
     mi = _new_members(cfg, src).join(src.profile.select("member_id", *SEG), "member_id", "inner")
-    j = te.join(
-        mi.select("member_id", F.col("reg_date").alias("division_date"), *SEG),
-        ["member_id", "division_date"],
-        "inner",
+    # equi-join on the member only (one registration day each), then the day
+    # condition: inputs partitioned by member stay co-partitioned
+    j = te.join(mi.select("member_id", "reg_date", *SEG), "member_id", "inner").filter(
+        F.col("division_date") == F.col("reg_date")
     )
     out = (
         j.select("division_date", "member_id", *SEG)
@@ -277,50 +277,34 @@ def ru_day_incremental(cfg: KpiConfig, src: Sources, prior: DataFrame) -> DataFr
 # logging in on day k = 1..30 and cohort money on day k = 0..30. A cohort
 # with a NULL segment keeps user_count; its other measures are NULL.
 # --------------------------------------------------------------------------
-def member_day_activity(cfg: KpiConfig, src: Sources, lo_inclusive, hi_exclusive) -> DataFrame:
-    """One row per (member_id, day): ``logged`` (1 if any login) and ``amount``."""
-    logins = scan_days(src.login, "login_ts", lo_inclusive, hi_exclusive).select(
-        "member_id",
-        F.to_date("login_ts").alias("day"),
-        F.lit(1).alias("logged"),
-        F.lit(None).cast(src.billing.schema["amount"].dataType).alias("amount"),
-    )
-    sales = scan_days(src.billing, "log_ts", lo_inclusive, hi_exclusive).select(
-        "member_id", F.to_date("log_ts").alias("day"), F.lit(None).cast("int").alias("logged"), "amount"
-    )
-    return (
-        logins.unionByName(sales)
-        .groupBy("member_id", "day")
-        .agg(F.max("logged").alias("logged"), F.sum("amount").alias("amount"))
-    )
-
-
 def retention_day(cfg: KpiConfig, src: Sources) -> DataFrame:
     lo, hi = cfg.retention_day_lo, cfg.day_hi
+    act_lo = lo + timedelta(days=1)
     cohort = (
         _new_members(cfg, src, lo_exclusive=lo)
         .join(src.profile.select("member_id", *SEG), "member_id", "inner")
         .select("member_id", "reg_date", *SEG)
     )
-    activity = member_day_activity(cfg, src, lo + timedelta(days=1), hi)
-    k = F.datediff(F.col("day"), F.col("reg_date"))
-    # one row per (member, active day k = 0..30) ...
-    active = (
-        cohort.join(activity, "member_id", "inner")
-        .select(
-            "reg_date",
-            *SEG,
-            k.alias("k"),
-            F.when(F.col("logged") == 1, 1).otherwise(0).alias("u"),
-            F.coalesce(F.col("amount"), F.lit(0)).cast(MONEY_SUM).alias("s"),
-        )
-        .filter((F.col("k") >= 0) & (F.col("k") <= RETENTION_DAYS))
+    # member-day reductions of each log (no shuffle when the logs are
+    # partitioned by member), each joined to the cohort on the member
+    login_days = scan_days(src.login, "login_ts", act_lo, hi).select("member_id", F.to_date("login_ts").alias("day")).distinct()
+    sales_days = (
+        scan_days(src.billing, "log_ts", act_lo, hi)
+        .groupBy("member_id", F.to_date("log_ts").alias("day"))
+        .agg(F.sum("amount").alias("amount"))
     )
-    # ... plus one row per cohort member at k = -1, which counts the cohort and
-    # keeps cohorts without any activity.
-    members = cohort.select("reg_date", *SEG, F.lit(COHORT_K).alias("k"), F.lit(1).alias("u"), F.lit(0).cast(MONEY_SUM).alias("s"))
+    k = F.datediff(F.col("day"), F.col("reg_date")).alias("k")
+    zero = F.lit(0).cast(MONEY_SUM)
+    logged = cohort.join(login_days, "member_id").select("reg_date", *SEG, k, F.lit(1).alias("u"), zero.alias("s"))
+    paid = cohort.join(sales_days, "member_id").select("reg_date", *SEG, k, F.lit(0).alias("u"), F.col("amount").cast(MONEY_SUM).alias("s"))
+    in_range = (F.col("k") >= 0) & (F.col("k") <= RETENTION_DAYS)
+    # plus one row per cohort member at k = -1, which counts the cohort and
+    # keeps cohorts without any activity
+    members = cohort.select("reg_date", *SEG, F.lit(COHORT_K).alias("k"), F.lit(1).alias("u"), zero.alias("s"))
     per_k = (
-        active.unionByName(members)
+        logged.filter(in_range)
+        .unionByName(paid.filter(in_range))
+        .unionByName(members)
         .groupBy("reg_date", *SEG, "k")
         .agg(F.sum("u").alias("u"), F.sum("s").alias("s"))
     )

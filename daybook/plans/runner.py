@@ -21,10 +21,18 @@ jobs' windows and reduced to (member, local day, segment[, market, product])
 grain with a partial aggregate; every metric reads the reduced tables, whose
 semantics are exact for all metrics (login keeps the smallest day sequence,
 billing and tutorial rows keep their count ``n`` and money sum).
+
+Co-location: the reduced logs, ``member`` and ``profile`` are written once per
+run as tables bucketed by ``member_id`` into a run folder under the shared
+checkpoint directory. Every member-keyed join and member-level distinct of
+every metric then reads both sides already partitioned alike and plans no
+shuffle for them; the written tables also cut the lineage back to the raw logs.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -148,6 +156,29 @@ BACKUPS: dict[str, Callable[[KpiConfig, Sources, DataFrame], DataFrame]] = {
 }
 
 
+def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) -> tuple[Sources, list[str]]:
+    """Write every source as a table bucketed by ``member_id``; read them back.
+
+    Rows are hash-partitioned into ``buckets`` first, so each task writes one
+    bucket file. Logs must already be reduced (a hot member then reaches the
+    shuffle as a few pre-aggregated rows).
+    """
+    run_id = uuid.uuid4().hex[:12]
+    frames, tables = {}, []
+    for name, df in src.items():
+        table = f"daybook_work_{run_id}_{name}"
+        (
+            df.repartition(buckets, "member_id")
+            .write.bucketBy(buckets, "member_id")
+            .option("path", f"{work_root.rstrip('/')}/{run_id}/{name}")
+            .mode("errorifexists")
+            .saveAsTable(table)
+        )
+        frames[name] = spark.table(table)
+        tables.append(table)
+    return Sources(**frames), tables
+
+
 def run_jobs(
     spark: SparkSession,
     store: TableStore,
@@ -155,19 +186,27 @@ def run_jobs(
     base: KpiConfig,
     jobs: list[Job],
     backup_root: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, str | None]:
-    """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped)."""
-    checkpoint_dir(spark)
+    """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped).
+
+    ``buckets`` sets the co-location bucket count (default: the session's
+    ``spark.sql.shuffle.partitions``).
+    """
+    ckpt = checkpoint_dir(spark)
     bookmarks = store.read("bookmark", BOOKMARK_SCHEMA)
     cfgs = {job.table: job_config(base, job, bookmarks) for job in jobs}
     lo, hi = scan_window(list(cfgs.values()))
-    reduced = reduce_logs(src, lo, hi)
-    reduced = reduced.replace(
-        login=reduced.login.checkpoint(eager=True),
-        billing=reduced.billing.checkpoint(eager=True),
-        tutorial_end=reduced.tutorial_end.checkpoint(eager=True),
-    )
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    reduced, work_tables = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
+    try:
+        return _run(spark, store, reduced, cfgs, jobs, bookmarks, backup_root)
+    finally:
+        for t in work_tables:
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
 
+def _run(spark, store, reduced, cfgs, jobs, bookmarks, backup_root) -> dict[str, str | None]:
     out: dict[str, str | None] = {}
     for job in jobs:
         cfg = cfgs[job.table]
@@ -184,15 +223,22 @@ def run_jobs(
         out[job.table] = read_bookmark(bookmarks, cfg.game_code, job.name, job.kind, "")
         if backup_root and job.table in BACKUPS:
             folder = job.table.split("_")[0]
-            backup_csv(BACKUPS[job.table](cfg, src, result), f"{backup_root.rstrip('/')}/{folder}_backup/{cfg.start.isoformat()}")
+            backup_csv(BACKUPS[job.table](cfg, reduced, result), f"{backup_root.rstrip('/')}/{folder}_backup/{cfg.start.isoformat()}")
     return out
 
 
 def run_daily(
-    spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig, backup_root: str | None = None
+    spark: SparkSession,
+    store: TableStore,
+    src: Sources,
+    base: KpiConfig,
+    backup_root: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root)
+    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets)
 
 
-def run_weekly(spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, WEEKLY_JOBS)
+def run_weekly(
+    spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig, buckets: int | None = None
+) -> dict[str, str | None]:
+    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets)

@@ -74,9 +74,11 @@ def eru_week(cfg: KpiConfig, src: Sources) -> DataFrame:
         .groupBy("member_id", F.to_date("log_ts").alias("day"), *SEG)
         .agg(F.sum(row_weight(src.tutorial_end)).alias("n"))
     )
-    mi = _new_members_week(cfg, src).select("member_id", F.col("reg_date").alias("day"))
+    mi = _new_members_week(cfg, src).select("member_id", "reg_date")
+    # equi-join on the member only (one registration day each), then the day
     out = (
-        te.join(mi, ["member_id", "day"], "inner")
+        te.join(mi, "member_id", "inner")
+        .filter(F.col("day") == F.col("reg_date"))
         .groupBy(week_start("day").alias("division_week"), *SEG)
         .agg(F.sum("n").cast("bigint").alias("eru"))
     )

@@ -84,3 +84,29 @@ def test_member_window_pushes_to_scan(stored):
     root, src = stored
     scans = [s for t, s in _scans(_plan(catalog.metric("nru_day", CFG, src)), root) if t == "member"]
     assert any("GreaterThanOrEqual(reg_utc" in s for s in scans)
+
+
+@pytest.fixture(scope="module")
+def colocated(spark):
+    from daybook.plans import runner
+    from daybook.session import checkpoint_dir
+
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    lo, hi = runner.scan_window([CFG])
+    red, tables = runner.colocate(spark, runner.reduce_logs(src, lo, hi), f"{checkpoint_dir(spark)}/plans-work", 4)
+    yield red
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+@pytest.mark.parametrize("name", catalog.METRICS)
+def test_colocated_sources_need_no_member_shuffle(spark, colocated, name):
+    """With sources bucketed by member (the runner's layout), no metric
+    shuffles on member_id: joins and member-level distincts are co-partitioned."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force sort-merge joins, as at scale
+    try:
+        plan = _plan(catalog.metric(name, CFG, colocated))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keyed = re.findall(r"Exchange hashpartitioning\(member_id", plan)
+    assert not keyed, plan
