@@ -45,6 +45,11 @@ def _ts(d: date) -> datetime:
     return datetime.combine(d, time())
 
 
+def ntz(t: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal, independent of the session and process time zones."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def day_range(ts, lo_exclusive: date, hi_exclusive: date, hours: int = 0) -> Column:
     """Predicate ``lo < local_date(ts, hours) < hi`` expressed on the raw column.
 
@@ -54,7 +59,7 @@ def day_range(ts, lo_exclusive: date, hi_exclusive: date, hours: int = 0) -> Col
     lo_ts = _ts(lo_exclusive + timedelta(days=1)) - timedelta(hours=hours)
     hi_ts = _ts(hi_exclusive) - timedelta(hours=hours)
     c = _c(ts)
-    return (c >= F.lit(lo_ts)) & (c < F.lit(hi_ts))
+    return (c >= ntz(lo_ts)) & (c < ntz(hi_ts))
 
 
 def day_range_incl(ts, lo_inclusive: date, hi_exclusive: date, hours: int = 0) -> Column:
