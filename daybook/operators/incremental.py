@@ -70,3 +70,17 @@ def advance_bookmark(bookmarks: DataFrame, game_code: str, job: str, kind: str,
     )
     kept = bookmarks.join(latest.select(*BOOKMARK_KEYS), BOOKMARK_KEYS, "left_anti")
     return kept.unionByName(latest)
+
+
+def bookmark_values(bookmarks: DataFrame) -> dict[tuple[str, str, str], str]:
+    """The bookmark table as {(game, job, kind): value}.
+
+    A control table with one row per game, job and kind, so collecting it is
+    bounded by the number of jobs, not by data volume.
+    """
+    return {(r["game_code"], r["job"], r["kind"]): r["value"] for r in bookmarks.collect()}
+
+
+def bookmarks_frame(spark: SparkSession, values: dict[tuple[str, str, str], str]) -> DataFrame:
+    rows = [(g, j, k, v) for (g, j, k), v in sorted(values.items())]
+    return spark.createDataFrame(rows, BOOKMARK_SCHEMA)

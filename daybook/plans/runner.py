@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from daybook.config import KpiConfig
 from daybook.functions.calendar import scan_days
 from daybook.operators.activity import SEG
-from daybook.operators.incremental import BOOKMARK_SCHEMA, advance_bookmark, read_bookmark, replace_range
+from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame, replace_range
 from daybook.plans import daily, weekly
 from daybook.session import checkpoint_dir
 from daybook.sources.sinks import TableStore, backup_csv
@@ -135,9 +135,9 @@ def reduce_logs(src: Sources, lo_inclusive: date, hi_exclusive: date) -> Sources
     return src.replace(login=login, billing=billing, tutorial_end=tutorial)
 
 
-def job_config(base: KpiConfig, job: Job, bookmarks: DataFrame) -> KpiConfig:
+def job_config(base: KpiConfig, job: Job, marks: dict[tuple[str, str, str], str]) -> KpiConfig:
     default = base.start if job.kind == "day" else base.week_start
-    mark = read_bookmark(bookmarks, base.game_code, job.name, job.kind, default.isoformat())
+    mark = marks.get((base.game_code, job.name, job.kind)) or default.isoformat()
     return base.replace(start=mark) if job.kind == "day" else base.replace(week_start=mark)
 
 
@@ -194,33 +194,34 @@ def run_jobs(
     ``spark.sql.shuffle.partitions``).
     """
     ckpt = checkpoint_dir(spark)
-    bookmarks = store.read("bookmark", BOOKMARK_SCHEMA)
-    cfgs = {job.table: job_config(base, job, bookmarks) for job in jobs}
+    marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA))
+    cfgs = {job.table: job_config(base, job, marks) for job in jobs}
     lo, hi = scan_window(list(cfgs.values()))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     reduced, work_tables = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
     try:
-        return _run(spark, store, reduced, cfgs, jobs, bookmarks, backup_root)
+        return _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
     finally:
         for t in work_tables:
             spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
-def _run(spark, store, reduced, cfgs, jobs, bookmarks, backup_root) -> dict[str, str | None]:
+def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str | None]:
     out: dict[str, str | None] = {}
     for job in jobs:
         cfg = cfgs[job.table]
         result = job.compute(cfg, reduced, store).checkpoint(eager=True)
-        if result.isEmpty():
-            out[job.table] = None
+        # one aggregate answers both "empty?" and "new bookmark"
+        latest = result.agg(F.max(job.date_col).cast("string")).first()[0]
+        out[job.table] = latest
+        if latest is None:
             continue
         current = store.read(job.table, result.schema)
         merged = replace_range(current, result, cfg.game_code, job.cutoff(cfg), job.keys, job.date_col)
         store.commit(job.table, merged)
-        marks = advance_bookmark(bookmarks, cfg.game_code, job.name, job.kind, result, job.date_col)
-        store.commit("bookmark", marks, partitions=1)
-        bookmarks = store.read("bookmark")
-        out[job.table] = read_bookmark(bookmarks, cfg.game_code, job.name, job.kind, "")
+        # the bookmark moves only after the table version is committed
+        marks[(cfg.game_code, job.name, job.kind)] = latest
+        store.commit("bookmark", bookmarks_frame(spark, marks), partitions=1)
         if backup_root and job.table in BACKUPS:
             folder = job.table.split("_")[0]
             backup_csv(BACKUPS[job.table](cfg, reduced, result), f"{backup_root.rstrip('/')}/{folder}_backup/{cfg.start.isoformat()}")

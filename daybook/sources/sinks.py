@@ -7,6 +7,10 @@ in one Spark job. Spark's output committer publishes the files only when the
 job succeeds, so readers (who take the highest version) see either the old
 or the new table, never a half-written one; and a table is never overwritten
 while it is being read. Older versions stay as snapshots.
+
+One writer per store is assumed (the runner of a game); the store remembers
+the versions it has seen or written, so only the first access to a table
+lists its folder.
 """
 
 from __future__ import annotations
@@ -20,12 +24,18 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._versions: dict[str, list[int]] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def versions(self, table: str) -> list[int]:
         """Committed version numbers (partition discovery over ``v=<n>``)."""
+        if table not in self._versions:
+            self._versions[table] = self._list(table)
+        return list(self._versions[table])
+
+    def _list(self, table: str) -> list[int]:
         try:
             df = self.spark.read.parquet(self.path(table))
         except AnalysisException:
@@ -52,6 +62,7 @@ class TableStore:
         v = (vs[-1] + 1) if vs else 1
         out = df.coalesce(partitions) if partitions else df
         out.write.mode("errorifexists").parquet(f"{self.path(table)}/v={v}")
+        self._versions[table] = vs + [v]
         return v
 
 
