@@ -151,3 +151,33 @@ def test_runner_csv_backups(spark):
     assert nru_rows.count() == daily.nru_backup_rows(CFG, src).count() > 0
     dau = spark.read.option("header", True).csv(f"{backups}/dau_backup/2024-01-01")
     assert dau.count() == store.read("dau_day").count() > 0
+
+
+def test_two_games_share_a_store(spark):
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="daybook-games-"))
+    jobs = [j for j in runner.DAILY_JOBS if j.table in ("nru_day", "sales_day")]
+    runner.run_jobs(spark, store, src, CFG.replace(game_code="g1"), jobs)
+    runner.run_jobs(spark, store, src, CFG.replace(game_code="g2"), jobs)
+    # a rerun of g1 replaces only g1's range
+    runner.run_jobs(spark, store, src, CFG.replace(game_code="g1"), jobs)
+    for table in ("nru_day", "sales_day"):
+        df = store.read(table)
+        g1 = spark_rows(df.filter("game_code = 'g1'").drop("game_code"))
+        g2 = spark_rows(df.filter("game_code = 'g2'").drop("game_code"))
+        assert g1 == g2 and len(g1) > 0
+    marks = {(r["game_code"], r["job"]) for r in store.read("bookmark").collect()}
+    assert marks == {("g1", "nru"), ("g1", "sales"), ("g2", "nru"), ("g2", "sales")}
+
+
+def test_command_line_daily_run(spark):
+    from daybook.__main__ import main
+    from daybook.sources.tables import write_sources
+
+    root = tempfile.mkdtemp(prefix="daybook-cli-")
+    write_sources(fixture_sources(spark, "/root/testdata/sf0.001"), f"{root}/sources")
+    out = main(["daily", "--sources", f"{root}/sources", "--store", f"{root}/store", "--game", "game01",
+                "--as-of", "2024-01-31 00:00", "--start", "2024-01-01"])
+    assert out["dau_day"] == "2024-01-30" and out["retention_day"] == "2024-01-04"
+    store = TableStore(spark, f"{root}/store")
+    assert spark_rows(store.read("dau_day")) == spark_rows(daily.dau_day(CFG, fixture_sources(spark, "/root/testdata/sf0.001")))
