@@ -24,10 +24,6 @@ def with_game(df: DataFrame, game_code: str) -> DataFrame:
     return df.select(F.lit(game_code).alias("game_code"), *df.columns)
 
 
-def seg_has_null() -> Column:
-    return F.col("os_type").isNull() | F.col("country_code").isNull()
-
-
 def seg_not_null() -> Column:
     return F.col("os_type").isNotNull() & F.col("country_code").isNotNull()
 
