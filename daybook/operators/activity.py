@@ -39,7 +39,8 @@ def profile_segment(profile: DataFrame, prefix: str = "p_") -> DataFrame:
 def returning_days(first_days: DataFrame, gap_days: int = 7) -> DataFrame:
     """Keep (member_id, day) rows with no earlier day of the member within ``gap_days``.
 
-    ``first_days`` holds distinct (member_id, day). "No activity in
+    ``first_days`` holds (member_id, day) rows; a repeated (member, day) row
+    has a gap of 0 to its twin, so at most one copy is kept. "No activity in
     [day - gap, day - 1]" is "previous active day is missing or more than
     ``gap`` days back", so one ``lag`` per member replaces the anti join. The
     window partitions by member over distinct days only, so a member's

@@ -4,12 +4,13 @@ The reference joins a (report day x segment) spine to member activity on
 "same month and activity day <= report day" and counts members per cell. That
 range join multiplies every member-day by the days left in its month. Here:
 
-1. reduce activity to distinct (day, segment, member);
-2. flag each member's first active day of the month in that segment (a window
-   per (month, segment, member): at most 31 rows, whatever the volume);
-3. aggregate per (month, segment, day): members active that day and members
-   new to the month that day (partial aggregation before the shuffle);
-4. running sum of the new members over the month (at most 31 rows per
+1. per (month, segment, member) one aggregate: the first active day and the
+   set of active days (at most 31 dates, whatever the volume; both combine
+   map-side, and need no shuffle when the input is partitioned by member);
+2. explode the day sets and aggregate per (month, segment, day): members
+   active that day and members new to the month that day (partial
+   aggregation before the shuffle);
+3. running sum of the new members over the month (at most 31 rows per
    window partition); each running value holds until the segment's next
    active day, so explode that span into days, keep the report days and take
    the daily count only on the active day itself (0 elsewhere).
@@ -46,16 +47,17 @@ def month_to_date_distinct(
     Rows exist where the month-to-date count is positive; the daily count may
     be zero.
     """
-    act = (
-        active.select("day", *SEG, "member_id")
-        .distinct()
-        .withColumn("month", F.trunc("day", "month"))
+    per_member = (
+        active.groupBy(F.trunc("day", "month").alias("month"), *SEG, "member_id")
+        .agg(F.min("day").alias("first_day"), F.collect_set("day").alias("days"))
     )
-    per_member = Window.partitionBy("month", *SEG, "member_id")
     per_day = (
-        act.withColumn("is_new", (F.col("day") == F.min("day").over(per_member)).cast("int"))
+        per_member.select("month", *SEG, "first_day", F.explode("days").alias("day"))
         .groupBy("month", *SEG, "day")
-        .agg(F.count(F.lit(1)).alias("daily"), F.sum("is_new").alias("new_members"))
+        .agg(
+            F.count(F.lit(1)).alias("daily"),
+            F.sum((F.col("day") == F.col("first_day")).cast("int")).alias("new_members"),
+        )
     )
 
     per_seg = Window.partitionBy("month", *SEG).orderBy("day")

@@ -70,12 +70,13 @@ def nru_backup_rows(cfg: KpiConfig, src: Sources) -> DataFrame:
 def dau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
     lo, hi = cfg.day_lo, cfg.day_hi
     first = scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", cfg.month_lo, hi)
+    # a member's first login of a day is one row per member-day already
     login_days = first.select(
         "member_id",
         F.to_date("login_ts").alias("day"),
         F.col("os_type").alias("l_os_type"),
         F.col("country_code").alias("l_country_code"),
-    ).distinct()
+    )
     report_days = login_days.filter(F.col("day") > F.lit(lo)).select("day").distinct()
     act = (
         login_days.join(profile_segment(src.profile), "member_id", "inner")
@@ -145,10 +146,10 @@ def eru_day(cfg: KpiConfig, src: Sources) -> DataFrame:
 # --------------------------------------------------------------------------
 def rau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
     lo, hi, tz = cfg.day_lo, cfg.day_hi, cfg.tz_offset_hours
-    first_days = (
-        scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", cfg.rau_scan_lo, hi)
-        .select("member_id", F.to_date("login_ts").alias("day"))
-        .distinct()
+    # first logins are one row per member-day; a duplicate could not qualify
+    # anyway (its gap to the previous row is 0), and the distinct below stays
+    first_days = scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", cfg.rau_scan_lo, hi).select(
+        "member_id", F.to_date("login_ts").alias("day")
     )
     back = returning_days(first_days, gap_days=7).filter(F.col("day") > F.lit(lo))
     reg = src.member.select("member_id", local_date("reg_utc", tz).alias("reg_date"))
