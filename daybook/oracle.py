@@ -74,6 +74,54 @@ tutorial_end AS (
 )"""
 
 
+def fixture_ctes_orders(tz: int) -> str:
+    """The same five CTEs over orders + customer (second fixture)."""
+    log_os = f"CAST(CASE WHEN order_id % 7 = 0 THEN {fx.LOG_OS_OVERRIDE} ELSE os0 END AS INTEGER)"
+    product = "CAST(substring(o_orderpriority, 1, 1) AS INTEGER)"
+    return f"""
+cust AS (
+  SELECT c_custkey AS member_id, c_name,
+         CAST({_os0_case()} AS INTEGER) AS os0,
+         lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS cc0
+    FROM customer
+),
+ev AS (
+  SELECT o.o_orderkey AS order_id, o.o_custkey AS member_id, o.o_orderdate AS ts, o.o_orderstatus,
+         o.o_orderpriority, o.o_totalprice, c.c_name, c.os0, c.cc0
+    FROM orders o JOIN cust c ON c.member_id = o.o_custkey
+),
+member AS (
+  SELECT member_id,
+         min(ts) - INTERVAL {int(tz)} HOUR AS reg_utc,
+         CASE WHEN member_id % {fx.NAMELESS_MOD} = 0 THEN '' ELSE min(c_name) END AS member_name
+    FROM ev GROUP BY member_id
+),
+profile AS (
+  SELECT member_id,
+         CAST(CASE WHEN member_id % {fx.NULL_OS_MOD} = 0 THEN NULL ELSE os0 END AS INTEGER) AS os_type,
+         cc0 AS country_code
+    FROM cust WHERE member_id % {fx.NO_PROFILE_MOD} <> {fx.NO_PROFILE_REM}
+),
+login AS (
+  SELECT member_id, ts AS login_ts, {log_os} AS os_type, cc0 AS country_code,
+         row_number() OVER (PARTITION BY member_id, CAST(ts AS DATE) ORDER BY ts, order_id) AS login_day_seq
+    FROM ev
+),
+billing AS (
+  SELECT member_id, ts AS log_ts, {log_os} AS os_type, cc0 AS country_code,
+         {product} % {fx.MARKETS} AS market, {product} AS product_id,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+    FROM ev WHERE o_orderstatus = '{fx.PURCHASE_STATUS}'
+),
+tutorial_end AS (
+  SELECT member_id, ts AS log_ts, {log_os} AS os_type, cc0 AS country_code
+    FROM ev WHERE o_orderpriority = '{fx.TUTORIAL_PRIORITY}'
+)"""
+
+
+FIXTURE_CTES = {"events": fixture_ctes, "orders": fixture_ctes_orders}
+
+
 def _wk(d: str) -> str:
     """Sunday week start of a DATE expression (DuckDB dayofweek: 0 = Sunday)."""
     return f"CAST(({d}) - CAST(dayofweek({d}) AS INTEGER) AS DATE)"
@@ -90,8 +138,8 @@ def _present(sql: str, dates=(), numeric=()) -> str:
     return f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql}) q"
 
 
-def _with(cfg: KpiConfig, *extra: str) -> str:
-    parts = [fixture_ctes(cfg.tz_offset_hours)] + [e for e in extra if e]
+def _with(cfg: KpiConfig, *extra: str, fixture: str = "events") -> str:
+    parts = [FIXTURE_CTES[fixture](cfg.tz_offset_hours)] + [e for e in extra if e]
     return "WITH " + ",\n".join(parts) + "\n"
 
 
@@ -505,9 +553,9 @@ def present(name: str, sql_with_ctes: str) -> str:
     return _present(sql_with_ctes, dates, NUMERIC[name])
 
 
-def statement(name: str, cfg: KpiConfig) -> str:
+def statement(name: str, cfg: KpiConfig, fixture: str = "events") -> str:
     """Full DuckDB statement (check form) for one metric name."""
-    return present(name, _with(cfg) + body(name, cfg))
+    return present(name, _with(cfg, fixture=fixture) + body(name, cfg))
 
 
 def restricted(name: str, cfg: KpiConfig, date_col: str, after: date) -> str:

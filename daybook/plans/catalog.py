@@ -14,7 +14,10 @@ Scenarios (all on the fixture configuration of FIXTURES.md section 3):
   seed day 2024-01-04 carrying its totals forward;
 * ``replace_range``: sales as of 2024-01-20 stored, then a run from 2024-01-15
   merged in; the merge must equal the full run;
-* ``bookmark_advance``: the bookmark table after all fourteen jobs.
+* ``bookmark_advance``: the bookmark table after all fourteen jobs;
+* ``*_months``: every metric on the second fixture (``orders`` + ``customer``)
+  over a window crossing four month boundaries and a new year: daily reports
+  1995-11-01..1996-02-29, weekly reports 1995-11-05..1996-02-18.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from daybook import oracle
 from daybook.config import FIXTURE_CONFIG, KpiConfig
 from daybook.operators.incremental import advance_bookmark, empty_bookmarks, replace_range
 from daybook.plans import daily, weekly
-from daybook.sources.fixtures import fixture_sources
+from daybook.sources.fixtures import fixture_sources, fixture_sources_orders
 from daybook.sources.tables import Sources
 
 CFG = FIXTURE_CONFIG
@@ -41,6 +44,9 @@ RU_INCREMENTAL_START = date(2024, 1, 5)
 REPLACE_PRIOR_AS_OF = datetime(2024, 1, 20)
 REPLACE_START = date(2024, 1, 15)
 
+# Second fixture: reports across month and year boundaries.
+CFG_MONTHS = CFG.replace(start=date(1995, 11, 1), week_start=date(1995, 10, 29), as_of=datetime(1996, 3, 1))
+
 CFG_MID = CFG.replace(start=MID_MONTH_START)
 CFG_RU_PRIOR = CFG.replace(as_of=RU_PRIOR_AS_OF)
 CFG_RU_NEXT = CFG.replace(start=RU_INCREMENTAL_START)
@@ -87,9 +93,12 @@ def metric(name: str, cfg: KpiConfig, src: Sources) -> DataFrame:
     return fn(cfg, src)
 
 
-def _simple(name: str, cfg: KpiConfig = CFG) -> Callable[[SparkSession, str], DataFrame]:
+FIXTURES = {"events": fixture_sources, "orders": fixture_sources_orders}
+
+
+def _simple(name: str, cfg: KpiConfig = CFG, fixture: str = "events") -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return metric(name, cfg, fixture_sources(spark, sf_dir, cfg.tz_offset_hours))
+        return metric(name, cfg, FIXTURES[fixture](spark, sf_dir, cfg.tz_offset_hours))
 
     run.__name__ = name
     return run
@@ -137,6 +146,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ru_day_seeded"] = ru_day_seeded
     q["replace_range"] = replace_range_query
     q["bookmark_advance"] = bookmark_advance
+    for n in METRICS:
+        q[f"{n}_months"] = _simple(n, CFG_MONTHS, "orders")
     return {name: _presented(fn) for name, fn in q.items()}
 
 
@@ -159,4 +170,6 @@ def oracle_statements() -> dict[str, str]:
     )
     s["replace_range"] = oracle.statement("sales_day", CFG)
     s["bookmark_advance"] = oracle.bookmark_statement(BOOKMARK_JOBS, CFG, CFG)
+    for n in METRICS:
+        s[f"{n}_months"] = oracle.statement(n, CFG_MONTHS, fixture="orders")
     return s

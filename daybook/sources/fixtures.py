@@ -120,3 +120,75 @@ def sources_from_events(events: DataFrame, customer: DataFrame, tz_offset_hours:
     tutorial_end = views.select("member_id", F.col("ts").alias("log_ts"), *_log_segment(views))
 
     return Sources(member=member, profile=profile, login=login, billing=billing, tutorial_end=tutorial_end)
+
+
+# Fixed values of the second fixture (orders + customer), which spans month and
+# year boundaries: every order is a login at its order date; finished orders
+# (status 'F') are purchases of product = leading digit of the priority, market
+# = product % 3, amount = total price; '1-URGENT' orders are tutorial ends. The
+# log os_type is 9 where o_orderkey % 7 = 0. A member registers at the first
+# order (stored in UTC, so shifted back by the offset).
+PURCHASE_STATUS = "F"
+TUTORIAL_PRIORITY = "1-URGENT"
+
+
+def fixture_sources_orders(spark: SparkSession, sf_dir: str, tz_offset_hours: int = 9) -> Sources:
+    sf_dir = sf_dir.rstrip("/")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return sources_from_orders(orders, customer, tz_offset_hours)
+
+
+def sources_from_orders(orders: DataFrame, customer: DataFrame, tz_offset_hours: int = 9) -> Sources:
+    cust = customer_segments(customer)
+    o = orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("member_id"),
+        F.col("o_orderdate").alias("ts"),
+        "o_orderstatus",
+        "o_orderpriority",
+        "o_totalprice",
+    ).join(cust, "member_id")
+    seg = [
+        F.when(F.col("order_id") % 7 == 0, F.lit(LOG_OS_OVERRIDE)).otherwise(F.col("os0")).cast("int").alias("os_type"),
+        F.col("cc0").alias("country_code"),
+    ]
+
+    member = (
+        o.groupBy("member_id")
+        .agg(F.min("ts").alias("first_ts"), F.first("c_name").alias("c_name"))
+        .select(
+            "member_id",
+            (F.col("first_ts") - F.expr(f"INTERVAL {int(tz_offset_hours)} HOURS")).alias("reg_utc"),
+            F.when(F.col("member_id") % NAMELESS_MOD == 0, F.lit("")).otherwise(F.col("c_name")).alias("member_name"),
+        )
+    )
+    profile = cust.filter(F.col("member_id") % NO_PROFILE_MOD != NO_PROFILE_REM).select(
+        "member_id",
+        F.when(F.col("member_id") % NULL_OS_MOD == 0, F.lit(None)).otherwise(F.col("os0")).cast("int").alias("os_type"),
+        F.col("cc0").alias("country_code"),
+    )
+    firsts = (
+        o.groupBy("member_id", F.to_date("ts").alias("day"))
+        .agg(F.min(F.struct("ts", "order_id")).alias("first"))
+        .select(F.col("first.order_id").alias("order_id"), F.lit(1).alias("is_first"))
+    )
+    login = o.join(firsts, "order_id", "left").select(
+        "member_id",
+        F.col("ts").alias("login_ts"),
+        *seg,
+        F.when(F.col("is_first") == 1, F.lit(1)).otherwise(F.lit(2)).cast("int").alias("login_day_seq"),
+    )
+    product = F.substring("o_orderpriority", 1, 1).cast("int")
+    billing = o.filter(F.col("o_orderstatus") == PURCHASE_STATUS).select(
+        "member_id",
+        F.col("ts").alias("log_ts"),
+        *seg,
+        (product % MARKETS).cast("int").alias("market"),
+        product.alias("product_id"),
+        F.col("o_totalprice").cast(MONEY).alias("amount"),
+    )
+    tutorial_end = o.filter(F.col("o_orderpriority") == TUTORIAL_PRIORITY).select(
+        "member_id", F.col("ts").alias("log_ts"), *seg
+    )
+    return Sources(member=member, profile=profile, login=login, billing=billing, tutorial_end=tutorial_end)
