@@ -181,3 +181,26 @@ def test_command_line_daily_run(spark):
     assert out["dau_day"] == "2024-01-30" and out["retention_day"] == "2024-01-04"
     store = TableStore(spark, f"{root}/store")
     assert spark_rows(store.read("dau_day")) == spark_rows(daily.dau_day(CFG, fixture_sources(spark, "/root/testdata/sf0.001")))
+
+
+def test_runner_across_month_boundaries(spark):
+    """Orders fixture: a run as of 1995-12-16 then one as of 1996-03-01 equal a
+    single run; the second run's month-to-date, cohorts and weeks cross months
+    and the new year."""
+    from daybook.plans.catalog import CFG_MONTHS
+    from daybook.sources.fixtures import fixture_sources_orders
+
+    src = fixture_sources_orders(spark, "/root/testdata/sf0.001")
+    full = TableStore(spark, tempfile.mkdtemp(prefix="daybook-mfull-"))
+    runner.run_daily(spark, full, src, CFG_MONTHS)
+    runner.run_weekly(spark, full, src, CFG_MONTHS)
+    inc = TableStore(spark, tempfile.mkdtemp(prefix="daybook-minc-"))
+    first = CFG_MONTHS.replace(as_of=datetime(1995, 12, 16))
+    runner.run_daily(spark, inc, src, first)
+    runner.run_weekly(spark, inc, src, first)
+    runner.run_daily(spark, inc, src, CFG_MONTHS)
+    runner.run_weekly(spark, inc, src, CFG_MONTHS)
+    want, got = _tables(full), _tables(inc)
+    for table in want:
+        assert got[table] == want[table], table
+    assert len(want["dau_day"]) > 0 and len(want["wau_week"]) > 0
