@@ -126,10 +126,10 @@ def eru_day(cfg: KpiConfig, src: Sources) -> DataFrame:
         .distinct()
     )
     mi = _new_members(cfg, src).join(src.profile.select("member_id", *SEG), "member_id", "inner")
-    # equi-join on the member only (one registration day each), then the day
-    # condition: inputs partitioned by member stay co-partitioned
-    j = te.join(mi.select("member_id", "reg_date", *SEG), "member_id", "inner").filter(
-        F.col("division_date") == F.col("reg_date")
+    j = te.join(
+        mi.select("member_id", F.col("reg_date").alias("division_date"), *SEG),
+        ["member_id", "division_date"],
+        "inner",
     )
     out = (
         j.select("division_date", "member_id", *SEG)

@@ -34,6 +34,7 @@ from __future__ import annotations
 import uuid
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -179,6 +180,28 @@ def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) ->
     return Sources(**frames), tables
 
 
+# Job-level session settings, restored after the run. The co-located tables
+# are partitioned by member_id alone; joins on (member_id, day) may use that
+# partitioning because every member reaches it reduced to at most days x
+# segments rows, so the skew guard of requiring all join keys is not needed.
+RUN_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def run_jobs(
     spark: SparkSession,
     store: TableStore,
@@ -198,12 +221,13 @@ def run_jobs(
     cfgs = {job.table: job_config(base, job, marks) for job in jobs}
     lo, hi = scan_window(list(cfgs.values()))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    reduced, work_tables = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
-    try:
-        return _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
-    finally:
-        for t in work_tables:
-            spark.sql(f"DROP TABLE IF EXISTS {t}")
+    with session_conf(spark, RUN_CONF):
+        reduced, work_tables = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
+        try:
+            return _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
+        finally:
+            for t in work_tables:
+                spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
 def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str | None]:
