@@ -47,7 +47,7 @@ from daybook.operators.activity import SEG
 from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame, replace_range
 from daybook.plans import daily, weekly
 from daybook.session import checkpoint_dir
-from daybook.sources.sinks import TableStore, backup_csv
+from daybook.sources.sinks import TableStore, backup_csv, delete_path
 from daybook.sources.tables import Sources
 
 DAY = timedelta(days=1)
@@ -157,27 +157,29 @@ BACKUPS: dict[str, Callable[[KpiConfig, Sources, DataFrame], DataFrame]] = {
 }
 
 
-def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) -> tuple[Sources, list[str]]:
+def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) -> tuple[Sources, list[str], str]:
     """Write every source as a table bucketed by ``member_id``; read them back.
 
     Rows are hash-partitioned into ``buckets`` first, so each task writes one
     bucket file. Logs must already be reduced (a hot member then reaches the
-    shuffle as a few pre-aggregated rows).
+    shuffle as a few pre-aggregated rows). Returns the sources, the table
+    names and the run folder (for clean-up).
     """
     run_id = uuid.uuid4().hex[:12]
+    folder = f"{work_root.rstrip('/')}/{run_id}"
     frames, tables = {}, []
     for name, df in src.items():
         table = f"daybook_work_{run_id}_{name}"
         (
             df.repartition(buckets, "member_id")
             .write.bucketBy(buckets, "member_id")
-            .option("path", f"{work_root.rstrip('/')}/{run_id}/{name}")
+            .option("path", f"{folder}/{name}")
             .mode("errorifexists")
             .saveAsTable(table)
         )
         frames[name] = spark.table(table)
         tables.append(table)
-    return Sources(**frames), tables
+    return Sources(**frames), tables, folder
 
 
 # Job-level session settings, restored after the run. The co-located tables
@@ -210,11 +212,14 @@ def run_jobs(
     jobs: list[Job],
     backup_root: str | None = None,
     buckets: int | None = None,
+    keep_versions: int | None = 7,
 ) -> dict[str, str | None]:
     """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped).
 
     ``buckets`` sets the co-location bucket count (default: the session's
-    ``spark.sql.shuffle.partitions``).
+    ``spark.sql.shuffle.partitions``); ``keep_versions`` bounds the versions
+    kept per table (None keeps all). The run's work tables are dropped and
+    their folder deleted at the end, also after a failure.
     """
     ckpt = checkpoint_dir(spark)
     marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA))
@@ -222,12 +227,17 @@ def run_jobs(
     lo, hi = scan_window(list(cfgs.values()))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(spark, RUN_CONF):
-        reduced, work_tables = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
+        reduced, work_tables, work_folder = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
         try:
-            return _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
+            out = _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
         finally:
             for t in work_tables:
                 spark.sql(f"DROP TABLE IF EXISTS {t}")
+            delete_path(spark, work_folder)
+    if keep_versions:
+        for table in [job.table for job in jobs] + ["bookmark"]:
+            store.vacuum(table, keep_versions)
+    return out
 
 
 def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str | None]:
@@ -259,11 +269,17 @@ def run_daily(
     base: KpiConfig,
     backup_root: str | None = None,
     buckets: int | None = None,
+    keep_versions: int | None = 7,
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets)
+    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets, keep_versions)
 
 
 def run_weekly(
-    spark: SparkSession, store: TableStore, src: Sources, base: KpiConfig, buckets: int | None = None
+    spark: SparkSession,
+    store: TableStore,
+    src: Sources,
+    base: KpiConfig,
+    buckets: int | None = None,
+    keep_versions: int | None = 7,
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets)
+    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets, keep_versions=keep_versions)

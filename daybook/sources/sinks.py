@@ -10,7 +10,7 @@ while it is being read. Older versions stay as snapshots.
 
 One writer per store is assumed (the runner of a game); the store remembers
 the versions it has seen or written, so only the first access to a table
-lists its folder.
+lists its folder. ``vacuum`` removes all but the newest versions.
 """
 
 from __future__ import annotations
@@ -65,6 +65,31 @@ class TableStore:
         self._versions[table] = vs + [v]
         return v
 
+    def vacuum(self, table: str, keep: int) -> list[int]:
+        """Delete all but the newest ``keep`` versions; returns the deleted ones.
+
+        Only versions older than the current one are touched, so readers of
+        the current version are unaffected.
+        """
+        vs = self.versions(table)
+        old = vs[:-keep] if keep > 0 else vs[:-1]
+        for v in old:
+            delete_path(self.spark, f"{self.path(table)}/v={v}")
+        self._versions[table] = [v for v in vs if v not in old]
+        return old
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on its (Hadoop-compatible) file system.
+
+    PySpark has no public file-system API; the Hadoop ``FileSystem`` reached
+    through the session's JVM gateway is the usual way for housekeeping.
+    """
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath) and fs.delete(jpath, True))
+
 
 def backup_csv(df: DataFrame, path: str) -> None:
     """Snapshot rows as CSV with a header, replacing what is at ``path``."""

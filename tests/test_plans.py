@@ -93,7 +93,7 @@ def colocated(spark):
 
     src = fixture_sources(spark, "/root/testdata/sf0.001")
     lo, hi = runner.scan_window([CFG])
-    red, tables = runner.colocate(spark, runner.reduce_logs(src, lo, hi), f"{checkpoint_dir(spark)}/plans-work", 4)
+    red, tables, _ = runner.colocate(spark, runner.reduce_logs(src, lo, hi), f"{checkpoint_dir(spark)}/plans-work", 4)
     yield red
     for t in tables:
         spark.sql(f"DROP TABLE IF EXISTS {t}")
