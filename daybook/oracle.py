@@ -47,7 +47,7 @@ ev AS (
 ),
 member AS (
   SELECT member_id,
-         min(ts) - INTERVAL {int(tz)} HOUR AS reg_utc,
+         min(ts) - INTERVAL ({int(tz)}) HOUR AS reg_utc,
          CASE WHEN member_id % {fx.NAMELESS_MOD} = 0 THEN '' ELSE min(c_name) END AS member_name
     FROM ev WHERE event_type = 'signup' GROUP BY member_id
 ),
@@ -92,7 +92,7 @@ ev AS (
 ),
 member AS (
   SELECT member_id,
-         min(ts) - INTERVAL {int(tz)} HOUR AS reg_utc,
+         min(ts) - INTERVAL ({int(tz)}) HOUR AS reg_utc,
          CASE WHEN member_id % {fx.NAMELESS_MOD} = 0 THEN '' ELSE min(c_name) END AS member_name
     FROM ev GROUP BY member_id
 ),
@@ -128,7 +128,7 @@ def _wk(d: str) -> str:
 
 
 def _reg(alias: str, tz: int) -> str:
-    return f"CAST({alias}.reg_utc + INTERVAL {int(tz)} HOUR AS DATE)"
+    return f"CAST({alias}.reg_utc + INTERVAL ({int(tz)}) HOUR AS DATE)"
 
 
 def _present(sql: str, dates=(), numeric=()) -> str:
@@ -266,7 +266,7 @@ SELECT '{cfg.game_code}' AS game_code, division_date, os_type, country_code, cou
           FROM tutorial_end te
          INNER JOIN (
                SELECT mi.member_id, me.os_type, me.country_code,
-                      mi.reg_utc + INTERVAL {int(tz)} HOUR AS reg_date
+                      mi.reg_utc + INTERVAL ({int(tz)}) HOUR AS reg_date
                  FROM member mi INNER JOIN profile me ON me.member_id = mi.member_id
                 WHERE {_reg('mi', tz)} > {lo} AND {_reg('mi', tz)} < {hi}
                ) mi
@@ -475,12 +475,12 @@ SELECT '{cfg.game_code}' AS game_code, division_log_week AS division_week, os_ty
 def eru_week_body(cfg: KpiConfig) -> str:
     tz = cfg.tz_offset_hours
     d = "CAST(te.log_ts AS DATE)"
-    rl = f"CAST(mi.reg_utc + INTERVAL {int(tz)} HOUR AS DATE)"
+    rl = f"CAST(mi.reg_utc + INTERVAL ({int(tz)}) HOUR AS DATE)"
     return f"""
 SELECT '{cfg.game_code}' AS game_code, {_wk(d)} AS division_week, te.os_type, te.country_code,
        count(*) AS eru
   FROM tutorial_end te
- INNER JOIN (SELECT mi.member_id, mi.reg_utc + INTERVAL {int(tz)} HOUR AS reg_date
+ INNER JOIN (SELECT mi.member_id, mi.reg_utc + INTERVAL ({int(tz)}) HOUR AS reg_date
                FROM member mi
               WHERE {_week_pred(rl, cfg)}) mi
     ON mi.member_id = te.member_id

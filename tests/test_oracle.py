@@ -43,3 +43,35 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.columns == ["game_code", "division_date", "os_type", "country_code", "dau", "sum_month_dau"]
     assert df.count() > 0
+
+
+# Other parameters: negative local offset, three days of overlap, a report time
+# with a time of day, a weekly bookmark on a Saturday.
+
+
+def _variant():
+    from datetime import date, datetime
+
+    from daybook.plans.catalog import CFG
+
+    return CFG.replace(
+        tz_offset_hours=-5,
+        before_days=3,
+        start=date(2024, 1, 12),
+        week_start=date(2024, 1, 6),
+        as_of=datetime(2024, 1, 27, 13, 30),
+    )
+
+
+@pytest.mark.parametrize("name", __import__("daybook.plans.catalog", fromlist=["METRICS"]).METRICS)
+def test_other_parameters(spark, sf01_dir, name):
+    from daybook import oracle
+    from daybook.plans import catalog
+    from daybook.sources.fixtures import fixture_sources
+
+    cfg = _variant()
+    df = catalog.present(catalog.metric(name, cfg, fixture_sources(spark, sf01_dir, cfg.tz_offset_hours)))
+    sp = df.toPandas()
+    dk = duck_for(sf01_dir).execute(oracle.statement(name, cfg)).df()
+    assert rows(sp) == rows(dk)
+    assert len(sp) > 0
