@@ -205,7 +205,9 @@ def sales_day(cfg: KpiConfig, src: Sources) -> DataFrame:
 # dense (sign-up day x profile segment) spine. NULL segments stay with zeros.
 # --------------------------------------------------------------------------
 def _ru_parts(cfg: KpiConfig, src: Sources, spine_lo_inclusive):
-    lo, hi, tz = cfg.day_lo, cfg.day_hi, cfg.tz_offset_hours
+    """Dense (sign-up day x profile segment) grid from ``spine_lo_inclusive``,
+    and the sign-up counts per (day, segment) of the report window."""
+    hi, tz = cfg.day_hi, cfg.tz_offset_hours
     cfg.window_days(spine_lo_inclusive, hi)
     signup_days = (
         src.member.filter(day_range_incl("reg_utc", spine_lo_inclusive, hi, tz))
@@ -288,7 +290,9 @@ def retention_day(cfg: KpiConfig, src: Sources) -> DataFrame:
     )
     # member-day reductions of each log (no shuffle when the logs are
     # partitioned by member), each joined to the cohort on the member
-    login_days = scan_days(src.login, "login_ts", act_lo, hi).select("member_id", F.to_date("login_ts").alias("day")).distinct()
+    login_days = (
+        scan_days(src.login, "login_ts", act_lo, hi).select("member_id", F.to_date("login_ts").alias("day")).distinct()
+    )
     sales_days = (
         scan_days(src.billing, "log_ts", act_lo, hi)
         .groupBy("member_id", F.to_date("log_ts").alias("day"))
