@@ -244,7 +244,9 @@ def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str
     out: dict[str, str | None] = {}
     for job in jobs:
         cfg = cfgs[job.table]
-        result = job.compute(cfg, reduced, store).checkpoint(eager=True)
+        # rows without a report date are never written (they cannot arise from
+        # the window predicates; the filter states the contract)
+        result = job.compute(cfg, reduced, store).filter(F.col(job.date_col).isNotNull()).checkpoint(eager=True)
         # one aggregate answers both "empty?" and "new bookmark"
         latest = result.agg(F.max(job.date_col).cast("string")).first()[0]
         out[job.table] = latest
