@@ -16,11 +16,13 @@ One run of ``run_jobs`` does, for each job in order:
    ``nru_day`` (``nru_backup/<start>``) and the ``dau_day`` result
    (``dau_backup/<start>``), overwriting an earlier snapshot of the same start.
 
-Shared reductions: each log is scanned once per run over the union of all
-jobs' windows and reduced to (member, local day, segment[, market, product])
-grain with a partial aggregate; every metric reads the reduced tables, whose
-semantics are exact for all metrics (login keeps the smallest day sequence,
-billing and tutorial rows keep their count ``n`` and money sum).
+Shared reductions: each log is reduced to (member, local day, segment[,
+market, product]) grain with a partial aggregate; every metric reads the
+reduced tables, whose semantics are exact for all metrics (login keeps the
+smallest day sequence, billing and tutorial rows keep their count ``n`` and
+money sum). The reductions persist in the store, partitioned by day, so a run
+re-reduces only the days from its first new report day on (plus days never
+reduced) and reads the rest of its look-back window back.
 
 Co-location: the reduced logs, ``member`` and ``profile`` are written once per
 run as tables bucketed by ``member_id`` into a run folder under the shared
@@ -38,6 +40,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,28 +115,78 @@ WEEKLY_JOBS = [
 ]
 
 
-def reduce_logs(src: Sources, lo_inclusive: date, hi_exclusive: date) -> Sources:
-    """The three logs over local days ``[lo, hi)`` at member-day grain."""
-    day_ts = F.col("dt").cast("timestamp_ntz")
-    login = (
-        scan_days(src.login, "login_ts", lo_inclusive, hi_exclusive)
-        .groupBy("member_id", F.to_date("login_ts").alias("dt"), *SEG)
-        .agg(F.min("login_day_seq").alias("login_day_seq"), F.count(F.lit(1)).alias("n"))
-        .select("member_id", day_ts.alias("login_ts"), *SEG, "login_day_seq", "n", "dt")
-    )
-    billing = (
-        scan_days(src.billing, "log_ts", lo_inclusive, hi_exclusive)
-        .groupBy("member_id", F.to_date("log_ts").alias("dt"), *SEG, "market", "product_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
-        .select("member_id", day_ts.alias("log_ts"), *SEG, "market", "product_id", "amount", "n", "dt")
-    )
-    tutorial = (
-        scan_days(src.tutorial_end, "log_ts", lo_inclusive, hi_exclusive)
-        .groupBy("member_id", F.to_date("log_ts").alias("dt"), *SEG)
+LOG_TS = {"login": "login_ts", "billing": "log_ts", "tutorial_end": "log_ts"}
+
+
+def reduce_log(name: str, df: DataFrame, lo_inclusive: date, hi_exclusive: date) -> DataFrame:
+    """One log over local days ``[lo, hi)`` at member-day grain (partial aggregate)."""
+    ts = LOG_TS[name]
+    rows = scan_days(df, ts, lo_inclusive, hi_exclusive)
+    day_ts = F.col("dt").cast("timestamp_ntz").alias(ts)
+    dt = F.to_date(ts).alias("dt")
+    if name == "login":
+        return (
+            rows.groupBy("member_id", dt, *SEG)
+            .agg(F.min("login_day_seq").alias("login_day_seq"), F.count(F.lit(1)).alias("n"))
+            .select("member_id", day_ts, *SEG, "login_day_seq", "n", "dt")
+        )
+    if name == "billing":
+        return (
+            rows.groupBy("member_id", dt, *SEG, "market", "product_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+            .select("member_id", day_ts, *SEG, "market", "product_id", "amount", "n", "dt")
+        )
+    return (
+        rows.groupBy("member_id", dt, *SEG)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("member_id", day_ts.alias("log_ts"), *SEG, "n", "dt")
+        .select("member_id", day_ts, *SEG, "n", "dt")
     )
-    return src.replace(login=login, billing=billing, tutorial_end=tutorial)
+
+
+def reduce_logs(src: Sources, lo_inclusive: date, hi_exclusive: date) -> Sources:
+    """The three logs over local days ``[lo, hi)`` at member-day grain."""
+    return src.replace(**{name: reduce_log(name, getattr(src, name), lo_inclusive, hi_exclusive) for name in LOG_TS})
+
+
+def _stored_days(spark: SparkSession, path: str) -> set[date]:
+    """Partition dates of a stored reduction (a calendar-bounded list)."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:
+        return set()
+    return {r["dt"] for r in df.select("dt").distinct().collect()}
+
+
+def refresh_reductions(
+    spark: SparkSession, store: TableStore, src: Sources, game_code: str, lo: date, hi: date, refresh_lo: date
+) -> Sources:
+    """The reduced logs for days ``[lo, hi)``, kept in the store between runs.
+
+    Each log's reduction is a table partitioned by ``dt``. A run re-reduces
+    only the days from ``refresh_lo`` on (where new or late rows can land)
+    plus any day of the window not stored yet, writing them with dynamic
+    partition overwrite; older days are read back as stored. A daily run thus
+    scans about ``before_days + 1`` days of raw log instead of the whole
+    look-back window.
+    """
+    frames = {}
+    for name in LOG_TS:
+        path = store.path(f"_reduced/{game_code}/{name}")
+        present = _stored_days(spark, path)
+        window = [lo + timedelta(days=i) for i in range((hi - lo).days)]
+        todo = [d for d in window if d >= refresh_lo or d not in present]
+        if todo:
+            part = reduce_log(name, getattr(src, name), min(todo), max(todo) + DAY)
+            if len(todo) != (max(todo) - min(todo)).days + 1:
+                part = part.filter(F.col("dt").isin(todo))
+            (
+                part.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("dt")
+                .parquet(path)
+            )
+        frames[name] = spark.read.parquet(path).filter((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
+    return src.replace(**frames)
 
 
 def job_config(base: KpiConfig, job: Job, marks: dict[tuple[str, str, str], str]) -> KpiConfig:
@@ -142,6 +195,13 @@ def job_config(base: KpiConfig, job: Job, marks: dict[tuple[str, str, str], str]
     return base.replace(start=mark) if job.kind == "day" else base.replace(week_start=mark)
 
 
+def refresh_start(jobs: list[Job], cfgs: dict[str, KpiConfig]) -> date:
+    """First day whose raw rows a run must re-reduce: the first new report day."""
+    return min(
+        (cfgs[j.table].day_lo + DAY) if j.kind == "day" else (cfgs[j.table].week_lo + timedelta(days=7)) for j in jobs
+    )
+
+
 def scan_window(cfgs: list[KpiConfig]) -> tuple[date, date]:
     lo = min(
         min(c.month_lo, c.rau_scan_lo, c.retention_day_lo + DAY, c.day_lo + DAY, c.week_lo + timedelta(days=7))
@@ -227,7 +287,8 @@ def run_jobs(
     lo, hi = scan_window(list(cfgs.values()))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(spark, RUN_CONF):
-        reduced, work_tables, work_folder = colocate(spark, reduce_logs(src, lo, hi), f"{ckpt}/daybook-work", n)
+        logs = refresh_reductions(spark, store, src, base.game_code, lo, hi, refresh_start(jobs, cfgs))
+        reduced, work_tables, work_folder = colocate(spark, logs, f"{ckpt}/daybook-work", n)
         try:
             out = _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
         finally:
