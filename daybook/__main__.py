@@ -39,6 +39,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--week-start", default="2023-12-24", help="weekly bookmark default")
     p.add_argument("--backup", default=None, help="CSV snapshot root (daily only)")
     p.add_argument("--buckets", type=int, default=None, help="co-location buckets (default: shuffle partitions)")
+    p.add_argument(
+        "--rescan",
+        choices=["window", "recent"],
+        default="window",
+        help="reduce the whole look-back window from raw logs (default), or only recent days over stored reductions",
+    )
     return p
 
 
@@ -57,9 +63,9 @@ def main(argv: list[str] | None = None) -> dict[str, str | None]:
     src = read_sources(spark, a.sources)
     store = TableStore(spark, a.store)
     if a.kind == "daily":
-        out = runner.run_daily(spark, store, src, cfg, backup_root=a.backup, buckets=a.buckets)
+        out = runner.run_daily(spark, store, src, cfg, backup_root=a.backup, buckets=a.buckets, rescan=a.rescan)
     else:
-        out = runner.run_weekly(spark, store, src, cfg, buckets=a.buckets)
+        out = runner.run_weekly(spark, store, src, cfg, buckets=a.buckets, rescan=a.rescan)
     print(json.dumps(out, sort_keys=True))
     return out
 

@@ -20,9 +20,10 @@ Shared reductions: each log is reduced to (member, local day, segment[,
 market, product]) grain with a partial aggregate; every metric reads the
 reduced tables, whose semantics are exact for all metrics (login keeps the
 smallest day sequence, billing and tutorial rows keep their count ``n`` and
-money sum). The reductions persist in the store, partitioned by day, so a run
-re-reduces only the days from its first new report day on (plus days never
-reduced) and reads the rest of its look-back window back.
+money sum). By default a run reduces its whole look-back window from the raw
+logs (the reference's semantics under late data); with ``rescan="recent"`` the
+reductions persist in the store, partitioned by day, and a run re-reduces only
+the days from its first new report day on, reading the rest back.
 
 Co-location: the reduced logs, ``member`` and ``profile`` are written once per
 run as tables bucketed by ``member_id`` into a run folder under the shared
@@ -274,6 +275,7 @@ def run_jobs(
     backup_root: str | None = None,
     buckets: int | None = None,
     keep_versions: int | None = 7,
+    rescan: str = "window",
 ) -> dict[str, str | None]:
     """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped).
 
@@ -281,14 +283,29 @@ def run_jobs(
     ``spark.sql.shuffle.partitions``); ``keep_versions`` bounds the versions
     kept per table (None keeps all). The run's work tables are dropped and
     their folder deleted at the end, also after a failure.
+
+    ``rescan`` chooses how much raw log a run reads:
+
+    * ``"window"`` (default): every day of the run's look-back window is
+      reduced from the raw logs, so every result reflects all rows present
+      when the run starts, late ones included -- the reference's semantics;
+    * ``"recent"``: reductions persist in the store and only the days from
+      the first new report day on (plus days never reduced) are re-reduced.
+      Late rows for older days are picked up when ``streaming.refresh`` sees
+      their files and rewinds the bookmarks; use this mode with it.
     """
+    if rescan not in ("window", "recent"):
+        raise ValueError("rescan must be 'window' or 'recent'")
     ckpt = checkpoint_dir(spark)
     marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA))
     cfgs = {job.table: job_config(base, job, marks) for job in jobs}
     lo, hi = scan_window(list(cfgs.values()))
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(spark, RUN_CONF):
-        logs = refresh_reductions(spark, store, src, base.game_code, lo, hi, refresh_start(jobs, cfgs))
+        if rescan == "recent":
+            logs = refresh_reductions(spark, store, src, base.game_code, lo, hi, refresh_start(jobs, cfgs))
+        else:
+            logs = reduce_logs(src, lo, hi)
         reduced, work_tables, work_folder = colocate(spark, logs, f"{ckpt}/daybook-work", n)
         try:
             out = _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
@@ -334,8 +351,9 @@ def run_daily(
     backup_root: str | None = None,
     buckets: int | None = None,
     keep_versions: int | None = 7,
+    rescan: str = "window",
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets, keep_versions)
+    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets, keep_versions, rescan)
 
 
 def run_weekly(
@@ -345,5 +363,6 @@ def run_weekly(
     base: KpiConfig,
     buckets: int | None = None,
     keep_versions: int | None = 7,
+    rescan: str = "window",
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets, keep_versions=keep_versions)
+    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets, keep_versions=keep_versions, rescan=rescan)

@@ -109,6 +109,8 @@ def refresh(
         marks = rewind_bookmarks(marks, base.game_code, "day", earliest, base.before_days)
         marks = rewind_bookmarks(marks, base.game_code, "week", earliest, base.before_days)
         store.commit("bookmark", marks, partitions=1)
-    out = runner.run_daily(spark, store, src, base)
-    out.update(runner.run_weekly(spark, store, src, base))
+    # arrivals are tracked here, so only recent days need re-reducing: late
+    # files have rewound the bookmarks to their days
+    out = runner.run_daily(spark, store, src, base, rescan="recent")
+    out.update(runner.run_weekly(spark, store, src, base, rescan="recent"))
     return out

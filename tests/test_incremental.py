@@ -237,8 +237,8 @@ def test_runner_cleans_its_work_folder_and_bounds_versions(spark):
 
 
 def test_second_run_reads_older_days_from_stored_reductions(spark):
-    """After a first run, a later run needs raw log rows only from its first new
-    report day on: feeding it logs cut before that day changes nothing."""
+    """With rescan="recent", a later run needs raw log rows only from its first
+    new report day on: feeding it logs cut before that day changes nothing."""
     src = fixture_sources(spark, "/root/testdata/sf0.001")
     full = TableStore(spark, tempfile.mkdtemp(prefix="daybook-rfull-"))
     runner.run_daily(spark, full, src, CFG)
@@ -246,8 +246,8 @@ def test_second_run_reads_older_days_from_stored_reductions(spark):
 
     inc = TableStore(spark, tempfile.mkdtemp(prefix="daybook-rinc-"))
     first = CFG.replace(as_of=datetime(2024, 1, 16))
-    runner.run_daily(spark, inc, src, first)
-    runner.run_weekly(spark, inc, src, first)
+    runner.run_daily(spark, inc, src, first, rescan="recent")
+    runner.run_weekly(spark, inc, src, first, rescan="recent")
     # next runs: daily bookmark 2024-01-15 (first new day 01-15), weekly
     # bookmark 2024-01-07 (first new week 01-14): raw logs from 01-14 suffice
     cut = F.lit(date(2024, 1, 14))
@@ -256,8 +256,25 @@ def test_second_run_reads_older_days_from_stored_reductions(spark):
         billing=src.billing.filter(F.to_date("log_ts") >= cut),
         tutorial_end=src.tutorial_end.filter(F.to_date("log_ts") >= cut),
     )
-    runner.run_daily(spark, inc, recent, CFG)
-    runner.run_weekly(spark, inc, recent, CFG)
+    runner.run_daily(spark, inc, recent, CFG, rescan="recent")
+    runner.run_weekly(spark, inc, recent, CFG, rescan="recent")
     want, got = _tables(full), _tables(inc)
     for table in want:
         assert got[table] == want[table], table
+
+
+def test_window_rescan_sees_late_rows_for_older_days(spark):
+    """Default mode: a late purchase for a day before the overlap reaches
+    month-to-date payers and retention on the next run, as in the reference."""
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    late_day = F.to_date("log_ts") == F.lit(date(2024, 1, 5))
+    early = src.replace(billing=src.billing.filter(~late_day))
+    store = TableStore(spark, tempfile.mkdtemp(prefix="daybook-late-"))
+    jobs = [j for j in runner.DAILY_JOBS if j.table in ("pu_day", "retention_day")]
+    runner.run_jobs(spark, store, early, CFG.replace(as_of=datetime(2024, 1, 16)), jobs)
+    runner.run_jobs(spark, store, src, CFG, jobs)  # the 5th's rows have landed late
+    full = TableStore(spark, tempfile.mkdtemp(prefix="daybook-late-full-"))
+    runner.run_jobs(spark, full, src, CFG, jobs)
+    pu = lambda st: spark_rows(st.read("pu_day").filter(F.col("division_date") >= F.lit(date(2024, 1, 15))))
+    assert pu(store) == pu(full)
+    assert spark_rows(store.read("retention_day")) == spark_rows(full.read("retention_day"))
