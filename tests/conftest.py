@@ -37,3 +37,20 @@ def sf001_dir():
 @pytest.fixture(scope="session")
 def sf01_dir():
     return f"{TESTDATA}/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def full_store_sf0001(spark):
+    """One full daily + weekly runner pass on sf0.001 (read-only for tests)."""
+    import tempfile
+
+    from daybook.config import FIXTURE_CONFIG
+    from daybook.plans import runner
+    from daybook.sources.fixtures import fixture_sources
+    from daybook.sources.sinks import TableStore
+
+    src = fixture_sources(spark, f"{TESTDATA}/sf0.001")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="daybook-full-"))
+    runner.run_daily(spark, store, src, FIXTURE_CONFIG)
+    runner.run_weekly(spark, store, src, FIXTURE_CONFIG)
+    return store

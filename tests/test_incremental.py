@@ -111,11 +111,9 @@ def _tables(store: TableStore):
     return {job.table: spark_rows(store.read(job.table)) for job in runner.DAILY_JOBS + runner.WEEKLY_JOBS}
 
 
-def test_runner_incremental_equals_full_and_rerun_is_idempotent(spark):
+def test_runner_incremental_equals_full_and_rerun_is_idempotent(spark, full_store_sf0001):
     src = fixture_sources(spark, "/root/testdata/sf0.001")
-    full = TableStore(spark, tempfile.mkdtemp(prefix="daybook-full-"))
-    runner.run_daily(spark, full, src, CFG)
-    runner.run_weekly(spark, full, src, CFG)
+    full = full_store_sf0001
 
     inc = TableStore(spark, tempfile.mkdtemp(prefix="daybook-inc-"))
     first = CFG.replace(as_of=datetime(2024, 1, 16))
@@ -236,13 +234,11 @@ def test_runner_cleans_its_work_folder_and_bounds_versions(spark):
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith("daybook_work_")] == []
 
 
-def test_second_run_reads_older_days_from_stored_reductions(spark):
+def test_second_run_reads_older_days_from_stored_reductions(spark, full_store_sf0001):
     """With rescan="recent", a later run needs raw log rows only from its first
     new report day on: feeding it logs cut before that day changes nothing."""
     src = fixture_sources(spark, "/root/testdata/sf0.001")
-    full = TableStore(spark, tempfile.mkdtemp(prefix="daybook-rfull-"))
-    runner.run_daily(spark, full, src, CFG)
-    runner.run_weekly(spark, full, src, CFG)
+    full = full_store_sf0001
 
     inc = TableStore(spark, tempfile.mkdtemp(prefix="daybook-rinc-"))
     first = CFG.replace(as_of=datetime(2024, 1, 16))

@@ -33,7 +33,7 @@ def test_rewind_bookmarks(spark):
     ]
 
 
-def test_late_billing_files_are_recomputed(spark):
+def test_late_billing_files_are_recomputed(spark, full_store_sf0001):
     base_src = fixture_sources(spark, "/root/testdata/sf0.001")
     billing_dir = tempfile.mkdtemp(prefix="daybook-billing-")
     ckpt = tempfile.mkdtemp(prefix="daybook-arrivals-")
@@ -60,9 +60,6 @@ def test_late_billing_files_are_recomputed(spark):
     assert marks["pu_day"] == "2024-01-30"
     assert refresh(spark, store, src, CFG, watched, ckpt) is None
 
-    full = TableStore(spark, tempfile.mkdtemp(prefix="daybook-full-"))
-    full_src = base_src.replace(billing=bill)
-    runner.run_daily(spark, full, full_src, CFG)
-    runner.run_weekly(spark, full, full_src, CFG)
+    full = full_store_sf0001  # a full run over the same (complete) sources
     for job in runner.DAILY_JOBS + runner.WEEKLY_JOBS:
         assert spark_rows(store.read(job.table)) == spark_rows(full.read(job.table)), job.table
