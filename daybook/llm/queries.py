@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat_format, exact_dedup, html_extract, language_id, mixing, packing, quality, sharding
+from daybook.llm import chat_format, exact_dedup, html_extract, jaccard_join, language_id, mixing, packing, quality, sharding
 from daybook.llm.common import table
 
 MIX_ENTROPY = 0.999  # of the entropy of equal weights
@@ -128,6 +128,10 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -148,7 +152,7 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_quality_gam, op4_best_fit_packing, op5_kd_shards, op7_exact_dedup, op8_chat_format, op9_html_text, op10_temperature_mix)
+    f.__name__: f for f in (op2_language_id, op3_quality_gam, op4_best_fit_packing, op5_kd_shards, op6_jaccard_join, op7_exact_dedup, op8_chat_format, op9_html_text, op10_temperature_mix)
 }
 
 SQL: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat_format": OP8_SQL, "op10_temperature_mix": OP10_SQL}
