@@ -38,7 +38,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -52,7 +51,6 @@ SALTS = 3  # partitions for sets with many empty subsets
 RATIO = 1.5  # between the lower ends of bands; above 1.25, so a pair spans two bands at most
 ALIKE = 1e-4  # share of pairs in a band taken to have half of their members in common, for the cost only
 BLOCK = 256  # members verified against a leader in one group
-KNOWN_WORDS = 400_000  # words whose hashes a worker remembers; emptied beyond that
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a public 64-bit mixer
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -64,42 +62,105 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True  # [\x20\x09-\x0D]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32  # A-Z only
+LONG_WORD = 64  # bytes; longer words are hashed one by one
 
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start:end], all words a byte further in each step."""
+    import xxhash
 
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
+    size = ends - starts
+    h = size.astype(np.uint64) * ODD[4]
+    at = np.flatnonzero(size <= LONG_WORD)
+    for k in range(int(size[at].max(initial=0))):
+        at = at[size[at] > k]
+        h[at] = (h[at] + data[starts[at] + k]) * ODD[0]
+    h = mix(h)
+    for k in np.flatnonzero(size > LONG_WORD):
+        h[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes())
+    return h
+
+
+def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text data[bounds[k]:bounds[k+1]], and their own bounds."""
+    docs = len(bounds) - 1
+    base, data = bounds[0], LOWER[data[bounds[0] : bounds[-1]]]
+    bounds = bounds - base
+    word = ~SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1] | edge[1:-1]
+    last[:-1] &= ~word[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    w = word_hashes(data, starts, ends)
+    upto = np.searchsorted(starts, bounds)  # words before each text
+    n = np.diff(upto)
+    h = np.zeros(len(w), np.uint64)
+    short = (n > 0) & (n < WORDS)
+    owner = np.repeat(np.arange(docs), n)
+    for k in range(WORDS):
+        span = max(0, len(w) - k)
+        h[:span] += w[k:] * ODD[k]
+    h = mix(h + np.uint64(WORDS))
+    place = np.arange(len(w)) - upto[owner]
+    keep = place <= n[owner] - WORDS
+    for d in np.flatnonzero(short):  # the whole sequence as one shingle
+        lo, m = upto[d], n[d]
+        h[lo] = mix((w[lo : lo + m] * ODD[:m]).sum(dtype=np.uint64, keepdims=True) + np.uint64(m))[0]
+        keep[lo] = True
+    h, owner = h[keep], owner[keep]
+    count = np.bincount(owner, minlength=docs)
+    at = np.concatenate([[0], np.cumsum(count)])
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        h[lo:hi].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[new], owner[new]
+    return h, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=docs))])
+
+
+def column_sets(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``shingle_sets`` of a text column, some megabytes at a time; nulls count as empty."""
+    import pyarrow as pa
+
+    column = column.fill_null("").cast(pa.large_string())
+    if not len(column):
+        return
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    lo = 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + (1 << 21), side="right")) - 1)
+        yield shingle_sets(data, bounds[lo : hi + 1])
+        lo = hi
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the 5-word shingles of a text (A-Z lower-cased, split at ASCII white space)."""
-    words = text.encode().lower().split() if text else ()
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(word_hashes().__getitem__, words), np.uint64, len(words))
-    n = min(len(w), WORDS)
-    h = np.zeros(len(w) - n + 1, np.uint64)
-    for k in range(n):
-        h += w[k : len(w) - n + 1 + k] * ODD[k]
-    return np.unique(mix(h + np.uint64(n)))
+    """The sorted distinct shingle hashes of one text."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    return shingle_sets(data, np.array([0, len(data)]))[0]
 
 
 def set_id(s: np.ndarray) -> int:
     import xxhash
 
-    return np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)).item()
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
+
 
+def set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.array([set_id(h[lo:hi]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.int64)
 
-def profile(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
+
+def profiles(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per set how many members fall into each of ``PROFILE`` buckets, at most 255."""
+    docs = len(at) - 1
+    cell = np.repeat(np.arange(docs), np.diff(at)) * PROFILE + (h >> np.uint64(58)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=docs * PROFILE), 255).astype(np.uint8).reshape(docs, PROFILE)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -111,23 +172,18 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 @dataclass(frozen=True)
 class Band:
-    """Sizes lo..hi-1; ``need[n - small]``: segments that a set of n members uses."""
+    """Sizes lo..hi-1 and its partition; ``deep``: v of all segments."""
 
     number: int
     lo: int
     hi: int
     segments: int
-    v: tuple[int, ...]
+    deep: int
     slack: int
 
-    def used(self, n: int) -> int:
-        """The first segments whose sums exceed H(n) by the slack."""
-        want, got = n // 4 + 1 + self.slack, 0
-        for k, v in enumerate(self.v):
-            if got >= want:
-                return k
-            got += v + 1
-        return self.segments
+    def used(self, n: np.ndarray) -> np.ndarray:
+        """How many of the first segments sets of n members use: their sums exceed H(n) by the slack."""
+        return np.minimum(-(-(n // 4 + 1 + self.slack) // (self.deep + 1)), self.segments)
 
 
 def band_edges(largest: int) -> list[int]:
@@ -138,29 +194,28 @@ def band_edges(largest: int) -> list[int]:
 
 
 def allocation(number: int, lo: int, hi: int, sets: int) -> Band:
-    """The cheaper of one-deletion and exact segments for ``sets`` sets of lo..hi-1 members."""
-    sums = (hi - 1) // 4 + 1  # v + 1 over all segments must reach this
-    mean = (lo + hi) / 2
-    options = []
-    for deep in (1, 0):  # v of most segments
-        slack, m = 0, -(-sums // (deep + 1))
-        for _ in range(20):  # slack for the expected empty subsets of the smallest sets, and some more
+    """The cheapest of exact and one-deletion segments, with more or less slack, for ``sets`` sets of lo..hi-1 members.
+
+    Cost of a set: its index rows, more of them with the chance that empty
+    subsets use up the slack, plus the false candidates expected of the sets
+    that have half of their members in common with it.
+    """
+    sums, mean, options = (hi - 1) // 4 + 1, (lo + hi) / 2, []
+    for deep in (1, 0):
+        for slack in sorted({*range(6), *(round(sums * k / 40) for k in range(1, 25))}):
             m = -(-(sums + slack) // (deep + 1))
-            lam = max(lo, 1) / m
+            lam = mean / m
             empty = m * math.exp(-lam) * (1 + lam * deep) if m > 1 else 0.0
-            new = (deep + 1) * math.ceil(empty + 2.5 * math.sqrt(empty)) if empty > 0.05 else 0
-            if new <= slack:
-                break
-            slack = new
-        v = [deep] * m
-        if deep and sum(x + 1 for x in v) > sums + slack:
-            v[-1] = 0
-        lam = mean / m
-        rows = m + deep * mean
-        false = m * math.exp(-lam) * (1 + lam * deep) * sets * ALIKE
-        options.append((rows + false, deep, m, tuple(v), slack))
-    _, _, m, v, slack = min(options)
-    return Band(number, lo, hi, m, v, slack)
+            term = tail = math.exp(-empty)  # Poisson: chance of at most slack / (deep + 1) empty subsets
+            for k in range(1, slack // (deep + 1) + 1):
+                term *= empty / k
+                tail += term
+            risk = max(0.0, 1 - tail)
+            rows = (m + deep * mean) * (1 + 2 * risk)
+            false = m * math.exp(-lam) * (1 + lam * deep) * sets * ALIKE
+            options.append((rows + false, deep, m, slack))
+    _, deep, m, slack = min(options)
+    return Band(number, lo, hi, m, deep, slack)
 
 
 def bands(sizes: dict[int, int]) -> list[Band]:
@@ -170,35 +225,41 @@ def bands(sizes: dict[int, int]) -> list[Band]:
     return [allocation(k, lo, hi, sum(c for n, c in sizes.items() if lo <= n < hi)) for k, (lo, hi) in enumerate(ends)]
 
 
-def signatures(s: np.ndarray, plan: list[Band]) -> np.ndarray:
-    """The index signatures of a set: in its own band, and in the next one where it may be the smaller partner."""
-    n, out = len(s), []
+def signatures(h: np.ndarray, at: np.ndarray, plan: list[Band]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index signatures and the numbers of their sets.
+
+    A set is indexed in its own band, and in the next one where it may be the
+    smaller partner of a set there.
+    """
+    n = np.diff(at)
     for band in plan:
-        if not (band.lo <= n < band.hi or (n < band.lo <= n * 5 // 4)):
-            continue
-        use = band.used(n)
-        v = np.array(band.v[:use])
+        left = np.flatnonzero((n >= band.lo) & (n < band.hi) | (n < band.lo) & (n * 5 // 4 >= band.lo))
         for salt in range(SALTS):
-            name = mix(np.uint64([band.number * 16 + salt + 1]) * ODD[0])[0]
-            g = mix(s ^ name)
+            if not len(left):
+                break
+            size, use = n[left], band.used(n[left])
+            local = np.repeat(np.arange(len(left)), size)
+            own = h[np.arange(size.sum()) + np.repeat(at[left] - np.cumsum(size) + size, size)]
+            name = mix(np.array([band.number * 16 + salt + 1], np.uint64) * ODD[0])
+            g = mix(own ^ name)
             seg = (((g >> np.uint64(32)) * np.uint64(band.segments)) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(seg, kind="stable")
-            order = order[: np.searchsorted(seg[order], use)]
-            g, seg = g[order], seg[order]
-            count = np.bincount(seg, minlength=use)
-            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(g, dtype=np.uint64)])
-            end = np.cumsum(count)
-            sums = upto[end] - upto[end - count]
-            space = mix((np.arange(use, dtype=np.uint64) + np.uint64(1)) * ODD[1] + name)
+            inside = seg < use[local]
+            g, seg, local = g[inside], seg[inside], local[inside]
+            cell, cells = local * band.segments + seg, len(left) * band.segments
+            count = np.bincount(cell, minlength=cells)
+            # sums modulo 2**64 from exact sums of 32-bit halves
+            high, low = (np.bincount(cell, x.astype(np.float64), cells).astype(np.uint64) for x in (g >> np.uint64(32), g & np.uint64(0xFFFFFFFF)))
+            sums = (high << np.uint64(32)) + low
+            space = mix((np.arange(band.segments, dtype=np.uint64) + np.uint64(1)) * ODD[1] + name)
             last = salt == SALTS - 1
-            found = mix(sums + space)
-            out.append(found if last else found[count > 0])
-            deep = (v[seg] == 1) & (last | (count[seg] > 1))
-            if deep.any():
-                out.append(mix(sums[seg[deep]] - g[deep] + space[seg[deep]]))
-            if int(((v + 1) * (count <= v)).sum()) <= band.slack:
-                break  # few enough empty subsets
-    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
+            used = (np.arange(band.segments) < use[:, None]).ravel()
+            pick = np.flatnonzero(used if last else count > 0)
+            yield mix(sums[pick] + space[pick % band.segments]), left[pick // band.segments]
+            if band.deep:
+                drop = np.ones(len(g), bool) if last else count[cell] > 1
+                yield mix(sums[cell[drop]] - g[drop] + space[seg[drop]]), left[local[drop]]
+            bare = (used & (count <= band.deep)).reshape(len(left), -1).sum(1) * (band.deep + 1)
+            left = left[bare > band.slack]  # too many empty subsets: once more, under another partition
 
 
 def measure(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -210,9 +271,12 @@ def measure(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            sets = [shingles(x) for x in b.column(1).to_pylist()]
-            cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([profile(s) for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=schema.names)
+            n, ids, prof = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            for h, at in column_sets(b.column(1)):
+                n.append(np.diff(at))
+                ids.append(set_ids(h, at))
+                prof += [x.tobytes() for x in profiles(h, at)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(ids)), pa.array(prof, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -225,22 +289,19 @@ def index(docs: DataFrame, plan: list[Band], id_col: str, text_col: str) -> Data
 
         seen: set[int] = set()
         for b in batches:
-            sigs, owners = [], []
-            for text in b.column(0).to_pylist():
-                s = shingles(text)
-                if len(s) < 4:
-                    continue  # only equal sets are similar
-                cid = set_id(s)
-                if cid in seen:
-                    continue
-                if len(seen) > 1_000_000:
+            for h, at in column_sets(b.column(0)):
+                ids = set_ids(h, at)
+                fresh = np.zeros(len(ids), bool)
+                for k in np.flatnonzero(np.diff(at) >= 4).tolist():  # smaller sets are similar only if equal
+                    if ids[k] not in seen:
+                        fresh[k] = True
+                        seen.add(ids[k])
+                if len(seen) > 500_000:
                     seen.clear()
-                seen.add(cid)
-                found = signatures(s, plan)
-                sigs.append(found)
-                owners.append(np.full(len(found), cid, np.int64))
-            if sigs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(owners))], names=["sig", "cid"])
+                h, at = h[np.repeat(fresh, np.diff(at))], np.concatenate([[0], np.cumsum(np.diff(at)[fresh])])
+                ids = ids[fresh]
+                for sig, owner in signatures(h, at, plan):
+                    yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids[owner])], names=["sig", "cid"])
 
     return docs.where(F.col(id_col).isNotNull()).select(F.col(text_col)).mapInArrow(run, "sig long, cid long")
 

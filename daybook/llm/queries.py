@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat_format, exact_dedup, html_extract, jaccard_join, language_id, mixing, packing, quality, sharding
+from daybook.llm import chat_format, exact_dedup, html_extract, jaccard_join, language_id, mixing, packing, pq_dedup, quality, sharding
 from daybook.llm.common import table
 
 MIX_ENTROPY = 0.999  # of the entropy of equal weights
@@ -120,6 +120,29 @@ SELECT doc_id, source, n_tokens, epoch, block, slot, CAST(start AS BIGINT) AS st
 FROM paid WHERE whole OR before_ + upto <= rest
 """
 
+def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT r AS a, r AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), comp AS (
+  SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a
+), n AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN comp USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -152,7 +175,7 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_quality_gam, op4_best_fit_packing, op5_kd_shards, op6_jaccard_join, op7_exact_dedup, op8_chat_format, op9_html_text, op10_temperature_mix)
+    f.__name__: f for f in (op1_pq_dedup, op2_language_id, op3_quality_gam, op4_best_fit_packing, op5_kd_shards, op6_jaccard_join, op7_exact_dedup, op8_chat_format, op9_html_text, op10_temperature_mix)
 }
 
-SQL: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat_format": OP8_SQL, "op10_temperature_mix": OP10_SQL}
+SQL: dict[str, str] = {"op1_pq_dedup": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op8_chat_format": OP8_SQL, "op10_temperature_mix": OP10_SQL}
