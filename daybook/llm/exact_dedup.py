@@ -44,7 +44,8 @@ def frequent(slim: DataFrame, counters: int, heavy: int, slices: int) -> DataFra
     prefix = F.hex(F.substring("digest", 1, 8))
     part = slim.select(prefix.alias("p"), bucket_of("doc_id", buckets=slices).alias("slice"))
     part = part.groupBy("slice").agg(F.expr(f"approx_top_k_accumulate(p, {counters})").alias("s"))
-    one = part.agg(F.expr(f"approx_top_k_combine(s, {counters})").alias("s"))
+    # grouped, as an ungrouped merge also starts a summary, without a type, in every empty partition
+    one = part.groupBy((F.col("slice") * 0).alias("all")).agg(F.expr(f"approx_top_k_combine(s, {counters})").alias("s"))
     items = one.select(F.explode(F.expr(f"approx_top_k_estimate(s, {heavy})")).alias("x"))
     return items.where("x.count > 1").select(F.col("x.item").alias("p"))
 
