@@ -18,7 +18,7 @@ can only be missed under a partition if both of its sets are such, hence none
 is missed.
 
 Flow: (1) one pass over the texts leaves a row per document: set size, set id,
-a 64-byte profile; equal sets become one class. (2) A second pass emits index
+two short profiles; equal sets become one class. (2) A second pass emits index
 rows (signature, class), shuffled once; only signatures of two or more
 classes are kept. (3) Each class is verified against the most similar-looking
 leader (smallest class) of its signatures: linear in the index, however large
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import components, materialise
 
 WORDS = 5
-PROFILE = 64  # buckets of the profile that bounds a difference from below
+COARSE, FINE = 64, 256  # buckets of the profiles that bound a difference from below; powers of two
 SALTS = 3  # partitions for sets with many empty subsets
 RATIO = 1.5  # between the lower ends of bands; above 1.25, so a pair spans two bands at most
 ALIKE = 1e-4  # share of pairs in a band taken to have half of their members in common, for the cost only
@@ -156,11 +156,12 @@ def set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.array([set_id(h[lo:hi]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.int64)
 
 
-def profiles(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Per set how many members fall into each of ``PROFILE`` buckets, at most 255."""
+def profiles(h: np.ndarray, at: np.ndarray, buckets: int) -> list[bytes]:
+    """Per set how many members fall into each of the buckets, at most 255, as bytes."""
     docs = len(at) - 1
-    cell = np.repeat(np.arange(docs), np.diff(at)) * PROFILE + (h >> np.uint64(58)).astype(np.int64)
-    return np.minimum(np.bincount(cell, minlength=docs * PROFILE), 255).astype(np.uint8).reshape(docs, PROFILE)
+    bucket = (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+    cell = np.repeat(np.arange(docs), np.diff(at)) * buckets + bucket
+    return [x.tobytes() for x in np.minimum(np.bincount(cell, minlength=docs * buckets), 255).astype(np.uint8).reshape(docs, buckets)]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -263,20 +264,22 @@ def signatures(h: np.ndarray, at: np.ndarray, plan: list[Band]) -> Iterator[tupl
 
 
 def measure(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, cid, profile`` of every row; ``cid`` names the set."""
+    """``doc_id, n, cid, coarse, fine`` of every row; ``cid`` names the set."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = rows.select("doc_id").schema.add("n", "long").add("cid", "long").add("profile", "binary")
+    schema = rows.select("doc_id").schema.add("n", "long").add("cid", "long").add("coarse", "binary").add("fine", "binary")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            n, ids, prof = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            n, ids, coarse, fine = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
             for h, at in column_sets(b.column(1)):
                 n.append(np.diff(at))
                 ids.append(set_ids(h, at))
-                prof += [x.tobytes() for x in profiles(h, at)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(ids)), pa.array(prof, pa.binary())], names=schema.names)
+                coarse += profiles(h, at, COARSE)
+                fine += profiles(h, at, FINE)
+            cols = [pa.array(np.concatenate(n)), pa.array(np.concatenate(ids)), pa.array(coarse, pa.binary()), pa.array(fine, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -351,13 +354,13 @@ def _bounded(na, nb, pa_, pb_):
 
 
 def _profiles(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PROFILE)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b, gap`` of the pairs that the bounds leave."""
+def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
+    """``a, b, gap`` of the pairs that the bounds by size and ``profile`` leave."""
     for side in "ab":
-        pairs = pairs.join(classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("profile").alias(f"p{side}")), side)
+        pairs = pairs.join(classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col(profile).alias(f"p{side}")), side)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -374,7 +377,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def across(groups: DataFrame) -> DataFrame:
-    """``a, b`` of sets that share a signature, lie in different components and pass the bounds. ``groups``: sig, cid, comp, n, profile."""
+    """``a, b`` of sets that share a signature, lie in different components and pass the coarse bounds. ``groups``: sig, cid, comp, n, coarse."""
 
     def pairs_of(cid, comp, n, prof):
         for k in range(0, len(cid), BLOCK):
@@ -407,7 +410,7 @@ def across(groups: DataFrame) -> DataFrame:
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in (0, 1)], names=["a", "b"])
 
-    return groups.repartition("sig").sortWithinPartitions("sig").select("sig", "cid", "comp", "n", "profile").mapInArrow(run, "a long, b long")
+    return groups.repartition("sig").sortWithinPartitions("sig").select("sig", "cid", "comp", "n", "coarse").mapInArrow(run, "a long, b long")
 
 
 def _and_end(batches: Iterator) -> Iterator:
@@ -447,7 +450,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_shingles, component_id`` of every row."""
     rows = materialise(measure(docs, id_col, text_col), "join-rows")
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("profile").alias("profile")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("coarse").alias("coarse"), F.first("fine").alias("fine")
     )
     classes = materialise(classes, "join-classes")
     # sizes rounded to three digits: a bounded histogram
@@ -462,16 +465,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     lead = groups.groupBy("sig").agg(F.min("cid").alias("a"))
     stars = groups.join(lead, "sig").where("a <> cid").select("a", F.col("cid").alias("b")).distinct()
-    best = plausible(stars, classes).groupBy("b").agg(F.min("gap").alias("gap"), F.min_by("a", F.col("gap")).alias("a"))
+    stars = plausible(plausible(stars, classes, "coarse").select("a", "b"), classes, "fine")
+    best = stars.groupBy("b").agg(F.min("gap").alias("gap"), F.min_by("a", F.col("gap")).alias("a"))
     first = materialise(best.select("a", "b"), "join-stars")
     links = materialise(verify(first, classes, texts), "join-links")
 
     comp = components(links, "join-cc").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
     placed = groups.join(comp, "cid", "left").select("sig", "cid", F.coalesce("comp", "cid").alias("comp"))
     mixed = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-    open_ = placed.join(mixed, "sig").join(classes.select("cid", "n", "profile"), "cid")
+    open_ = placed.join(mixed, "sig").join(classes.select("cid", "n", "coarse"), "cid")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialise(across(open_).distinct().join(tried, ["a", "b"], "left_anti"), "join-rest")
+    rest = across(open_).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = materialise(plausible(rest, classes, "fine").select("a", "b"), "join-rest")
     links = links.unionByName(materialise(verify(rest, classes, texts), "join-links"))
 
     # rows that share an id are one document: their sets are one component
@@ -482,7 +487,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = classes.join(comp, classes["cid"] == comp["node"], "left").select("cid", "rep", F.coalesce("component", "cid").alias("comp"))
     name = whole.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = materialise(whole.join(name, "comp").select("cid", "component_id"), "join-named")
-    out = rows.join(named, "cid", "left")
+    out = rows.select("doc_id", "n", "cid").join(named, "cid", "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
