@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import components, materialise
 
 WORDS = 5
-COARSE, FINE = 64, 256  # buckets of the profiles that bound a difference from below; powers of two
+COARSE, FINE = 64, 1024  # buckets of the profiles that bound a difference from below; powers of two
 SALTS = 3  # partitions for sets with many empty subsets
 RATIO = 1.5  # between the lower ends of bands; above 1.25, so a pair spans two bands at most
 ALIKE = 1e-4  # share of pairs in a band taken to have half of their members in common, for the cost only
@@ -156,12 +156,13 @@ def set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.array([set_id(h[lo:hi]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.int64)
 
 
-def profiles(h: np.ndarray, at: np.ndarray, buckets: int) -> list[bytes]:
-    """Per set how many members fall into each of the buckets, at most 255, as bytes."""
+def profiles(h: np.ndarray, at: np.ndarray, buckets: int, most: int) -> list[bytes]:
+    """Per set how many members fall into each of the buckets, counted up to ``most``: 255, or 15 with two buckets to a byte."""
     docs = len(at) - 1
     bucket = (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
     cell = np.repeat(np.arange(docs), np.diff(at)) * buckets + bucket
-    return [x.tobytes() for x in np.minimum(np.bincount(cell, minlength=docs * buckets), 255).astype(np.uint8).reshape(docs, buckets)]
+    count = np.minimum(np.bincount(cell, minlength=docs * buckets), most).astype(np.uint8).reshape(docs, buckets)
+    return [x.tobytes() for x in (count[:, ::2] | count[:, 1::2] << 4 if most == 15 else count)]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -276,8 +277,8 @@ def measure(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for h, at in column_sets(b.column(1)):
                 n.append(np.diff(at))
                 ids.append(set_ids(h, at))
-                coarse += profiles(h, at, COARSE)
-                fine += profiles(h, at, FINE)
+                coarse += profiles(h, at, COARSE, 255)
+                fine += profiles(h, at, FINE, 15)
             cols = [pa.array(np.concatenate(n)), pa.array(np.concatenate(ids)), pa.array(coarse, pa.binary()), pa.array(fine, pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=schema.names)
 
@@ -354,7 +355,8 @@ def _bounded(na, nb, pa_, pb_):
 
 
 def _profiles(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return rows if rows.shape[1] == COARSE else np.concatenate([rows & 15, rows >> 4], axis=1)
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
