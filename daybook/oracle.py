@@ -1,10 +1,12 @@
 """Independent DuckDB SQL for every registered metric (the correctness check).
 
-The SQL follows the *reference's* query shapes (dense spines by cross join,
-month range joins, NOT EXISTS, row numbers, running sums), not the Spark
-rewrites, so agreement is evidence that the rewrites preserve semantics. Each
-statement starts from the raw ``events`` and ``customer`` views and applies
-the same fixture mapping as ``daybook.sources.fixtures``.
+Each statement is written from the definition of its metric over five CTEs
+(members, profiles and three logs, derived from the raw views as in
+``daybook.sources.fixtures``): distinct counts per report day, a range frame
+for gaps, self-sums for running totals, a long form of offsets for cohorts. It
+shares no query shape with the Spark plans. Report bounds are computed in SQL
+from the bookmarks, the overlap and the report time, not taken from the
+library's window code.
 
 In the check form dates are ISO strings and every numeric column is DOUBLE
 (money after an exact DECIMAL sum; counts are exact below 2**53) on both
@@ -13,7 +15,7 @@ sides, so values and NULLs convert alike from either engine.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from daybook.config import KpiConfig
 from daybook.sources import fixtures as fx
@@ -131,6 +133,24 @@ def _reg(alias: str, tz: int) -> str:
     return f"CAST({alias}.reg_utc + INTERVAL ({int(tz)}) HOUR AS DATE)"
 
 
+def _after(cfg: KpiConfig, back: int = 0) -> str:
+    """The day before the first report day: bookmark less the overlap (and ``back`` days)."""
+    return f"CAST({_d(cfg.start)} - {cfg.before_days + back} AS DATE)"
+
+
+def _until(cfg: KpiConfig) -> str:
+    """The unfinished local day of the report time."""
+    return f"CAST(TIMESTAMP '{cfg.as_of.isoformat(sep=' ')}' AS DATE)"
+
+
+def _in_days(day: str, cfg: KpiConfig, back: int = 0) -> str:
+    return f"{day} > {_after(cfg, back)} AND {day} < {_until(cfg)}"
+
+
+def _in_weeks(day: str, cfg: KpiConfig) -> str:
+    return f"{_wk(day)} > {_wk(_d(cfg.week_start))} AND {_wk(day)} < {_wk(_until(cfg))}"
+
+
 def _present(sql: str, dates=(), numeric=()) -> str:
     repl = [f"CAST({c} AS VARCHAR) AS {c}" for c in dates] + [f"CAST({c} AS DOUBLE) AS {c}" for c in numeric]
     if not repl:
@@ -144,366 +164,169 @@ def _with(cfg: KpiConfig, *extra: str, fixture: str = "events") -> str:
 
 
 # ---------------------------------------------------------------- daily
-def nru_day_body(cfg: KpiConfig) -> str:
-    r = _reg("mi", cfg.tz_offset_hours)
+def _new_members(cfg: KpiConfig, period: str, name: str, join: str, bound: str) -> str:
     return f"""
-SELECT '{cfg.game_code}' AS game_code, {r} AS division_date,
-       CAST(COALESCE(ie.os_type, 0) AS INTEGER) AS os_type,
-       COALESCE(ie.country_code, '00') AS country_code,
-       CAST(SUM(CASE WHEN mi.member_name != '' THEN 1 ELSE 0 END) AS BIGINT) AS nru1,
-       CAST(SUM(CASE WHEN mi.member_name = '' THEN 1 ELSE 0 END) AS BIGINT) AS nru2
-  FROM member mi
- INNER JOIN profile ie ON ie.member_id = mi.member_id
- WHERE {r} > {_d(cfg.day_lo)} AND {r} < {_d(cfg.day_hi)}
- GROUP BY {r}, COALESCE(ie.os_type, 0), COALESCE(ie.country_code, '00')"""
+SELECT '{cfg.game_code}' AS game_code, {period} AS {name}, CAST(coalesce(p.os_type, 0) AS INTEGER) AS os_type,
+       coalesce(p.country_code, '00') AS country_code,
+       count(*) FILTER (m.member_name <> '') AS nru1, count(*) FILTER (m.member_name = '') AS nru2
+FROM member m {join} JOIN profile p USING (member_id)
+WHERE {bound}
+GROUP BY ALL"""
+
+
+def nru_day_body(cfg: KpiConfig) -> str:
+    day = _reg("m", cfg.tz_offset_hours)
+    return _new_members(cfg, day, "division_date", "", _in_days(day, cfg))
 
 
 def nru_backup_rows_body(cfg: KpiConfig) -> str:
-    r = _reg("mi", cfg.tz_offset_hours)
+    day = _reg("m", cfg.tz_offset_hours)
     return f"""
-SELECT {r} AS division_date, mi.member_id,
-       CAST(COALESCE(ie.os_type, 0) AS INTEGER) AS os_type,
-       COALESCE(ie.country_code, '00') AS country_code, mi.member_name
-  FROM member mi
- INNER JOIN profile ie ON ie.member_id = mi.member_id
- WHERE {r} > {_d(cfg.day_lo)} AND {r} < {_d(cfg.day_hi)}"""
+SELECT {day} AS division_date, member_id, CAST(coalesce(p.os_type, 0) AS INTEGER) AS os_type,
+       coalesce(p.country_code, '00') AS country_code, m.member_name
+FROM member m JOIN profile p USING (member_id)
+WHERE {_in_days(day, cfg)}"""
 
 
-def dau_day_body(cfg: KpiConfig) -> str:
-    lo, hi, mlo = _d(cfg.day_lo), _d(cfg.day_hi), _d(cfg.month_lo)
+def _month_to_date(cfg: KpiConfig, log: str, ts: str, only: str, os_type: str, country: str, daily: str, monthly: str) -> str:
+    """Distinct members of a report day, and of its month up to it, per segment that is known."""
     return f"""
-SELECT '{cfg.game_code}' AS game_code, division_login_date AS division_date, os_type, country_code,
-       CAST(dau AS BIGINT) AS dau, CAST(sum_month_dau AS BIGINT) AS sum_month_dau
-  FROM (
-        SELECT division_login_date, os_type, country_code,
-               SUM(CASE WHEN division_login_date = login_date THEN 1 ELSE 0 END) AS dau,
-               SUM(CASE WHEN login_date IS NOT NULL THEN 1 ELSE 0 END) AS sum_month_dau
-          FROM (
-                SELECT dv.division_login_date, MAX(pl.login_date) AS login_date,
-                       dv.os_type, dv.country_code, pl.member_id
-                  FROM (
-                        SELECT da.division_login_date, oc.os_type, oc.country_code
-                          FROM (SELECT CAST(ml.login_ts AS DATE) AS division_login_date
-                                  FROM login ml
-                                 WHERE CAST(ml.login_ts AS DATE) > {lo} AND CAST(ml.login_ts AS DATE) < {hi}
-                                   AND ml.login_day_seq = 1
-                                 GROUP BY CAST(ml.login_ts AS DATE)) da
-                         CROSS JOIN (
-                               SELECT COALESCE(me.os_type, ml.os_type) AS os_type,
-                                      COALESCE(me.country_code, ml.country_code) AS country_code
-                                 FROM login ml INNER JOIN profile me ON me.member_id = ml.member_id
-                                WHERE CAST(ml.login_ts AS DATE) >= {mlo} AND CAST(ml.login_ts AS DATE) < {hi}
-                                  AND ml.login_day_seq = 1
-                                GROUP BY 1, 2) oc
-                       ) dv
-                  LEFT JOIN (
-                        SELECT CAST(ml.login_ts AS DATE) AS login_date,
-                               COALESCE(me.os_type, ml.os_type) AS os_type,
-                               COALESCE(me.country_code, ml.country_code) AS country_code,
-                               ml.member_id
-                          FROM login ml INNER JOIN profile me ON me.member_id = ml.member_id
-                         WHERE CAST(ml.login_ts AS DATE) >= {mlo} AND CAST(ml.login_ts AS DATE) < {hi}
-                           AND ml.login_day_seq = 1
-                         GROUP BY 1, 2, 3, 4
-                       ) pl
-                    ON date_trunc('month', pl.login_date) = date_trunc('month', dv.division_login_date)
-                   AND pl.login_date <= dv.division_login_date
-                   AND pl.os_type = dv.os_type
-                   AND pl.country_code = dv.country_code
-                 GROUP BY dv.division_login_date, dv.os_type, dv.country_code, pl.member_id
-               ) x
-         GROUP BY division_login_date, os_type, country_code
-       ) y
- WHERE sum_month_dau > 0"""
+SELECT '{cfg.game_code}' AS game_code, r.day AS division_date, a.os_type, a.country_code,
+       count(DISTINCT a.member_id) FILTER (a.day = r.day) AS {daily}, count(DISTINCT a.member_id) AS {monthly}
+FROM (SELECT DISTINCT CAST({ts} AS DATE) AS day FROM {log} WHERE {only} AND {_in_days(f"CAST({ts} AS DATE)", cfg)}) r
+JOIN (SELECT l.member_id, CAST(l.{ts} AS DATE) AS day, {os_type} AS os_type, {country} AS country_code
+      FROM {log} l JOIN profile p USING (member_id) WHERE {only}) a
+  ON a.day >= date_trunc('month', r.day) AND a.day <= r.day
+WHERE a.os_type IS NOT NULL AND a.country_code IS NOT NULL
+GROUP BY ALL"""
+
+
+def dau_day_body(cfg: KpiConfig) -> str:
+    os_type, country = "coalesce(p.os_type, l.os_type)", "coalesce(p.country_code, l.country_code)"
+    return _month_to_date(cfg, "login", "login_ts", "login_day_seq = 1", os_type, country, "dau", "sum_month_dau")
 
 
 def pu_day_body(cfg: KpiConfig) -> str:
-    lo, hi, mlo = _d(cfg.day_lo), _d(cfg.day_hi), _d(cfg.month_lo)
-    return f"""
-SELECT '{cfg.game_code}' AS game_code, division_log_date AS division_date, os_type, country_code,
-       CAST(pu AS BIGINT) AS pu, CAST(sum_month_pu AS BIGINT) AS sum_month_pu
-  FROM (
-        SELECT division_log_date, os_type, country_code,
-               SUM(CASE WHEN division_log_date = log_date THEN 1 ELSE 0 END) AS pu,
-               SUM(CASE WHEN log_date IS NOT NULL THEN 1 ELSE 0 END) AS sum_month_pu
-          FROM (
-                SELECT dv.division_log_date, MAX(pb.log_date) AS log_date,
-                       dv.os_type, dv.country_code, pb.member_id
-                  FROM (
-                        SELECT ld.division_log_date, oc.os_type, oc.country_code
-                          FROM (SELECT CAST(pb.log_ts AS DATE) AS division_log_date
-                                  FROM billing pb
-                                 WHERE CAST(pb.log_ts AS DATE) > {lo} AND CAST(pb.log_ts AS DATE) < {hi}
-                                 GROUP BY 1) ld
-                         CROSS JOIN (SELECT me.os_type, me.country_code FROM profile me GROUP BY 1, 2) oc
-                       ) dv
-                  LEFT JOIN (
-                        SELECT pb.member_id, me.os_type, me.country_code, CAST(pb.log_ts AS DATE) AS log_date,
-                               ROW_NUMBER() OVER (PARTITION BY pb.member_id, CAST(pb.log_ts AS DATE)
-                                                  ORDER BY CAST(pb.log_ts AS DATE)) AS day_seq
-                          FROM billing pb INNER JOIN profile me ON me.member_id = pb.member_id
-                         WHERE CAST(pb.log_ts AS DATE) >= {mlo} AND CAST(pb.log_ts AS DATE) < {hi}
-                         GROUP BY pb.member_id, CAST(pb.log_ts AS DATE), me.os_type, me.country_code
-                       ) pb
-                    ON date_trunc('month', pb.log_date) = date_trunc('month', dv.division_log_date)
-                   AND pb.log_date <= dv.division_log_date
-                   AND pb.os_type = dv.os_type
-                   AND pb.country_code = dv.country_code
-                   AND pb.day_seq = 1
-                 GROUP BY dv.division_log_date, dv.os_type, dv.country_code, pb.member_id
-               ) x
-         GROUP BY division_log_date, os_type, country_code
-       ) y
- WHERE sum_month_pu > 0"""
+    return _month_to_date(cfg, "billing", "log_ts", "true", "p.os_type", "p.country_code", "pu", "sum_month_pu")
 
 
 def eru_day_body(cfg: KpiConfig) -> str:
-    lo, hi, tz = _d(cfg.day_lo), _d(cfg.day_hi), cfg.tz_offset_hours
+    day = _reg("m", cfg.tz_offset_hours)
     return f"""
-SELECT '{cfg.game_code}' AS game_code, division_date, os_type, country_code, count(*) AS eru
-  FROM (
-        SELECT CAST(te.log_ts AS DATE) AS division_date, te.member_id, mi.os_type, mi.country_code
-          FROM tutorial_end te
-         INNER JOIN (
-               SELECT mi.member_id, me.os_type, me.country_code,
-                      mi.reg_utc + INTERVAL ({int(tz)}) HOUR AS reg_date
-                 FROM member mi INNER JOIN profile me ON me.member_id = mi.member_id
-                WHERE {_reg('mi', tz)} > {lo} AND {_reg('mi', tz)} < {hi}
-               ) mi
-            ON mi.member_id = te.member_id
-           AND CAST(mi.reg_date AS DATE) = CAST(te.log_ts AS DATE)
-         WHERE CAST(te.log_ts AS DATE) > {lo} AND CAST(te.log_ts AS DATE) < {hi}
-         GROUP BY 1, 2, 3, 4
-       ) er
- GROUP BY division_date, os_type, country_code"""
+SELECT '{cfg.game_code}' AS game_code, {day} AS division_date, p.os_type, p.country_code, count(*) AS eru
+FROM member m JOIN profile p USING (member_id)
+WHERE {_in_days(day, cfg)}
+  AND (m.member_id, {day}) IN (SELECT (t.member_id, CAST(t.log_ts AS DATE)) FROM tutorial_end t)
+GROUP BY ALL"""
 
 
 def rau_day_body(cfg: KpiConfig) -> str:
-    lo, hi, tz = _d(cfg.day_lo), _d(cfg.day_hi), cfg.tz_offset_hours
-    scan_lo = _d(cfg.rau_scan_lo)
-    day = "CAST(ml.login_ts AS DATE)"
     return f"""
-SELECT '{cfg.game_code}' AS game_code, me.division_date,
-       CAST(COALESCE(ie.os_type, 0) AS INTEGER) AS os_type,
-       COALESCE(ie.country_code, '00') AS country_code,
-       count(*) AS rau
-  FROM (
-        SELECT {day} AS division_date, ml.member_id
-          FROM login ml
-         INNER JOIN member me
-            ON me.member_id = ml.member_id
-           AND {_reg('me', tz)} < CAST({day} - 7 AS DATE)
-         WHERE ml.login_day_seq = 1
-           AND {day} > {lo} AND {day} < {hi}
-           AND NOT EXISTS (
-                 SELECT 1 FROM login ml1
-                  WHERE ml1.login_day_seq = 1
-                    AND ml1.member_id = ml.member_id
-                    AND CAST(ml1.login_ts AS DATE) BETWEEN CAST({day} - 7 AS DATE) AND CAST({day} - 1 AS DATE)
-                    AND CAST(ml1.login_ts AS DATE) >= {scan_lo}
-               )
-         GROUP BY 1, 2
-       ) me
-  LEFT JOIN profile ie ON me.member_id = ie.member_id
- GROUP BY me.division_date, COALESCE(ie.os_type, 0), COALESCE(ie.country_code, '00')"""
-
-
-def _sales_body(cfg: KpiConfig, period: str, period_name: str, lo_pred: str, per_member: bool) -> str:
-    member_key = ", pb.member_id" if per_member else ""
+SELECT '{cfg.game_code}' AS game_code, g.day AS division_date, CAST(coalesce(p.os_type, 0) AS INTEGER) AS os_type,
+       coalesce(p.country_code, '00') AS country_code, count(*) AS rau
+FROM (SELECT member_id, day, count(*) OVER (PARTITION BY member_id ORDER BY day
+             RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS seen
+      FROM (SELECT DISTINCT member_id, CAST(login_ts AS DATE) AS day FROM login
+            WHERE login_day_seq = 1 AND CAST(login_ts AS DATE) > {_after(cfg, 7 if cfg.rau_lookback_days is None else cfg.rau_lookback_days)})) g
+JOIN member m ON m.member_id = g.member_id AND g.day - {_reg("m", cfg.tz_offset_hours)} > 7
+LEFT JOIN profile p ON p.member_id = g.member_id
+WHERE g.seen = 0 AND {_in_days("g.day", cfg)}
+GROUP BY ALL"""
+
+
+def _sales_body(cfg: KpiConfig, period: str, name: str, bound: str, users: str) -> str:
     return f"""
-SELECT '{cfg.game_code}' AS game_code, period AS {period_name}, os_type, country_code, market, product_idx,
-       count(*) AS user_count,
-       CAST(SUM(sales_count) AS BIGINT) AS sales_count,
-       CAST(SUM(real_cash_kr) AS DECIMAL(38,2)) AS real_cash_kr
-  FROM (
-        SELECT {period} AS period{member_key}, pb.os_type, pb.country_code,
-               pb.market, pb.product_id AS product_idx,
-               count(*) AS sales_count, SUM(pb.amount) AS real_cash_kr
-          FROM billing pb
-         WHERE {lo_pred}
-         GROUP BY {period}{member_key}, pb.os_type, pb.country_code, pb.market, pb.product_id
-       ) pb1
- GROUP BY period, os_type, country_code, market, product_idx"""
+SELECT '{cfg.game_code}' AS game_code, {period} AS {name}, os_type, country_code, market, product_id AS product_idx,
+       {users} AS user_count, count(*) AS sales_count, CAST(sum(amount) AS DECIMAL(38,2)) AS real_cash_kr
+FROM billing
+WHERE {bound}
+GROUP BY ALL"""
 
 
 def sales_day_body(cfg: KpiConfig) -> str:
-    d = "CAST(pb.log_ts AS DATE)"
-    return _sales_body(cfg, d, "division_date", f"{d} > {_d(cfg.day_lo)} AND {d} < {_d(cfg.day_hi)}", True)
+    day = "CAST(log_ts AS DATE)"
+    return _sales_body(cfg, day, "division_date", _in_days(day, cfg), "count(DISTINCT member_id)")
 
 
 def ru_day_body(cfg: KpiConfig, seed_sql: str | None = None) -> str:
-    lo, hi, tz = _d(cfg.day_lo), _d(cfg.day_hi), cfg.tz_offset_hours
-    r = _reg("mi", tz)
-    seed = ""
-    if seed_sql:
-        seed = f"""
-        UNION ALL
-        SELECT division_date, os_type, country_code, sum_date_count
-          FROM ({seed_sql}) rd
-         WHERE game_code = '{cfg.game_code}' AND division_date = {lo}"""
+    """Sign-ups per day and known segment, and their self-sum over all earlier sign-up days."""
+    day = _reg("m", cfg.tz_offset_hours)
+    seed = f"UNION ALL SELECT division_date, os_type, country_code, sum_date_count FROM ({seed_sql}) old WHERE division_date = {_after(cfg)}"
+    days = f"SELECT DISTINCT {day} AS day FROM member m WHERE {day} >= {_after(cfg)} AND {day} < {_until(cfg)}"
+    gains = f"""SELECT {day} AS day, p.os_type, p.country_code, count(*) AS n
+      FROM member m JOIN profile p USING (member_id) WHERE {_in_days(day, cfg)} GROUP BY ALL {seed if seed_sql else ""}"""
     return f"""
-SELECT '{cfg.game_code}' AS game_code, division_date, os_type, country_code,
-       CAST(date_count AS BIGINT) AS date_count,
-       CAST(CASE WHEN os_type IS NULL OR country_code IS NULL THEN date_count
-                 ELSE SUM(date_count) OVER (PARTITION BY os_type, country_code ORDER BY division_date
-                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-            END AS BIGINT) AS sum_date_count
-  FROM (
-        SELECT f.division_date, f.os_type, f.country_code, COALESCE(ui.date_count, 0) AS date_count
-          FROM (
-                SELECT mi.division_date, f.os_type, f.country_code
-                  FROM (SELECT {r} AS division_date FROM member mi
-                         WHERE {r} >= {lo} AND {r} < {hi} GROUP BY 1) mi
-                 CROSS JOIN (SELECT os_type, country_code FROM profile GROUP BY 1, 2) f
-               ) f
-          LEFT JOIN (
-                SELECT {r} AS division_date, me.os_type, me.country_code, COUNT(*) AS date_count
-                  FROM member mi INNER JOIN profile me ON me.member_id = mi.member_id
-                 WHERE {r} > {lo} AND {r} < {hi}
-                 GROUP BY 1, 2, 3{seed}
-               ) ui
-            ON ui.division_date = f.division_date
-           AND ui.os_type = f.os_type
-           AND ui.country_code = f.country_code
-       ) c"""
+SELECT '{cfg.game_code}' AS game_code, d.day AS division_date, s.os_type, s.country_code,
+       CAST(coalesce(sum(g.n) FILTER (g.day = d.day), 0) AS BIGINT) AS date_count, CAST(coalesce(sum(g.n), 0) AS BIGINT) AS sum_date_count
+FROM ({days}) d
+JOIN (SELECT DISTINCT os_type, country_code FROM profile) s ON true
+LEFT JOIN (SELECT * FROM ({gains}) WHERE day IN (SELECT day FROM ({days}))) g
+  ON g.os_type = s.os_type AND g.country_code = s.country_code AND g.day <= d.day
+GROUP BY ALL"""
 
 
 def retention_day_body(cfg: KpiConfig) -> str:
-    lo, hi, tz = _d(cfg.retention_day_lo), _d(cfg.day_hi), cfg.tz_offset_hours
-    r = _reg("mi", tz)
-    users = ",\n".join(
-        f"SUM(CASE WHEN ml.login_date = CAST({r} + {i} AS DATE) THEN 1 ELSE 0 END) AS user_day{i}"
-        for i in range(1, RETENTION_DAYS + 1)
-    )
-    sales = ",\n".join(
-        f"SUM(CASE WHEN pb.log_date = CAST(mi.reg_date + {i} AS DATE) THEN pb.real_cash_kr ELSE 0 END) AS sales_day{i}"
-        for i in range(0, RETENTION_DAYS + 1)
-    )
-    cols = ", ".join(
-        [f"CAST(ul.user_day{i} AS BIGINT) AS user_{i}" for i in range(1, RETENTION_DAYS + 1)]
-        + [f"CAST(pb.sales_day{i} AS DECIMAL(38,2)) AS sales_{i}" for i in range(0, RETENTION_DAYS + 1)]
-    )
+    """Cohorts by sign-up day and segment; what their members did, in long form (kind, days since sign-up, amount)."""
+    bound, known = _in_days("c.day", cfg, cfg.retention_lookback_days), "c.os_type IS NOT NULL AND c.country_code IS NOT NULL"
+    value = lambda kind, k, t: f"CASE WHEN {known} THEN CAST(coalesce(sum(f.v) FILTER (f.kind = '{kind}' AND f.k = {k}), 0) AS {t}) END AS {kind}_{k}"
+    cols = [value("user", k, "BIGINT") for k in range(1, RETENTION_DAYS + 1)] + [value("sales", k, "DECIMAL(38,2)") for k in range(RETENTION_DAYS + 1)]
     return f"""
-SELECT '{cfg.game_code}' AS game_code, ui.reg_date AS division_date, ui.os_type, ui.country_code,
-       ui.user_count, {cols}
-  FROM (
-        SELECT {r} AS reg_date, me.os_type, me.country_code, count(*) AS user_count
-          FROM member mi INNER JOIN profile me ON me.member_id = mi.member_id
-         WHERE {r} > {lo} AND {r} < {hi}
-         GROUP BY 1, 2, 3
-       ) ui
-  LEFT JOIN (
-        SELECT {r} AS division_reg_date, me.os_type, me.country_code, count(*) AS user_count,
-               {users}
-          FROM member mi
-         INNER JOIN profile me ON me.member_id = mi.member_id
-          LEFT JOIN (SELECT CAST(login_ts AS DATE) AS login_date, member_id
-                       FROM login
-                      WHERE CAST(login_ts AS DATE) > {lo} AND CAST(login_ts AS DATE) < {hi}
-                      GROUP BY 1, 2) ml
-            ON ml.member_id = mi.member_id
-           AND ml.login_date BETWEEN CAST({r} + 1 AS DATE) AND CAST({r} + 32 AS DATE)
-         WHERE {r} > {lo} AND {r} < {hi}
-         GROUP BY 1, 2, 3
-       ) ul
-    ON ul.division_reg_date = ui.reg_date AND ul.os_type = ui.os_type AND ul.country_code = ui.country_code
-  LEFT JOIN (
-        SELECT mi.reg_date, mi.os_type, mi.country_code,
-               {sales}
-          FROM (SELECT {r} AS reg_date, mi.member_id, ie.os_type, ie.country_code
-                  FROM member mi INNER JOIN profile ie ON ie.member_id = mi.member_id
-                 WHERE {r} > {lo} AND {r} < {hi}) mi
-          LEFT JOIN (SELECT CAST(log_ts AS DATE) AS log_date, member_id, SUM(amount) AS real_cash_kr
-                       FROM billing
-                      WHERE CAST(log_ts AS DATE) > {lo} AND CAST(log_ts AS DATE) < {hi}
-                      GROUP BY 1, 2) pb
-            ON pb.member_id = mi.member_id
-           AND pb.log_date BETWEEN mi.reg_date AND CAST(mi.reg_date + 31 AS DATE)
-         GROUP BY 1, 2, 3
-       ) pb
-    ON pb.reg_date = ui.reg_date AND pb.os_type = ui.os_type AND pb.country_code = ui.country_code"""
+SELECT '{cfg.game_code}' AS game_code, c.day AS division_date, c.os_type, c.country_code,
+       count(DISTINCT c.member_id) AS user_count, {", ".join(cols)}
+FROM (SELECT m.member_id, {_reg("m", cfg.tz_offset_hours)} AS day, p.os_type, p.country_code FROM member m JOIN profile p USING (member_id)) c
+LEFT JOIN (
+  SELECT 'user' AS kind, o.member_id, o.day - {_reg("m", cfg.tz_offset_hours)} AS k, CAST(1 AS DECIMAL(38,2)) AS v
+  FROM (SELECT DISTINCT member_id, CAST(login_ts AS DATE) AS day FROM login) o JOIN member m USING (member_id)
+  WHERE o.day < {_until(cfg)}
+  UNION ALL
+  SELECT 'sales', b.member_id, CAST(b.log_ts AS DATE) - {_reg("m", cfg.tz_offset_hours)}, b.amount
+  FROM billing b JOIN member m USING (member_id) WHERE CAST(b.log_ts AS DATE) < {_until(cfg)}
+) f ON f.member_id = c.member_id
+WHERE {bound}
+GROUP BY c.day, c.os_type, c.country_code"""
 
 
 # ---------------------------------------------------------------- weekly
-def _week_pred(expr_date: str, cfg: KpiConfig) -> str:
-    w = _wk(expr_date)
-    return f"{w} > {_d(cfg.week_lo)} AND {w} < {_d(cfg.week_hi)}"
-
-
 def nru_week_body(cfg: KpiConfig) -> str:
-    r = _reg("mi", cfg.tz_offset_hours)
-    w = _wk(r)
-    return f"""
-SELECT '{cfg.game_code}' AS game_code, {w} AS division_week,
-       CAST(COALESCE(ie.os_type, 0) AS INTEGER) AS os_type,
-       COALESCE(ie.country_code, '00') AS country_code,
-       CAST(SUM(CASE WHEN mi.member_name != '' THEN 1 ELSE 0 END) AS BIGINT) AS nru1,
-       CAST(SUM(CASE WHEN mi.member_name = '' THEN 1 ELSE 0 END) AS BIGINT) AS nru2
-  FROM member mi
-  LEFT JOIN profile ie ON ie.member_id = mi.member_id
- WHERE {w} >= CAST({_d(cfg.week_lo)} + 7 AS DATE) AND {w} < {_d(cfg.week_hi)}
- GROUP BY {w}, COALESCE(ie.os_type, 0), COALESCE(ie.country_code, '00')"""
+    day = _reg("m", cfg.tz_offset_hours)
+    return _new_members(cfg, _wk(day), "division_week", "LEFT", _in_weeks(day, cfg))
 
 
 def wau_week_body(cfg: KpiConfig) -> str:
-    d = "CAST(ml.login_ts AS DATE)"
+    day = "CAST(login_ts AS DATE)"
     return f"""
-SELECT '{cfg.game_code}' AS game_code, division_login_week AS division_week, os_type, country_code,
-       count(*) AS wau
-  FROM (SELECT {_wk(d)} AS division_login_week, ml.os_type, ml.country_code, ml.member_id
-          FROM login ml
-         WHERE {_week_pred(d, cfg)}
-         GROUP BY 1, 2, 3, 4) pl
- GROUP BY division_login_week, os_type, country_code"""
+SELECT '{cfg.game_code}' AS game_code, {_wk(day)} AS division_week, os_type, country_code, count(DISTINCT member_id) AS wau
+FROM login WHERE {_in_weeks(day, cfg)} GROUP BY ALL"""
 
 
 def pu_week_body(cfg: KpiConfig) -> str:
-    d = "CAST(pb.log_ts AS DATE)"
+    """Payers of a week, each in the smallest of the segments logged for it, unknown ones first."""
+    day, order = "CAST(log_ts AS DATE)", "ORDER BY os_type NULLS FIRST, country_code NULLS FIRST"
     return f"""
-SELECT '{cfg.game_code}' AS game_code, division_log_week AS division_week, os_type, country_code,
-       count(*) AS pu
-  FROM (SELECT pb.member_id, pb.os_type, pb.country_code, {_wk(d)} AS division_log_week,
-               ROW_NUMBER() OVER (PARTITION BY pb.member_id, {_wk(d)}
-                                  ORDER BY pb.os_type ASC NULLS FIRST, pb.country_code ASC NULLS FIRST) AS week_seq
-          FROM billing pb
-         WHERE {_week_pred(d, cfg)}
-         GROUP BY pb.member_id, {_wk(d)}, pb.os_type, pb.country_code) pl
- WHERE week_seq = 1
- GROUP BY division_log_week, os_type, country_code"""
+SELECT '{cfg.game_code}' AS game_code, week AS division_week, os AS os_type, cc AS country_code, count(*) AS pu
+FROM (SELECT member_id, {_wk(day)} AS week, first(os_type {order}) AS os, first(country_code {order}) AS cc
+      FROM billing WHERE {_in_weeks(day, cfg)} GROUP BY ALL)
+GROUP BY ALL"""
 
 
 def eru_week_body(cfg: KpiConfig) -> str:
-    tz = cfg.tz_offset_hours
-    d = "CAST(te.log_ts AS DATE)"
-    rl = f"CAST(mi.reg_utc + INTERVAL ({int(tz)}) HOUR AS DATE)"
+    day = _reg("m", cfg.tz_offset_hours)
     return f"""
-SELECT '{cfg.game_code}' AS game_code, {_wk(d)} AS division_week, te.os_type, te.country_code,
-       count(*) AS eru
-  FROM tutorial_end te
- INNER JOIN (SELECT mi.member_id, mi.reg_utc + INTERVAL ({int(tz)}) HOUR AS reg_date
-               FROM member mi
-              WHERE {_week_pred(rl, cfg)}) mi
-    ON mi.member_id = te.member_id
-   AND CAST(mi.reg_date AS DATE) = {d}
- WHERE {_week_pred(d, cfg)}
-   AND CAST(mi.reg_date AS DATE) = {d}
- GROUP BY {_wk(d)}, te.os_type, te.country_code"""
+SELECT '{cfg.game_code}' AS game_code, {_wk(day)} AS division_week, t.os_type, t.country_code, count(*) AS eru
+FROM member m, tutorial_end t
+WHERE t.member_id = m.member_id AND CAST(t.log_ts AS DATE) = {day} AND {_in_weeks(day, cfg)}
+GROUP BY ALL"""
 
 
 def rau_week_body(cfg: KpiConfig, rau_day_sql: str) -> str:
-    w = _wk("rd.division_date")
     return f"""
-SELECT '{cfg.game_code}' AS game_code, {w} AS division_week, rd.os_type, rd.country_code,
-       CAST(SUM(rd.rau) AS BIGINT) AS rau
-  FROM ({rau_day_sql}) rd
- WHERE rd.game_code = '{cfg.game_code}'
-   AND {w} >= CAST({_d(cfg.week_lo)} + 7 AS DATE) AND {w} < {_d(cfg.week_hi)}
- GROUP BY {w}, rd.os_type, rd.country_code"""
+SELECT game_code, {_wk("division_date")} AS division_week, os_type, country_code, CAST(sum(rau) AS BIGINT) AS rau
+FROM ({rau_day_sql}) WHERE game_code = '{cfg.game_code}' AND {_in_weeks("division_date", cfg)} GROUP BY ALL"""
 
 
 def sales_week_body(cfg: KpiConfig, per_member: bool = False) -> str:
-    d = "CAST(pb.log_ts AS DATE)"
-    return _sales_body(cfg, _wk(d), "division_week", _week_pred(d, cfg), per_member)
+    day = "CAST(log_ts AS DATE)"
+    return _sales_body(cfg, _wk(day), "division_week", _in_weeks(day, cfg), "count(DISTINCT member_id)" if per_member else "CAST(1 AS BIGINT)")
 
 
 # ---------------------------------------------------------------- statements
