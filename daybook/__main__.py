@@ -16,7 +16,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 
@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> dict[str, str | None]:
     a = _parser().parse_args(argv)
-    as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now()
+    as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(hours=a.tz_offset_hours)
     cfg = KpiConfig(
         game_code=a.game,
         tz_offset_hours=a.tz_offset_hours,

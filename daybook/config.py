@@ -65,9 +65,6 @@ class KpiConfig:
     as_of: datetime = datetime(2024, 1, 31)
     retention_lookback_days: int = 32
     rau_lookback_days: int | None = None
-    # Upper bound on the number of calendar days a report window may span
-    # before spine construction refuses to broadcast the day list.
-    max_window_days: int = 100_000
 
     def __post_init__(self):
         object.__setattr__(self, "start", _as_date(self.start))
@@ -119,14 +116,6 @@ class KpiConfig:
         # first report day is day_lo + 1; its gap window starts 7 days earlier
         return self.day_lo + timedelta(days=1) - timedelta(days=back)
 
-    def window_days(self, lo: date, hi: date) -> int:
-        n = (hi - lo).days
-        if n > self.max_window_days:
-            raise ValueError(
-                f"report window {lo}..{hi} spans {n} days, above max_window_days={self.max_window_days}"
-            )
-        return n
-
 
 # Fixed values of the checked scenario (FIXTURES.md section 3): local offset 9 h,
 # one day of overlap, daily bookmark 2024-01-01, weekly bookmark 2023-12-24,

@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 SEG = ["os_type", "country_code"]
 
 
+# Raw log rows that a row of a reduced log stands for. Only the runner's
+# reductions carry it; sources are projected to their schemas when read.
+LOG_ROWS = "_daybook_log_rows"
+
+
 def row_weight(df: DataFrame) -> Column:
-    """Raw log rows a row stands for: ``n`` on pre-aggregated logs, else 1."""
-    return F.col("n") if "n" in df.columns else F.lit(1)
+    """Raw log rows a row stands for: ``LOG_ROWS`` on reduced logs, else 1."""
+    return F.col(LOG_ROWS) if LOG_ROWS in df.columns else F.lit(1)
 
 
 def with_game(df: DataFrame, game_code: str) -> DataFrame:

@@ -33,7 +33,9 @@ def replace_range(existing: DataFrame, new: DataFrame, game_code: str, cutoff, k
     Key equality is NULL-safe: a NULL segment is a key value like any other,
     so a re-computed NULL-segment row replaces its stale copy.
     """
-    kept = existing.filter(~((F.col("game_code") == F.lit(game_code)) & (F.col(date_col) >= F.lit(cutoff))))
+    # as a DELETE does, keep rows for which the comparison is unknown
+    gone = (F.col("game_code") == F.lit(game_code)) & (F.col(date_col) >= F.lit(cutoff))
+    kept = existing.filter(~F.coalesce(gone, F.lit(False)))
     new_keys = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     cond = reduce(lambda a, b: a & b, [kept[k].eqNullSafe(new_keys[f"_new_{k}"]) for k in keys])
     kept = kept.join(new_keys, cond, "left_anti")

@@ -17,20 +17,13 @@ from pyspark.sql import functions as F
 
 from daybook.functions.calendar import date_sequence
 
-# Largest day list broadcast to executors: dates are 4 bytes, so even the cap
-# is a few hundred KiB. Windows beyond it fall back to a shuffled join.
-MAX_BROADCAST_DAYS = 50_000
 
+def bounded_days(days: DataFrame) -> DataFrame:
+    """Hint a broadcast for a distinct day list of a report window.
 
-def bounded_days(days: DataFrame, lo_inclusive: date, hi_exclusive: date) -> DataFrame:
-    """Hint a broadcast for a distinct day list confined to ``[lo, hi)``.
-
-    The list cannot hold more than ``(hi - lo).days`` rows whatever the data
-    volume; above ``MAX_BROADCAST_DAYS`` the hint is withheld.
+    It has a row of 4 bytes per calendar day at most, whatever the data volume.
     """
-    if (hi_exclusive - lo_inclusive).days <= MAX_BROADCAST_DAYS:
-        return F.broadcast(days)
-    return days
+    return F.broadcast(days)
 
 
 def expand_days(df: DataFrame, lo_inclusive: date, hi_exclusive: date, name: str = "day") -> DataFrame:

@@ -89,7 +89,7 @@ def dau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
         .filter(seg_not_null())
     )
     out = month_to_date_distinct(
-        act, bounded_days(report_days, lo + timedelta(days=1), hi), hi, "dau", "sum_month_dau"
+        act, bounded_days(report_days), hi, "dau", "sum_month_dau"
     )
     return with_game(out, cfg.game_code)
 
@@ -109,7 +109,7 @@ def pu_day(cfg: KpiConfig, src: Sources) -> DataFrame:
         .filter(seg_not_null())
     )
     out = month_to_date_distinct(
-        act, bounded_days(report_days, lo + timedelta(days=1), hi), hi, "pu", "sum_month_pu"
+        act, bounded_days(report_days), hi, "pu", "sum_month_pu"
     )
     return with_game(out, cfg.game_code)
 
@@ -208,14 +208,13 @@ def _ru_parts(cfg: KpiConfig, src: Sources, spine_lo_inclusive):
     """Dense (sign-up day x profile segment) grid from ``spine_lo_inclusive``,
     and the sign-up counts per (day, segment) of the report window."""
     hi, tz = cfg.day_hi, cfg.tz_offset_hours
-    cfg.window_days(spine_lo_inclusive, hi)
     signup_days = (
         src.member.filter(day_range_incl("reg_utc", spine_lo_inclusive, hi, tz))
         .select(local_date("reg_utc", tz).alias("day"))
         .distinct()
     )
     segs = src.profile.select(*SEG).distinct()
-    grid = expand_days(segs, spine_lo_inclusive, hi).join(bounded_days(signup_days, spine_lo_inclusive, hi), "day")
+    grid = expand_days(segs, spine_lo_inclusive, hi).join(bounded_days(signup_days), "day")
     counts = (
         _new_members(cfg, src)
         .join(src.profile.select("member_id", *SEG), "member_id", "inner")

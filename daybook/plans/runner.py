@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from daybook.config import KpiConfig
 from daybook.functions.calendar import scan_days
-from daybook.operators.activity import SEG
+from daybook.operators.activity import LOG_ROWS, SEG
 from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame, replace_range
 from daybook.plans import daily, weekly
 from daybook.session import checkpoint_dir
@@ -129,25 +129,51 @@ def reduce_log(name: str, df: DataFrame, lo_inclusive: date, hi_exclusive: date)
     if name == "login":
         return (
             rows.groupBy("member_id", dt, *SEG)
-            .agg(F.min("login_day_seq").alias("login_day_seq"), F.count(F.lit(1)).alias("n"))
-            .select("member_id", day_ts, *SEG, "login_day_seq", "n", "dt")
+            .agg(F.min("login_day_seq").alias("login_day_seq"), F.count(F.lit(1)).alias(LOG_ROWS))
+            .select("member_id", day_ts, *SEG, "login_day_seq", LOG_ROWS, "dt")
         )
     if name == "billing":
         return (
             rows.groupBy("member_id", dt, *SEG, "market", "product_id")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
-            .select("member_id", day_ts, *SEG, "market", "product_id", "amount", "n", "dt")
+            .agg(F.count(F.lit(1)).alias(LOG_ROWS), F.sum("amount").alias("amount"))
+            .select("member_id", day_ts, *SEG, "market", "product_id", "amount", LOG_ROWS, "dt")
         )
     return (
         rows.groupBy("member_id", dt, *SEG)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("member_id", day_ts, *SEG, "n", "dt")
+        .agg(F.count(F.lit(1)).alias(LOG_ROWS))
+        .select("member_id", day_ts, *SEG, LOG_ROWS, "dt")
     )
 
 
-def reduce_logs(src: Sources, lo_inclusive: date, hi_exclusive: date) -> Sources:
-    """The three logs over local days ``[lo, hi)`` at member-day grain."""
-    return src.replace(**{name: reduce_log(name, getattr(src, name), lo_inclusive, hi_exclusive) for name in LOG_TS})
+def reduce_logs(src: Sources, lo_inclusive: date | dict[str, date], hi_exclusive: date) -> Sources:
+    """The three logs over local days ``[lo, hi)`` at member-day grain; ``lo`` may differ by log."""
+    lo = lo_inclusive if isinstance(lo_inclusive, dict) else dict.fromkeys(LOG_TS, lo_inclusive)
+    return src.replace(**{name: reduce_log(name, getattr(src, name), lo.get(name, hi_exclusive), hi_exclusive) for name in LOG_TS})
+
+
+# The logs that a table's job reads, and the first local day of them that it needs.
+LOG_READS: dict[str, tuple[tuple[str, ...], Callable[[KpiConfig], date]]] = {
+    "dau_day": (("login",), lambda c: c.month_lo),
+    "pu_day": (("billing",), lambda c: c.month_lo),
+    "eru_day": (("tutorial_end",), lambda c: c.day_lo + DAY),
+    "rau_day": (("login",), lambda c: min(c.rau_scan_lo, c.day_lo + DAY)),
+    "sales_day": (("billing",), lambda c: c.day_lo + DAY),
+    "retention_day": (("login", "billing"), lambda c: c.retention_day_lo + DAY),
+    "wau_week": (("login",), lambda c: c.week_lo + timedelta(days=7)),
+    "pu_week": (("billing",), lambda c: c.week_lo + timedelta(days=7)),
+    "eru_week": (("tutorial_end",), lambda c: c.week_lo + timedelta(days=7)),
+    "sales_week": (("billing",), lambda c: c.week_lo + timedelta(days=7)),
+}
+
+
+def log_windows(jobs: list[Job], cfgs: dict[str, KpiConfig]) -> dict[str, date]:
+    """Per log the first local day that any of ``jobs`` reads; logs that none reads are left out."""
+    lows: dict[str, date] = {}
+    for job in jobs:
+        logs, first = LOG_READS.get(job.table, ((), None))
+        for log in logs:
+            lows[log] = min(lows.get(log, date.max), first(cfgs[job.table]))
+    return lows
 
 
 def _stored_days(spark: SparkSession, path: str) -> set[date]:
@@ -219,6 +245,12 @@ BACKUPS: dict[str, Callable[[KpiConfig, Sources, DataFrame], DataFrame]] = {
 }
 
 
+def _drop_work(spark: SparkSession, tables: list[str], folder: str) -> None:
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    delete_path(spark, folder)
+
+
 def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) -> tuple[Sources, list[str], str]:
     """Write every source as a table bucketed by ``member_id``; read them back.
 
@@ -230,17 +262,21 @@ def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) ->
     run_id = uuid.uuid4().hex[:12]
     folder = f"{work_root.rstrip('/')}/{run_id}"
     frames, tables = {}, []
-    for name, df in src.items():
-        table = f"daybook_work_{run_id}_{name}"
-        (
-            df.repartition(buckets, "member_id")
-            .write.bucketBy(buckets, "member_id")
-            .option("path", f"{folder}/{name}")
-            .mode("errorifexists")
-            .saveAsTable(table)
-        )
-        frames[name] = spark.table(table)
-        tables.append(table)
+    try:
+        for name, df in src.items():
+            table = f"daybook_work_{run_id}_{name}"
+            tables.append(table)
+            (
+                df.repartition(buckets, "member_id")
+                .write.bucketBy(buckets, "member_id")
+                .option("path", f"{folder}/{name}")
+                .mode("errorifexists")
+                .saveAsTable(table)
+            )
+            frames[name] = spark.table(table)
+    except BaseException:
+        _drop_work(spark, tables, folder)
+        raise
     return Sources(**frames), tables, folder
 
 
@@ -274,7 +310,7 @@ def run_jobs(
     jobs: list[Job],
     backup_root: str | None = None,
     buckets: int | None = None,
-    keep_versions: int | None = 7,
+    keep_versions: int | None = None,
     rescan: str = "window",
 ) -> dict[str, str | None]:
     """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped).
@@ -299,20 +335,18 @@ def run_jobs(
     ckpt = checkpoint_dir(spark)
     marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA))
     cfgs = {job.table: job_config(base, job, marks) for job in jobs}
-    lo, hi = scan_window(list(cfgs.values()))
+    lows, hi = log_windows(jobs, cfgs), max(c.day_hi for c in cfgs.values())
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(spark, RUN_CONF):
         if rescan == "recent":
-            logs = refresh_reductions(spark, store, src, base.game_code, lo, hi, refresh_start(jobs, cfgs))
+            logs = refresh_reductions(spark, store, src, base.game_code, min(lows.values(), default=hi), hi, refresh_start(jobs, cfgs))
         else:
-            logs = reduce_logs(src, lo, hi)
+            logs = reduce_logs(src, lows, hi)
         reduced, work_tables, work_folder = colocate(spark, logs, f"{ckpt}/daybook-work", n)
         try:
             out = _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
         finally:
-            for t in work_tables:
-                spark.sql(f"DROP TABLE IF EXISTS {t}")
-            delete_path(spark, work_folder)
+            _drop_work(spark, work_tables, work_folder)
     if keep_versions:
         for table in [job.table for job in jobs] + ["bookmark"]:
             store.vacuum(table, keep_versions)
@@ -334,8 +368,8 @@ def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str
         current = store.read(job.table, result.schema)
         merged = replace_range(current, result, cfg.game_code, job.cutoff(cfg), job.keys, job.date_col)
         store.commit(job.table, merged)
-        # the bookmark moves only after the table version is committed
-        marks[(cfg.game_code, job.name, job.kind)] = latest
+        # the bookmark moves only after the table version is committed; others' marks are read anew
+        marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA)) | {(cfg.game_code, job.name, job.kind): latest}
         store.commit("bookmark", bookmarks_frame(spark, marks), partitions=1)
         if backup_root and job.table in BACKUPS:
             folder = job.table.split("_")[0]
@@ -350,7 +384,7 @@ def run_daily(
     base: KpiConfig,
     backup_root: str | None = None,
     buckets: int | None = None,
-    keep_versions: int | None = 7,
+    keep_versions: int | None = None,
     rescan: str = "window",
 ) -> dict[str, str | None]:
     return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets, keep_versions, rescan)
@@ -362,7 +396,7 @@ def run_weekly(
     src: Sources,
     base: KpiConfig,
     buckets: int | None = None,
-    keep_versions: int | None = 7,
+    keep_versions: int | None = None,
     rescan: str = "window",
 ) -> dict[str, str | None]:
     return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets, keep_versions=keep_versions, rescan=rescan)

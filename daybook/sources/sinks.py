@@ -2,20 +2,19 @@
 
 The reference deletes a date range and upserts into MySQL over separate
 connections, so a failure in between leaves a hole. Here every commit writes
-the *whole* merged table as a new version directory ``<root>/<table>/v=<n>``
-in one Spark job. Spark's output committer publishes the files only when the
-job succeeds, so readers (who take the highest version) see either the old
-or the new table, never a half-written one; and a table is never overwritten
-while it is being read. Older versions stay as snapshots.
-
-One writer per store is assumed (the runner of a game); the store remembers
-the versions it has seen or written, so only the first access to a table
-lists its folder. ``vacuum`` removes all but the newest versions.
+the *whole* merged table as a new version in one Spark job, into an attempt
+folder of its own: ``<root>/<table>/v=<n>/<attempt>``. Spark's committer marks
+that folder with ``_SUCCESS`` once the whole job has succeeded, and only marked
+attempts count as versions: readers (who take the highest version) see either
+the old or the new table, a failed or half-written attempt is never read, and a
+retry is not in its way. Older versions stay as snapshots until ``vacuum``
+removes all but the newest ones.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -24,45 +23,43 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._versions: dict[str, list[int]] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def versions(self, table: str) -> list[int]:
-        """Committed version numbers (partition discovery over ``v=<n>``)."""
-        if table not in self._versions:
-            self._versions[table] = self._list(table)
-        return list(self._versions[table])
-
-    def _list(self, table: str) -> list[int]:
-        try:
-            df = self.spark.read.parquet(self.path(table))
-        except AnalysisException:
-            return []
-        if "v" not in df.columns:
-            return []
-        return sorted(int(r["v"]) for r in df.select("v").distinct().collect())
+        """Committed version numbers, from the folder listing (no job)."""
+        return sorted(self._committed(table))
+
+    def _committed(self, table: str) -> dict[int, str]:
+        """Version number -> folder of its committed attempt (of several, the first by name)."""
+        found: dict[int, str] = {}
+        for version in list_path(self.spark, self.path(table)):
+            name = version.rsplit("/", 1)[-1]
+            if name.startswith("v=") and name[2:].isdigit():
+                marks = (f"{a}/_SUCCESS" for a in sorted(list_path(self.spark, version)))
+                done = next((m for m in marks if path_exists(self.spark, m)), None)
+                if done:
+                    found[int(name[2:])] = done.rsplit("/", 1)[0]
+        return found
 
     def exists(self, table: str) -> bool:
         return bool(self.versions(table))
 
     def read(self, table: str, schema: T.StructType | None = None, version: int | None = None) -> DataFrame:
-        vs = self.versions(table)
-        if not vs:
+        found = self._committed(table)
+        if not found:
             if schema is None:
                 raise FileNotFoundError(f"no committed version of {table}")
             return self.spark.createDataFrame([], schema)
-        v = vs[-1] if version is None else version
-        return self.spark.read.parquet(f"{self.path(table)}/v={v}")
+        return self.spark.read.parquet(found[max(found) if version is None else version])
 
     def commit(self, table: str, df: DataFrame, partitions: int | None = None) -> int:
         """Write ``df`` as the next version; returns its number."""
         vs = self.versions(table)
         v = (vs[-1] + 1) if vs else 1
         out = df.coalesce(partitions) if partitions else df
-        out.write.mode("errorifexists").parquet(f"{self.path(table)}/v={v}")
-        self._versions[table] = vs + [v]
+        out.write.mode("errorifexists").parquet(f"{self.path(table)}/v={v}/{uuid.uuid4().hex}")
         return v
 
     def vacuum(self, table: str, keep: int) -> list[int]:
@@ -75,7 +72,6 @@ class TableStore:
         old = vs[:-keep] if keep > 0 else vs[:-1]
         for v in old:
             delete_path(self.spark, f"{self.path(table)}/v={v}")
-        self._versions[table] = [v for v in vs if v not in old]
         return old
 
 
@@ -91,6 +87,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath) and fs.delete(jpath, True))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath))
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """The paths in a folder; none if it isn't there."""
+    if not path_exists(spark, path):
+        return []
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in fs.listStatus(jpath)]
+
+
 def backup_csv(df: DataFrame, path: str) -> None:
     """Snapshot rows as CSV with a header, replacing what is at ``path``."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -102,16 +102,19 @@ def read_sources(spark: SparkSession, root: str) -> Sources:
     """Read ``root/<table>`` parquet datasets.
 
     Logs may be partitioned by ``dt`` (local date); partition discovery exposes
-    it and the metric windows filter on it.
+    it and the metric windows filter on it. Tables are projected to ``SCHEMAS``
+    (and ``dt``) with its types, so other columns of theirs have no effect.
     """
     frames = {}
-    for name in SCHEMAS:
-        frames[name] = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    for name, schema in SCHEMAS.items():
+        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        columns = [df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
+        frames[name] = df.select(*columns, *(["dt"] if name in LOG_TABLES and "dt" in df.columns else []))
     return Sources(**frames)
 
 
-def write_sources(src: Sources, root: str, partition_logs: bool = True) -> None:
-    """Materialize sources as parquet (logs partitioned by local ``dt``)."""
+def write_sources(src: Sources, root: str, partition_logs: bool = True, tasks_per_day: int = 16) -> None:
+    """Materialize sources as parquet (logs partitioned by local ``dt``, a day dealt to ``tasks_per_day`` tasks by member)."""
     from pyspark.sql import functions as F
 
     ts_col = {"login": "login_ts", "billing": "log_ts", "tutorial_end": "log_ts"}
@@ -120,7 +123,7 @@ def write_sources(src: Sources, root: str, partition_logs: bool = True) -> None:
         if partition_logs and name in LOG_TABLES and "dt" not in df.columns:
             (
                 df.withColumn("dt", F.to_date(ts_col[name]))
-                .repartition("dt")
+                .repartition("dt", F.pmod(F.xxhash64("member_id"), F.lit(tasks_per_day)))
                 .write.mode("overwrite")
                 .partitionBy("dt")
                 .parquet(path)

@@ -68,9 +68,3 @@ def test_scan_days_adds_partition_filter(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 2, 1), date(2024, 1, 2))], "ts timestamp_ntz, dt date")
     plan = scan_days(df, "ts", date(2024, 1, 1), date(2024, 1, 3))._jdf.queryExecution().optimizedPlan().toString()
     assert "dt#" in plan and "2024-01-01" in plan
-
-
-def test_window_length_guard():
-    cfg = KpiConfig(max_window_days=10)
-    with pytest.raises(ValueError):
-        cfg.window_days(date(2024, 1, 1), date(2024, 2, 1))
