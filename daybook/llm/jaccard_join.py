@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import components, materialise
 
 WORDS = 5
-COARSE, FINE = 64, 1024  # buckets of the profiles that bound a difference from below; powers of two
+COARSE, FINE = 256, 1024  # buckets of the profiles that bound a difference from below; powers of two
 SALTS = 3  # partitions for sets with many empty subsets
 RATIO = 1.5  # between the lower ends of bands; above 1.25, so a pair spans two bands at most
 ALIKE = 1e-4  # share of pairs in a band taken to have half of their members in common, for the cost only
@@ -156,13 +156,13 @@ def set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.array([set_id(h[lo:hi]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.int64)
 
 
-def profiles(h: np.ndarray, at: np.ndarray, buckets: int, most: int) -> list[bytes]:
-    """Per set how many members fall into each of the buckets, counted up to ``most``: 255, or 15 with two buckets to a byte."""
+def profiles(h: np.ndarray, at: np.ndarray, buckets: int) -> list[bytes]:
+    """Per set how many members fall into each of the buckets, modulo 16, two buckets to a byte."""
     docs = len(at) - 1
     bucket = (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
     cell = np.repeat(np.arange(docs), np.diff(at)) * buckets + bucket
-    count = np.minimum(np.bincount(cell, minlength=docs * buckets), most).astype(np.uint8).reshape(docs, buckets)
-    return [x.tobytes() for x in (count[:, ::2] | count[:, 1::2] << 4 if most == 15 else count)]
+    count = (np.bincount(cell, minlength=docs * buckets) & 15).astype(np.uint8).reshape(docs, buckets)
+    return [x.tobytes() for x in count[:, ::2] | count[:, 1::2] << 4]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -277,8 +277,8 @@ def measure(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for h, at in column_sets(b.column(1)):
                 n.append(np.diff(at))
                 ids.append(set_ids(h, at))
-                coarse += profiles(h, at, COARSE, 255)
-                fine += profiles(h, at, FINE, 15)
+                coarse += profiles(h, at, COARSE)
+                fine += profiles(h, at, FINE)
             cols = [pa.array(np.concatenate(n)), pa.array(np.concatenate(ids)), pa.array(coarse, pa.binary()), pa.array(fine, pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=schema.names)
 
@@ -348,15 +348,19 @@ def shared(rows: DataFrame) -> DataFrame:
 
 
 def _bounded(na, nb, pa_, pb_):
-    """Where sizes and profiles leave J >= 0.8 possible: exact lower bounds of the difference."""
+    """Where sizes and profiles leave J >= 0.8 possible: exact lower bounds of the difference.
+
+    Two counts differ by no less than the way around between them modulo 16.
+    """
     ok = 100 * np.minimum(na, nb) >= 80 * np.maximum(na, nb)
-    gap = np.abs(pa_.astype(np.int16) - pb_).sum(axis=-1)
+    apart = (pa_ - pb_) & 15
+    gap = np.minimum(apart, 16 - apart).sum(axis=-1, dtype=np.int64)
     return ok & (9 * gap <= na + nb), gap
 
 
 def _profiles(column) -> np.ndarray:
     rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    return rows if rows.shape[1] == COARSE else np.concatenate([rows & 15, rows >> 4], axis=1)
+    return np.concatenate([rows & 15, rows >> 4], axis=1)
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
@@ -382,16 +386,20 @@ def across(groups: DataFrame) -> DataFrame:
     """``a, b`` of sets that share a signature, lie in different components and pass the coarse bounds. ``groups``: sig, cid, comp, n, coarse."""
 
     def pairs_of(cid, comp, n, prof):
+        order = np.argsort(n, kind="stable")
+        cid, comp, n, prof = cid[order], comp[order], n[order], prof[order]
         for k in range(0, len(cid), BLOCK):
-            i = slice(k, k + BLOCK)
-            differ = (comp[i, None] != comp[None, :]) & (cid[i, None] < cid[None, :])
-            differ &= 100 * np.minimum(n[i, None], n[None, :]) >= 80 * np.maximum(n[i, None], n[None, :])
+            end = min(k + BLOCK, len(cid))
+            i, j = slice(k, end), slice(k, int(np.searchsorted(n, n[end - 1] * 5 // 4, side="right")))  # larger ones can't link
+            differ = (comp[i, None] != comp[None, j]) & (100 * n[i, None] >= 80 * n[None, j])
+            differ &= np.arange(k, end)[:, None] < np.arange(j.start, j.stop)[None, :]
             x, y = np.nonzero(differ)
-            for at in range(0, len(x), 100_000):
-                xx, yy = x[at : at + 100_000] + k, y[at : at + 100_000]
+            for at in range(0, len(x), 50_000):
+                xx, yy = x[at : at + 50_000] + k, y[at : at + 50_000] + k
                 ok, _ = _bounded(n[xx], n[yy], prof[xx], prof[yy])
                 if ok.any():
-                    yield cid[xx[ok]], cid[yy[ok]]
+                    a, b = cid[xx[ok]], cid[yy[ok]]
+                    yield np.minimum(a, b), np.maximum(a, b)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
