@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Iterator
 
 from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,6 +32,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def slices(batches: Iterator, rows: int = 2048) -> Iterator:
+    """Arrow batches in parts of at most ``rows`` rows; at the end freed memory goes back to the system.
+
+    Python workers outlive their tasks, and would otherwise hold their largest
+    size while later stages need the executor's memory.
+    """
+    import pyarrow as pa
+
+    for b in batches:
+        for k in range(0, max(1, b.num_rows), rows):
+            yield b.slice(k, rows)
+        del b
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may not have it
+    if trim is not None:
+        trim(0)
+
+
 def bucket_of(*cols: Column | str, buckets: int) -> Column:
     """A stable bucket number from the values of ``cols``."""
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")

@@ -43,7 +43,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import components, materialise
+from daybook.llm.common import components, materialise, slices
 
 WORDS = 5
 COARSE, FINE = 256, 1024  # buckets of the profiles that bound a difference from below; powers of two
@@ -272,7 +272,7 @@ def measure(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             n, ids, coarse, fine = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
             for h, at in column_sets(b.column(1)):
                 n.append(np.diff(at))
@@ -292,7 +292,7 @@ def index(docs: DataFrame, plan: list[Band], id_col: str, text_col: str) -> Data
         import pyarrow as pa
 
         seen: set[int] = set()
-        for b in batches:
+        for b in slices(batches):
             for h, at in column_sets(b.column(0)):
                 ids = set_ids(h, at)
                 fresh = np.zeros(len(ids), bool)
@@ -371,7 +371,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             if not b.num_rows:
                 continue
             na, nb = (b.column(k).to_numpy() for k in (2, 3))
@@ -424,7 +424,7 @@ def across(groups: DataFrame) -> DataFrame:
 
 
 def _and_end(batches: Iterator) -> Iterator:
-    yield from batches
+    yield from slices(batches, 4096)
     yield None
 
 
@@ -441,7 +441,7 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         key, leader = None, np.zeros(0, np.uint64)
-        for b in batches:
+        for b in slices(batches, 256):
             found: list[tuple[int, int]] = []
             for a, block, role, cid, text in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 s = shingles(text)

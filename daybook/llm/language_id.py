@@ -23,6 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.common import slices
 from daybook.llm.quality import held_out
 
 WINDOW, HIDDEN = 128, 8
@@ -210,7 +211,7 @@ def predict(rows: DataFrame, net: ByteNetwork | None, schema) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             spoken = b.column(2).to_numpy(zero_copy_only=False)
             best, top = np.full(len(spoken), UNKNOWN, object), np.zeros(len(spoken))
             if net is not None and spoken.any():
@@ -237,7 +238,7 @@ def accepted(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_c
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for b in batches:
+        for b in slices(batches):
             spoken = b.column(len(names)).to_numpy(zero_copy_only=False)
             keep = np.zeros(len(spoken), bool)
             if net is not None and spoken.any():

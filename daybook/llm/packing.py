@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import bucket_count, materialise, ranked
+from daybook.llm.common import bucket_count, materialise, ranked, slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -128,7 +128,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: s
         from pyspark.sql.pandas.types import to_arrow_schema
 
         enc, out_schema, end = encoder(vocabulary), to_arrow_schema(schema), END_ID.to_bytes(4, "little")
-        for b in batches:
+        for b in slices(batches, 512):
             at, cols = [], ([], [], [], [])
             for row, text in enumerate(b.column(1).to_pylist()):
                 data = enc.ids(text) + end
