@@ -5,9 +5,10 @@ The reference joins a (report day x segment) spine to member activity on
 range join multiplies every member-day by the days left in its month. Here:
 
 1. per (month, segment, member) one aggregate: the first active day and the
-   set of active days (at most 31 dates, whatever the volume; both combine
-   map-side, and need no shuffle when the input is partitioned by member);
-2. explode the day sets and aggregate per (month, segment, day): members
+   active days as the bits of one integer (a plain hash aggregate, whatever
+   the volume; both combine map-side, and need no shuffle when the input is
+   partitioned by member);
+2. spread the bits into days and aggregate per (month, segment, day): members
    active that day and members new to the month that day (partial
    aggregation before the shuffle);
 3. running sum of the new members over the month (at most 31 rows per
@@ -49,10 +50,12 @@ def month_to_date_distinct(
     """
     per_member = (
         active.groupBy(F.trunc("day", "month").alias("month"), *SEG, "member_id")
-        .agg(F.min("day").alias("first_day"), F.collect_set("day").alias("days"))
+        .agg(F.min("day").alias("first_day"), F.expr("bit_or(shiftleft(1, dayofmonth(day) - 1))").alias("days"))
     )
     per_day = (
-        per_member.select("month", *SEG, "first_day", F.explode("days").alias("day"))
+        per_member.select("month", *SEG, "first_day", "days", F.explode(F.sequence(F.lit(0), F.lit(30))).alias("bit"))
+        .where("days & shiftleft(1, bit) <> 0")
+        .select("month", *SEG, "first_day", F.date_add("month", F.col("bit")).alias("day"))
         .groupBy("month", *SEG, "day")
         .agg(
             F.count(F.lit(1)).alias("daily"),

@@ -61,7 +61,8 @@ def pu_week(cfg: KpiConfig, src: Sources) -> DataFrame:
     rows = _week_scan(cfg, src.billing, "log_ts").select(
         "member_id", week_start(F.to_date("log_ts")).alias("division_week"), *SEG
     )
-    one = pick_first(rows, ["member_id", "division_week"], SEG)
+    # distinct by hash first: the struct minimum sorts its input, now a few rows per member-week
+    one = pick_first(rows.distinct(), ["member_id", "division_week"], SEG)
     out = one.groupBy("division_week", *SEG).agg(F.count(F.lit(1)).alias("pu"))
     return with_game(out, cfg.game_code)
 
@@ -85,11 +86,11 @@ def eru_week(cfg: KpiConfig, src: Sources) -> DataFrame:
 
 # W5 rau_week: weekly roll-up of the stored rau_day
 def rau_week(cfg: KpiConfig, rau_day: DataFrame) -> DataFrame:
-    wk = week_start("division_date")
+    day = F.col("division_date")
     rd = rau_day.filter(
-        (F.col("game_code") == cfg.game_code) & (wk > F.lit(cfg.week_lo)) & (wk < F.lit(cfg.week_hi))
+        (F.col("game_code") == cfg.game_code) & (day >= F.lit(cfg.week_lo + timedelta(days=7))) & (day < F.lit(cfg.week_hi))
     )
-    out = rd.groupBy(wk.alias("division_week"), *SEG).agg(F.sum("rau").cast("bigint").alias("rau"))
+    out = rd.groupBy(week_start("division_date").alias("division_week"), *SEG).agg(F.sum("rau").cast("bigint").alias("rau"))
     return with_game(out, cfg.game_code)
 
 
