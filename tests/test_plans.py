@@ -9,7 +9,7 @@ import tempfile
 import pytest
 
 from daybook.config import FIXTURE_CONFIG as CFG
-from daybook.plans import catalog
+from daybook.plans import catalog, daily, weekly
 from daybook.sources.fixtures import fixture_sources
 from daybook.sources.tables import read_sources, write_sources
 
@@ -47,6 +47,29 @@ def test_no_pairwise_joins_or_python(stored, name):
         assert bad not in plan, bad
 
 
+@pytest.mark.parametrize("name", ["dau_day", "pu_day"])
+def test_month_to_date_uses_hash_aggregates_only(stored, name):
+    plan = _plan(catalog.metric(name, CFG, stored[1]))
+    assert "HashAggregate" in plan
+    for bad in ("ObjectHashAggregate", "SortAggregate"):
+        assert bad not in plan, bad
+
+
+def test_rau_week_pushes_date_bounds_to_a_stored_rau_day(stored, spark):
+    root, src = stored
+    path = tempfile.mkdtemp(prefix="daybook-rau-") + "/rau_day"
+    daily.rau_day(CFG, src).write.parquet(path)
+    plan = _plan(weekly.rau_week(CFG, spark.read.parquet(path)))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
+    assert "GreaterThanOrEqual(division_date" in pushed and "LessThan(division_date" in pushed
+
+
+def test_pu_week_reduces_by_hash_before_the_tie_break(stored):
+    plan = _plan(weekly.pu_week(CFG, stored[1]))
+    lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+    assert "HashAggregate(" in lowest and "SortAggregate(" not in lowest
+
+
 @pytest.mark.parametrize("name", LOG_METRICS)
 def test_log_scans_prune_partitions_and_push_filters(stored, name):
     root, src = stored
