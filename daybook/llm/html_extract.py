@@ -8,8 +8,12 @@ Per page (a small helper inside ``mapInArrow``; Spark deals out the pages):
    from them the link-adjusted characters per tag (Sun, Song, Liao: "DOM Based
    Content Extraction via Text Density", SIGIR 2011).
 3. Menus, headers, footers, sidebars, notices, adverts, forms and comments,
-   told by tag, role, class or id, don't count as content. Of the other nodes
-   the one with the largest sum of its children's densities is the content;
+   told by tag, role, or a whole class token or id, don't count as content; a
+   token like ``nav-menu`` counts if each of its words does. No mark holds for
+   articles, main elements and headings, for what holds the page's articles or
+   its main element, a marked class or id around an h1, an article's header
+   with a heading, or for more than half of the text outside links; if nothing
+   else is left, classes and ids aren't heeded. Of the other nodes the one with the largest sum of its children's densities is the content;
    the smallest density on its path to the body is the threshold that side
    branches of that path must reach to be content too. A surrounding article
    or main element is taken whole.
@@ -38,7 +42,7 @@ TOKEN = re.compile(
     re.S,
 )
 ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-NAMES = re.compile(r"[a-z0-9]+")
+WORDS = re.compile(r"[a-z0-9]+")
 
 # Element names of the HTML standard by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,8 +63,9 @@ SIBLINGS = {
 }
 NEVER = frozenset(
     "script style head title meta noscript template svg math iframe object embed canvas audio video map select button input textarea"
-    " option datalist nav header footer aside form menu dialog search noembed noframes xmp".split()
+    " option datalist noembed noframes xmp".split()
 )
+ASIDE = frozenset("nav header footer aside form menu dialog search".split())  # unless they hold the content
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner comment comments reply replies respond"
@@ -69,6 +74,13 @@ HINTS = frozenset(
     " related recommended widget toolbar form search hidden".split()
 )
 CONTAINERS = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+BY_TAG, BY_NAME = 1, 2
+
+
+def hinted(names: str) -> bool:
+    """Whether a class token or id says as a whole that it isn't content: it is a hint, or made of nothing but hints."""
+    return any((words := WORDS.findall(x)) and HINTS.issuperset(words) for x in names.split())
 
 
 class Page:
@@ -78,6 +90,7 @@ class Page:
         self.tag, self.parent, self.skip = ["#root"], [0], [False]
         self.items: list[tuple[int, str] | None] = []  # (node, text), or None where a block begins or ends
         self.main: list[bool] = [False]
+        self.mark = [0]  # BY_TAG or BY_NAME: not content, unless it holds the content
         open_ = [0]
         at, end = 0, len(source)
         while at < end:
@@ -130,11 +143,18 @@ class Page:
         self.tag.append(tag)
         self.parent.append(open_[-1])
         own = {k.lower(): (a or b or c).lower() for k, a, b, c in ATTR.findall(attrs)} if attrs.strip() else {}
-        names = NAMES.findall(f"{own.get('class', '')} {own.get('id', '')}") if own else ()
-        skip = tag in NEVER or (tag not in ("html", "body") and (own.get("role") in ROLES or not HINTS.isdisjoint(names)))
+        skip = tag in NEVER
         if own and not skip:
             skip = own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
-        self.main.append(tag in CONTAINERS or own.get("role") == "main")
+        main, mark = tag in CONTAINERS or own.get("role") == "main", BY_TAG if tag in ASIDE else 0
+        nested = tag == "article" and any(self.tag[x] == "article" for x in open_)  # a comment may be an article in the article
+        if own and not mark and tag not in ("html", "body") and tag not in HEADINGS and (nested or not main):
+            if own.get("role") in ROLES:
+                mark = BY_TAG
+            elif hinted(f"{own.get('class', '')} {own.get('id', '')}"):
+                mark = BY_NAME
+        self.mark.append(0 if main and not nested else mark)
+        self.main.append(main)
         self.skip.append(skip or self.skip[open_[-1]])
         if tag in BLOCK:
             self.items.append(None)
@@ -153,9 +173,51 @@ class Page:
             if name in bounds or (inline and name in BLOCK):
                 return
 
+    def heed(self) -> None:
+        """Skip the marked nodes, but for those that hold the content."""
+        n = len(self.tag)
+        marked, linked, article = [False] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            p = self.parent[i]
+            marked[i] = marked[p] or self.mark[i] > 0
+            linked[i] = linked[p] or self.tag[i] == "a"
+            article[i] = article[p] or self.main[p]
+        plain, mains, heads, tops = [0] * n, [0] * n, [0] * n, [0] * n
+        for x in self.items:
+            if x is not None and not self.skip[x[0]] and not linked[x[0]]:
+                plain[x[0]] += len("".join(x[1].split()))
+        free = any(plain[i] and not marked[i] for i in range(n))
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            if not self.skip[i]:
+                mains[i] += self.main[i] and plain[i] > 0
+                heads[i] += self.tag[i] in HEADINGS
+                tops[i] += self.tag[i] == "h1"
+            for k in (plain, mains, heads, tops):
+                k[p] += k[i]
+        outside = any(self.main[i] and plain[i] and not marked[i] and not self.skip[i] for i in range(n))  # an article apart from all marks
+
+        def holds(i: int) -> bool:
+            if self.tag[i] in ("nav", "menu"):
+                return False
+            if not outside and (mains[i] or 2 * plain[i] > plain[0]):
+                return True
+            return tops[i] > 0 if self.mark[i] == BY_NAME else self.tag[i] == "header" and article[i] and heads[i] > 0
+
+        hard = list(self.skip)
+        for names in (True, False):
+            self.skip = list(hard)
+            for i in range(1, n):
+                mark = self.mark[i] == BY_TAG or (names and self.mark[i] == BY_NAME)
+                self.skip[i] = hard[i] or self.skip[self.parent[i]] or (mark and not holds(i))
+            if free or any(x is not None and not self.skip[x[0]] and not x[1].isspace() for x in self.items):
+                break
+
     def content(self) -> list[bool]:
         """Which nodes belong to the content."""
         n = len(self.tag)
+        if any(self.mark):
+            self.heed()
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         own, linked = [0] * n, [False] * n
         for x in self.items:

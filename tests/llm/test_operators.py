@@ -274,3 +274,43 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 100 for k in range(100, 141)) and all(got[k] == 1 for k in range(1, 60)) and got[201] == 200
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+PROSE = "".join(f"<p>Paragraph {k} of the article has a good many words, so it is clearly text.</p>" for k in range(6))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='site has-sidebar'>{}</div>",
+        "<div class='site has-sidebar'><article><h1>T</h1>{}</article><div class='sidebar'>Side words</div></div>",
+        "<article class='post category-social'>{}</article>",
+        "<article class='post comments-open social'>{}</article>",
+        "<main class='form'>{}</main>",
+        "<form id='aspnetForm'><nav><a href=/>Menu</a></nav><div class='sidebar'>Side words</div><div>{}</div></form>",
+        "<form id='form'><article>{}</article></form>",
+        "<div id='social'><article>{}</article></div><section class='comments'>Side words</section>",
+        "<div class='share'>{}</div><div class='search-form'>Side words</div>",
+        "<div class='share'><p>Side words too</p></div><div class='hidden'>{}</div>",
+    ],
+)
+def test_html_marks_around_the_text(page):
+    got = html_extract.main_text(f"<html><body>{page.format(PROSE)}</body></html>")
+    assert all(f"Paragraph {k} of" in got for k in range(6)) and "Side words" not in got and "Menu" not in got
+
+
+def test_html_marked_headings():
+    got = html_extract.main_text(f"<body><article><header class='header'><h1 id='search'>Top</h1></header>{PROSE}<h2 id='discussion'>Discussion</h2>{PROSE}<h3 class='form'>Form</h3>{PROSE}</article></body>")
+    assert {"Top", "Discussion", "Form"} <= set(got.split("\n"))
+
+
+def test_html_marks_beside_the_text():
+    longer = "A reader wrote a long comment, much longer than the article. " * 40
+    for mark in ("class='comments'", "id='comments'", "class='x social-share'", "role='complementary'", "class='cookie-banner'"):
+        got = html_extract.main_text(f"<body><header><h1>Site</h1></header><article>{PROSE}</article><div {mark}><h2>Replies</h2><article><p>{longer}</p></article></div></body>")
+        assert "Paragraph 5 of" in got and "reader" not in got and "Site" not in got
+    got = html_extract.main_text(f"<body><article>{PROSE}<article class='comment'><p>First!</p></article><div class='related'><h3>More</h3>Else</div></article></body>")
+    assert "Paragraph 5 of" in got and "First!" not in got and "More" not in got
+    assert html_extract.main_text("<body><nav><a href=/>Menu</a> and more</nav></body>") == ""
+    two = "<div class='share'><p>One half of words.</p></div><div class='social'><p>The other half too.</p></div>"
+    assert "half" in html_extract.main_text(f"<body>{two}</body>")  # nothing else on the page
