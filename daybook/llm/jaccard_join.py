@@ -24,7 +24,9 @@ classes are kept. (3) Each class is verified against the most similar-looking
 leader (smallest class) of its signatures: linear in the index, however large
 a group of near copies is. (4) Only pairs that share a signature and are still
 in different components are verified one by one, after exact lower bounds by
-size and profile. Verification ships the two texts and compares whole sets.
+size and profile. A signature of more than ``CELL`` sets is cut into cells,
+and each pair of cells that may hold such a pair is a task's work of its own.
+Verification ships the two texts and compares whole sets.
 Hashes have 64 bits; equal hashes count as equal shingles and sets.
 
 Defined results: null, empty and white-space texts have no shingles and link
@@ -51,6 +53,7 @@ SALTS = 3  # partitions for sets with many empty subsets
 RATIO = 1.5  # between the lower ends of bands; above 1.25, so a pair spans two bands at most
 ALIKE = 1e-4  # share of pairs in a band taken to have half of their members in common, for the cost only
 BLOCK = 256  # members verified against a leader in one group
+CELL = 4096  # sets of one signature that a task compares with each other or with as many others
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a public 64-bit mixer
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -382,45 +385,110 @@ def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long, gap long")
 
 
+def dealt(placed: DataFrame, classes: DataFrame, cell: int) -> DataFrame:
+    """``sig, pair, side, cid, comp, n, coarse``: the sets of each signature with two components, dealt to pairs of cells.
+
+    A signature of at most ``cell`` sets is one cell. Others are cut by size,
+    so that links stay within a size or reach the next one, then by component
+    where one has more than ``cell`` sets, then by hash. A cell meets itself
+    (side 2) and others (sides 0 and 1), unless both belong to one component.
+    """
+    groups = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets"))
+    groups = groups.where("lo <> hi").select("sig", "sets")
+    hot = materialise(groups.where(F.col("sets") > cell), "join-hot")
+    rows = placed.join(groups.where(F.col("sets") <= cell).select("sig"), "sig").join(classes.select("cid", "n", "coarse"), "cid")
+    rows = rows.select("sig", F.lit(0).cast("long").alias("pair"), F.lit(2).alias("side"), "cid", "comp", "n", "coarse")
+    if hot.isEmpty():
+        return rows
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(RATIO)).cast("int")
+    members = placed.join(hot.select("sig"), "sig").join(classes.select("cid", "n"), "cid").select("sig", "cid", "comp", "n", size.alias("s"))
+    members = materialise(members, "join-members")
+    large = members.groupBy("sig", "s", "comp").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > cell)
+    large = materialise(large.select("sig", "s", "comp", F.col("comp").alias("own")), "join-large")
+    members = members.join(large, ["sig", "s", "comp"], "left").withColumn("whole", F.col("own").isNotNull()).withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+    part = ["sig", "s", "whole", "own"]
+    parts = materialise(members.groupBy(*part).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(cell))).cast("long").alias("cells")), "join-parts")
+    members = members.join(parts, part).withColumn("h", F.pmod(F.xxhash64("cid"), F.col("cells")))
+    cells = parts.select(*part, F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("h"))
+    one, two = (cells.select("sig", *(F.col(c).alias(c + k) for c in ("s", "whole", "own", "h"))) for k in "12")
+    two = two.select("*", F.explode(F.array(F.col("s2"), F.col("s2") - 1)).alias("s1"))  # links reach the next size at most
+    later = F.struct("whole1", "own1", "h1") <= F.struct("whole2", "own2", "h2")
+    inside = F.col("whole1") & F.col("whole2") & (F.col("own1") == F.col("own2"))
+    met = one.join(two, ["sig", "s1"]).where(((F.col("s1") < F.col("s2")) | later) & ~inside)
+    name = F.xxhash64("s1", "whole1", "own1", "h1", "s2", "whole2", "own2", "h2").alias("pair")  # equal hashes only add comparisons
+    same = (F.col("s1") == F.col("s2")) & (F.col("whole1") == F.col("whole2")) & (F.col("own1") == F.col("own2")) & (F.col("h1") == F.col("h2"))
+    met = met.withColumn("same", same)
+    at = [met.select("sig", *(F.col(c + k).alias(c) for c in ("s", "whole", "own", "h")), name, F.when(F.col("same"), 2).otherwise(side).alias("side")) for side, k in enumerate("12")]
+    seats = materialise(at[0].unionByName(at[1].where("side <> 2")), "join-cells")
+    members = members.join(classes.select("cid", "coarse"), "cid").join(seats, [*part, "h"])
+    return rows.unionByName(members.select(rows.columns))
+
+
 def across(groups: DataFrame) -> DataFrame:
-    """``a, b`` of sets that share a signature, lie in different components and pass the coarse bounds. ``groups``: sig, cid, comp, n, coarse."""
+    """``a, b`` of sets that meet in ``groups`` (see ``dealt``), lie in different components and pass the coarse bounds.
 
-    def pairs_of(cid, comp, n, prof):
-        order = np.argsort(n, kind="stable")
-        cid, comp, n, prof = cid[order], comp[order], n[order], prof[order]
+    A task holds two cells at a time: some 300 bytes a set.
+    """
+
+    def by_size(cols):
+        order = np.argsort(cols[2], kind="stable")
+        return [c[order] for c in cols]
+
+    def pairs_of(one, two):
+        """Of the sets of ``one`` and ``two``: columns cid, comp, n, profile; the pairs inside ``one`` if ``two`` is None."""
+        inner = two is None
+        cid, comp, n, prof = by_size(one)
+        cid2, comp2, n2, prof2 = (cid, comp, n, prof) if inner else by_size(two)
         for k in range(0, len(cid), BLOCK):
             end = min(k + BLOCK, len(cid))
-            i, j = slice(k, end), slice(k, int(np.searchsorted(n, n[end - 1] * 5 // 4, side="right")))  # larger ones can't link
-            differ = (comp[i, None] != comp[None, j]) & (100 * n[i, None] >= 80 * n[None, j])
-            differ &= np.arange(k, end)[:, None] < np.arange(j.start, j.stop)[None, :]
+            lo, hi = (int(np.searchsorted(n2, x, side=side)) for x, side in ((-(-n[k] * 4 // 5), "left"), (n[end - 1] * 5 // 4, "right")))  # others can't link
+            lo = max(lo, k) if inner else lo
+            differ = (comp[k:end, None] != comp2[None, lo:hi]) & (100 * np.minimum(n[k:end, None], n2[None, lo:hi]) >= 80 * np.maximum(n[k:end, None], n2[None, lo:hi]))
+            if inner:
+                differ &= np.arange(k, end)[:, None] < np.arange(lo, hi)[None, :]
             x, y = np.nonzero(differ)
             for at in range(0, len(x), 50_000):
-                xx, yy = x[at : at + 50_000] + k, y[at : at + 50_000] + k
-                ok, _ = _bounded(n[xx], n[yy], prof[xx], prof[yy])
+                xx, yy = x[at : at + 50_000] + k, y[at : at + 50_000] + lo
+                ok, _ = _bounded(n[xx], n2[yy], prof[xx], prof2[yy])
                 if ok.any():
-                    a, b = cid[xx[ok]], cid[yy[ok]]
+                    a, b = cid[xx[ok]], cid2[yy[ok]]
                     yield np.minimum(a, b), np.maximum(a, b)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def batch(got):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in (0, 1)], names=["a", "b"])
+
         rest: tuple | None = None
+        got: list = []
         for b in _and_end(batches):
             if b is None:
                 done, rest = rest, None
             else:
-                cols = [b.column(k).to_numpy() for k in range(4)] + [_profiles(b.column(4))]
+                cols = [b.column(k).to_numpy() for k in range(6)] + [_profiles(b.column(6))]
                 cols = cols if rest is None else [np.concatenate(p) for p in zip(rest, cols, strict=True)]
-                cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0  # the last group may go on
+                cut = 0
+                if len(cols[0]):  # the last pair of cells may go on
+                    cut = int(np.searchsorted(cols[0], cols[0][-1]))
+                    cut += int(np.searchsorted(cols[1][cut:], cols[1][-1]))
                 done, rest = tuple(c[:cut] for c in cols), tuple(c[cut:] for c in cols)
             if done is None or not len(done[0]):
                 continue
-            edge = np.flatnonzero(np.r_[True, done[0][1:] != done[0][:-1], True])
-            got = [p for lo, hi in zip(edge[:-1], edge[1:], strict=True) for p in pairs_of(*(c[lo:hi] for c in done[1:]))]
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in (0, 1)], names=["a", "b"])
-
-    return groups.repartition("sig").sortWithinPartitions("sig").select("sig", "cid", "comp", "n", "coarse").mapInArrow(run, "a long, b long")
+            edge = np.flatnonzero(np.r_[True, (done[0][1:] != done[0][:-1]) | (done[1][1:] != done[1][:-1]), True])
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                sets = [c[lo:hi] for c in done[2:]]
+                left, right, own = ([c[sets[0] == k] for c in sets[1:]] for k in (0, 1, 2))
+                for pair in (p for x, y in ((left, right), (own, None)) if len(x[0]) for p in pairs_of(x, y)):
+                    got.append(pair)
+                    if len(got) >= 64 or len(pair[0]) >= 10_000:
+                        yield batch(got)
+                        got = []
+        if got:
+            yield batch(got)
+
+    groups = groups.repartition("sig", "pair").sortWithinPartitions("sig", "pair")
+    return groups.select("sig", "pair", "side", "cid", "comp", "n", "coarse").mapInArrow(run, "a long, b long")
 
 
 def _and_end(batches: Iterator) -> Iterator:
@@ -482,10 +550,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     comp = components(links, "join-cc").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
     placed = groups.join(comp, "cid", "left").select("sig", "cid", F.coalesce("comp", "cid").alias("comp"))
-    mixed = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-    open_ = placed.join(mixed, "sig").join(classes.select("cid", "n", "coarse"), "cid")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = across(open_).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = across(dealt(placed, classes, CELL)).distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialise(plausible(rest, classes, "fine").select("a", "b"), "join-rest")
     links = links.unionByName(materialise(verify(rest, classes, texts), "join-links"))
 

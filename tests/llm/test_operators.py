@@ -314,3 +314,49 @@ def test_html_marks_beside_the_text():
     assert html_extract.main_text("<body><nav><a href=/>Menu</a> and more</nav></body>") == ""
     two = "<div class='share'><p>One half of words.</p></div><div class='social'><p>The other half too.</p></div>"
     assert "half" in html_extract.main_text(f"<body>{two}</body>")  # nothing else on the page
+
+
+def _hot_signature(spark):
+    """One signature of 900 sets: a component of 600, 240 sets of a component each, two of 30; sizes 20 to 59."""
+    rng = np.random.default_rng(9)
+    sets = [(1, k, 10_000 if k < 600 else k if k < 840 else 20_000 + k % 2, 20 + k % 40) for k in range(900)]
+    sets += [(2, k, k, 20) for k in range(5)] + [(3, k, 7, 20) for k in range(50)]  # a small one, and one of a single component
+    placed = spark.createDataFrame([x[:3] for x in sets], "sig long, cid long, comp long")
+    code = {k: rng.integers(0, 2**63, 20 + k % 40).astype(np.uint64) for k in range(900)}
+    made = [(k, len(h), jaccard_join.profiles(h, np.array([0, len(h)]), jaccard_join.COARSE)[0]) for k, h in code.items()]
+    return sets, placed, spark.createDataFrame([(k, n, bytearray(p)) for k, n, p in made], "cid long, n long, coarse binary")
+
+
+def test_jaccard_hot_signature_is_cut(spark):
+    sets, placed, classes = _hot_signature(spark)
+    groups = jaccard_join.dealt(placed, classes, 50)
+    rows = groups.collect()
+    cells = {}
+    for r in rows:
+        cells.setdefault((r["sig"], r["pair"]), []).append(r)
+    assert max(map(len, cells.values())) <= 2 * 2 * 50  # hashed cells vary
+    assert all(len({r["comp"] for r in c}) > 1 for c in cells.values() if len({r["side"] for r in c}) > 1)
+    met = set()
+    for c in cells.values():
+        for a in c:
+            met |= {(a["sig"], min(a["cid"], b["cid"]), max(a["cid"], b["cid"])) for b in c if a["comp"] != b["comp"] and (a["side"], b["side"]) in ((0, 1), (2, 2))}
+    size = {k: 20 + k % 40 for _, k, _, _ in sets}
+    wanted = {(s, a, b) for s, a, x, _ in sets for t, b, y, _ in sets if s == t and a < b and x != y and 5 * min(size[a], size[b]) >= 4 * max(size[a], size[b])}
+    assert wanted <= met
+    whole = {tuple(r) for r in jaccard_join.across(jaccard_join.dealt(placed, classes, 10**6)).collect()}
+    assert {tuple(r) for r in jaccard_join.across(groups).collect()} == whole
+
+
+def test_jaccard_template_over_the_cell(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CELL", 12)
+    rng = np.random.default_rng(12)
+    base = [f"t{k}" for k in range(80)]
+    docs = []
+    for k in range(120):  # a third of near copies, the others from the template but below 0.8
+        t = list(base)
+        for _ in range(1 if k % 3 == 0 else int(rng.integers(2, 6))):
+            t[rng.integers(len(t))] = f"n{rng.integers(40)}"
+        docs.append((k, " ".join(t)))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = similar_components(docs)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(set(want.values())) > 1
