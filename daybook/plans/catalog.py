@@ -16,8 +16,8 @@ Scenarios (all on the fixture configuration of FIXTURES.md section 3):
   merged in; the merge must equal the full run;
 * ``bookmark_advance``: the bookmark table after all fourteen jobs;
 * ``*_months``: every metric on the second fixture (``orders`` + ``customer``)
-  over a window crossing four month boundaries and a new year: daily reports
-  1995-11-01..1996-02-29, weekly reports 1995-11-05..1996-02-18.
+  over the whole span of orders: daily reports 1995-01-01..2001-08-04, weekly
+  reports 1995-01-01..2001-07-29.
 """
 
 from __future__ import annotations
@@ -44,8 +44,10 @@ RU_INCREMENTAL_START = date(2024, 1, 5)
 REPLACE_PRIOR_AS_OF = datetime(2024, 1, 20)
 REPLACE_START = date(2024, 1, 15)
 
-# Second fixture: reports across month and year boundaries.
+# Second fixture: a short window across month and year boundaries, for the runner's tests.
 CFG_MONTHS = CFG.replace(start=date(1995, 11, 1), week_start=date(1995, 10, 29), as_of=datetime(1996, 3, 1))
+# The registered window: all orders, 1995-01-01..2001-08-01, and the whole week of the last one.
+CFG_SPAN = CFG_MONTHS.replace(start=date(1995, 1, 1), week_start=date(1994, 12, 25), as_of=datetime(2001, 8, 5))
 
 CFG_MID = CFG.replace(start=MID_MONTH_START)
 CFG_RU_PRIOR = CFG.replace(as_of=RU_PRIOR_AS_OF)
@@ -147,7 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["replace_range"] = replace_range_query
     q["bookmark_advance"] = bookmark_advance
     for n in METRICS:
-        q[f"{n}_months"] = _simple(n, CFG_MONTHS, "orders")
+        q[f"{n}_months"] = _simple(n, CFG_SPAN, "orders")
     return {name: _presented(fn) for name, fn in q.items()}
 
 
@@ -171,5 +173,5 @@ def oracle_statements() -> dict[str, str]:
     s["replace_range"] = oracle.statement("sales_day", CFG)
     s["bookmark_advance"] = oracle.bookmark_statement(BOOKMARK_JOBS, CFG, CFG)
     for n in METRICS:
-        s[f"{n}_months"] = oracle.statement(n, CFG_MONTHS, fixture="orders")
+        s[f"{n}_months"] = oracle.statement(n, CFG_SPAN, fixture="orders")
     return s

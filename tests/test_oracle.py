@@ -76,3 +76,11 @@ def test_other_parameters(spark, sf01_dir, name):
     dk = duck_for(sf01_dir).execute(oracle.statement(name, cfg)).df()
     assert rows(sp) == rows(dk)
     assert len(sp) > 0
+
+
+def test_months_cover_every_order(spark, sf001_dir):
+    """Each finished order is in a reported day and a reported week."""
+    orders = spark.read.parquet(f"{sf001_dir}/orders.parquet")
+    q = se.queries()
+    for name in ("sales_day_months", "sales_week_months"):
+        assert q[name](spark, sf001_dir).agg({"sales_count": "sum"}).first()[0] == orders.filter("o_orderstatus = 'F'").count()
