@@ -52,7 +52,7 @@ from daybook.operators.activity import LOG_ROWS, SEG
 from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame, replace_range
 from daybook.plans import daily, weekly
 from daybook.session import checkpoint_dir
-from daybook.sources.sinks import TableStore, backup_csv, delete_path
+from daybook.sources.sinks import TableStore, backup_csv, delete_path, path_exists
 from daybook.sources.tables import Sources
 
 DAY = timedelta(days=1)
@@ -192,8 +192,9 @@ def refresh_reductions(
 
     Each log's reduction is a table partitioned by ``dt``. A run re-reduces
     only the days from ``refresh_lo`` on (where new or late rows can land)
-    plus any day of the window not stored yet, writing them with dynamic
-    partition overwrite; older days are read back as stored. A daily run thus
+    plus any day of the window not stored yet, deleting what is stored of them
+    and then writing them anew (a day whose raw rows vanished is empty then;
+    after a crash in between it counts as not stored); older days are read back. A daily run thus
     scans about ``before_days + 1`` days of raw log instead of the whole
     look-back window.
     """
@@ -203,8 +204,10 @@ def refresh_reductions(
         present = _stored_days(spark, path)
         window = [lo + timedelta(days=i) for i in range((hi - lo).days)]
         todo = [d for d in window if d >= refresh_lo or d not in present]
+        part = reduce_log(name, getattr(src, name), min(todo, default=lo), max(todo, default=lo - DAY) + DAY)
         if todo:
-            part = reduce_log(name, getattr(src, name), min(todo), max(todo) + DAY)
+            for d in present.intersection(todo):
+                delete_path(spark, f"{path}/dt={d.isoformat()}")
             if len(todo) != (max(todo) - min(todo)).days + 1:
                 part = part.filter(F.col("dt").isin(todo))
             (
@@ -213,7 +216,8 @@ def refresh_reductions(
                 .partitionBy("dt")
                 .parquet(path)
             )
-        frames[name] = spark.read.parquet(path).filter((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
+        stored = spark.read.schema(part.schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], part.schema)
+        frames[name] = stored.filter((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
     return src.replace(**frames)
 
 
@@ -327,8 +331,7 @@ def run_jobs(
       when the run starts, late ones included -- the reference's semantics;
     * ``"recent"``: reductions persist in the store and only the days from
       the first new report day on (plus days never reduced) are re-reduced.
-      Late rows for older days are picked up when ``streaming.refresh`` sees
-      their files and rewinds the bookmarks; use this mode with it.
+      Late rows for older days need their bookmarks rewound.
     """
     if rescan not in ("window", "recent"):
         raise ValueError("rescan must be 'window' or 'recent'")

@@ -10,11 +10,15 @@ the driver learns which days need recomputing without seeing any log rows.
 
 ``refresh`` chains this to the batch runner: when new log files arrived, the
 daily and weekly jobs run; late files that touch days before a job's
-bookmark rewind that bookmark so the affected days are recomputed.
+bookmark rewind that bookmark so the affected days are recomputed. What has
+arrived is committed to the store's ``arrivals`` table inside the micro-batch,
+before the stream's checkpoint moves, and cleared after the jobs, so a crash
+in between loses no late day.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +37,13 @@ def arrivals(
     schema: T.StructType,
     ts_col: str,
     checkpoint_location: str,
+    record: Callable[[date], None] | None = None,
 ) -> tuple[date, date] | None:
     """(first, last) local day among rows of log files new since the last call.
 
     Returns None when nothing arrived. ``checkpoint_location`` must be on
-    shared storage; it is the arrival bookmark.
+    shared storage; it is the arrival bookmark. ``record`` gets each batch's
+    first day before the bookmark moves.
     """
     span: dict[str, date | None] = {"lo": None, "hi": None}
 
@@ -45,6 +51,8 @@ def arrivals(
         r = batch.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
         if r is None or r["lo"] is None:
             return
+        if record is not None:
+            record(r["lo"])
         span["lo"] = r["lo"] if span["lo"] is None else min(span["lo"], r["lo"])
         span["hi"] = r["hi"] if span["hi"] is None else max(span["hi"], r["hi"])
 
@@ -81,6 +89,18 @@ def rewind_bookmarks(bookmarks: DataFrame, game_code: str, kind: str, earliest:
     )
 
 
+PENDING_SCHEMA = T.StructType([T.StructField("game_code", T.StringType()), T.StructField("earliest", T.DateType())])
+
+
+def _pending(store: TableStore) -> dict[str, date]:
+    """First day per game of what has arrived and isn't computed yet."""
+    return {r["game_code"]: r["earliest"] for r in store.read("arrivals", PENDING_SCHEMA).collect()}
+
+
+def _commit_pending(spark: SparkSession, store: TableStore, days: dict[str, date]) -> None:
+    store.commit("arrivals", spark.createDataFrame(list(days.items()), PENDING_SCHEMA), partitions=1)
+
+
 def refresh(
     spark: SparkSession,
     store: TableStore,
@@ -89,28 +109,29 @@ def refresh(
     watched: dict[str, tuple[str, T.StructType, str]],
     checkpoint_root: str,
 ) -> dict[str, str | None] | None:
-    """Run the daily and weekly jobs if any watched log received files.
+    """Run the daily and weekly jobs if any watched log received files, or did before a failed call.
 
     ``watched`` maps a log name to (path, schema, timestamp column). Returns
     the runner's new bookmarks, or None when nothing arrived.
     """
     from daybook.plans import runner
 
-    spans = [
-        arrivals(spark, path, schema, ts, f"{checkpoint_root.rstrip('/')}/{name}")
-        for name, (path, schema, ts) in watched.items()
-    ]
-    spans = [s for s in spans if s is not None]
-    if not spans:
+    def record(first: date) -> None:
+        days = _pending(store)
+        _commit_pending(spark, store, days | {base.game_code: min(first, days.get(base.game_code, first))})
+
+    for name, (path, schema, ts) in watched.items():
+        arrivals(spark, path, schema, ts, f"{checkpoint_root.rstrip('/')}/{name}", record)
+    earliest = _pending(store).get(base.game_code)
+    if earliest is None:
         return None
-    earliest = min(s[0] for s in spans)
     if store.exists("bookmark"):
         marks = store.read("bookmark", BOOKMARK_SCHEMA)
         marks = rewind_bookmarks(marks, base.game_code, "day", earliest, base.before_days)
         marks = rewind_bookmarks(marks, base.game_code, "week", earliest, base.before_days)
         store.commit("bookmark", marks, partitions=1)
-    # arrivals are tracked here, so only recent days need re-reducing: late
-    # files have rewound the bookmarks to their days
-    out = runner.run_daily(spark, store, src, base, rescan="recent")
-    out.update(runner.run_weekly(spark, store, src, base, rescan="recent"))
+    # the whole look-back window: also rows that vanished or came by unwatched ways count
+    out = runner.run_daily(spark, store, src, base, rescan="window")
+    out.update(runner.run_weekly(spark, store, src, base, rescan="window"))
+    _commit_pending(spark, store, {k: v for k, v in _pending(store).items() if k != base.game_code})
     return out

@@ -63,3 +63,44 @@ def test_late_billing_files_are_recomputed(spark, full_store_sf0001):
     full = full_store_sf0001  # a full run over the same (complete) sources
     for job in runner.DAILY_JOBS + runner.WEEKLY_JOBS:
         assert spark_rows(store.read(job.table)) == spark_rows(full.read(job.table)), job.table
+
+
+def test_failed_refresh_keeps_late_days(spark, monkeypatch):
+    """A crash after the stream's checkpoint moved: the next call still rewinds to the late day, over the whole window."""
+    import pytest
+
+    root = tempfile.mkdtemp(prefix="daybook-crash-")
+    store = TableStore(spark, f"{root}/store")
+    store.commit("bookmark", spark.createDataFrame([(CFG.game_code, "pu", "day", "2024-01-20")], "game_code string, job string, kind string, value string"))
+    row = (1, datetime(2024, 1, 10, 5), 1, "KR", 1, 1, None)
+    spark.createDataFrame([row[: len(SCHEMAS["billing"])]], SCHEMAS["billing"]).write.parquet(f"{root}/billing")
+    watched = {"billing": (f"{root}/billing", SCHEMAS["billing"], "log_ts")}
+    modes = []
+    commit = TableStore.commit
+
+    def broken(self, table, df, partitions=None):
+        if table == "bookmark":
+            raise OSError("crash")
+        return commit(self, table, df, partitions)
+
+    for name in ("run_daily", "run_weekly"):
+        monkeypatch.setattr(runner, name, lambda *a, rescan, **k: modes.append(rescan) or {})
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "commit", broken)
+        with pytest.raises(OSError):
+            refresh(spark, store, None, CFG, watched, f"{root}/ckpt")
+    assert refresh(spark, store, None, CFG, watched, f"{root}/ckpt") == {}
+    assert store.read("bookmark").first()["value"] == "2024-01-10" and modes == ["window", "window"]
+    assert refresh(spark, store, None, CFG, watched, f"{root}/ckpt") is None
+
+
+def test_recent_reductions_drop_vanished_days(spark):
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="daybook-vanish-"))
+    lo, hi, late = date(2024, 1, 5), date(2024, 1, 12), date(2024, 1, 8)
+    src = src.replace(tutorial_end=src.tutorial_end.limit(0))  # a log without rows in the window
+    runner.refresh_reductions(spark, store, src, "g", lo, hi, lo)
+    src = src.replace(login=src.login.filter(_day("login_ts") != F.lit(late)))
+    got, want = runner.refresh_reductions(spark, store, src, "g", lo, hi, late), runner.reduce_logs(src, lo, hi)
+    for name in ("login", "billing", "tutorial_end"):
+        assert spark_rows(getattr(got, name)) == spark_rows(getattr(want, name)), name
