@@ -1,4 +1,4 @@
-"""The ten registered operators over whole tables, and SQL for those that SQL can express."""
+"""The thirteen registered operators over whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat_format, exact_dedup, html_extract, jaccard_join, language_id, mixing, packing, pq_dedup, quality, sharding
+from daybook.llm import chat_format, exact_dedup, html_extract, jaccard_join, language_id, lexical_search, mixing, packing, pq_dedup, quality, sentencepiece_bpe, sharding, token_alignment
 from daybook.llm.common import table
 
 MIX_ENTROPY = 0.999  # of the entropy of equal weights
@@ -174,8 +174,68 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(table(spark, sf_dir, "documents"), shards=8)
 
 
+def pieces_model() -> str:
+    """The public SentencePiece model, installed on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), pieces_model())
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), t AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM d) GROUP BY r, term
+), s AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(words)) AS BIGINT) AS total FROM d WHERE len(words) > 0
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM t, s GROUP BY term, docs
+), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), m AS (
+  SELECT r, doc_id, 100 - 50 + (50 * len(words) * docs) // total AS m FROM d, s
+), scored AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN t USING (term) JOIN m USING (r) GROUP BY item_id, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), vocabulary(), pieces_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pq_dedup, op2_language_id, op3_quality_gam, op4_best_fit_packing, op5_kd_shards, op6_jaccard_join, op7_exact_dedup, op8_chat_format, op9_html_text, op10_temperature_mix)
+    f.__name__: f
+    for f in (
+        op1_pq_dedup,
+        op2_language_id,
+        op3_quality_gam,
+        op4_best_fit_packing,
+        op5_kd_shards,
+        op6_jaccard_join,
+        op7_exact_dedup,
+        op8_chat_format,
+        op9_html_text,
+        op10_temperature_mix,
+        op11_sentencepiece,
+        op12_lexical_search,
+        op13_token_alignment,
+    )
 }
 
-SQL: dict[str, str] = {"op1_pq_dedup": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op8_chat_format": OP8_SQL, "op10_temperature_mix": OP10_SQL}
+SQL: dict[str, str] = {"op1_pq_dedup": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op8_chat_format": OP8_SQL, "op10_temperature_mix": OP10_SQL, "op12_lexical_search": OP12_SQL}
