@@ -26,9 +26,8 @@ BOOKMARK_SCHEMA = T.StructType(
 BOOKMARK_KEYS = ["game_code", "job", "kind"]
 
 
-def replace_range(existing: DataFrame, new: DataFrame, game_code: str, cutoff, keys: list[str], date_col: str) -> DataFrame:
-    """``existing`` minus this game's rows at/after ``cutoff`` minus rows whose
-    key reappears in ``new``, plus ``new``.
+def rows_kept(existing: DataFrame, new: DataFrame, game_code: str, cutoff, keys: list[str], date_col: str) -> DataFrame:
+    """``existing`` minus this game's rows at/after ``cutoff`` minus rows whose key reappears in ``new``.
 
     Key equality is NULL-safe: a NULL segment is a key value like any other,
     so a re-computed NULL-segment row replaces its stale copy.
@@ -38,7 +37,12 @@ def replace_range(existing: DataFrame, new: DataFrame, game_code: str, cutoff, k
     kept = existing.filter(~F.coalesce(gone, F.lit(False)))
     new_keys = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     cond = reduce(lambda a, b: a & b, [kept[k].eqNullSafe(new_keys[f"_new_{k}"]) for k in keys])
-    kept = kept.join(new_keys, cond, "left_anti")
+    return kept.join(new_keys, cond, "left_anti")
+
+
+def replace_range(existing: DataFrame, new: DataFrame, game_code: str, cutoff, keys: list[str], date_col: str) -> DataFrame:
+    """The rows kept of ``existing`` (see ``rows_kept``) plus ``new``."""
+    kept = rows_kept(existing, new, game_code, cutoff, keys, date_col)
     return kept.unionByName(new.select(*existing.columns))
 
 

@@ -4,14 +4,14 @@ One run of ``run_jobs`` does, for each job in order:
 
 1. read the job's bookmark (default: the configured start) and derive its
    windows;
-2. compute the metric over the run's shared, reduced logs and cut its lineage
-   with a reliable ``checkpoint`` (so the emptiness check, the bookmark and
-   the write do not recompute it, and lost executors do not reach back to the
-   raw logs);
+2. compute the metric over the run's shared, reduced logs and stage it in the
+   store, partitioned by game and month. The staging job itself observes its
+   number of rows and newest date: no checkpoint, and no second pass for the
+   guard or the bookmark;
 3. skip the job when the result is empty (the reference does the same);
-4. merge it into the stored table with ``replace_range`` (delete the
-   recomputed range, replace equal keys) and commit a new table version;
-5. advance the bookmark to the largest date produced, after the write;
+4. add the rows of the touched months that stay (``rows_kept``: neither in the
+   recomputed range nor of an equal key) and commit: ``TableStore.replace``;
+5. advance the bookmark to the newest date produced, after the write;
 6. with ``backup_root`` set, snapshot as CSV the member-level rows behind
    ``nru_day`` (``nru_backup/<start>``) and the ``dau_day`` result
    (``dau_backup/<start>``), overwriting an earlier snapshot of the same start.
@@ -23,7 +23,8 @@ smallest day sequence, billing and tutorial rows keep their count ``n`` and
 money sum). By default a run reduces its whole look-back window from the raw
 logs (the reference's semantics under late data); with ``rescan="recent"`` the
 reductions persist in the store, partitioned by day, and a run re-reduces only
-the days from its first new report day on, reading the rest back.
+what the ledger (``plans.ledger``) asks for: days never reduced, days that rows
+have landed for since, and each log's newest days; the rest is read back.
 
 Co-location: the reduced logs, ``member`` and ``profile`` are written once per
 run as tables bucketed by ``member_id`` into a run folder under the shared
@@ -34,7 +35,6 @@ shuffle for them; the written tables also cut the lineage back to the raw logs.
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from collections.abc import Callable
@@ -42,17 +42,16 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.config import KpiConfig
 from daybook.functions.calendar import scan_days
 from daybook.operators.activity import LOG_ROWS, SEG
-from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame, replace_range
-from daybook.plans import daily, weekly
+from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame
+from daybook.plans import daily, ledger, weekly
 from daybook.session import checkpoint_dir
-from daybook.sources.sinks import TableStore, backup_csv, delete_path, path_exists
+from daybook.sources.sinks import TableStore, backup_csv, delete_path, leaf_partitions, make_folder, path_exists
 from daybook.sources.tables import Sources
 
 DAY = timedelta(days=1)
@@ -85,12 +84,12 @@ def _first_week(cfg: KpiConfig) -> date:
 
 def _ru(cfg: KpiConfig, src: Sources, store: TableStore) -> DataFrame:
     if store.exists("ru_day"):
-        return daily.ru_day_incremental(cfg, src, store.read("ru_day"))
+        return daily.ru_day_incremental(cfg, src, store.read("ru_day", game=cfg.game_code, hi=cfg.day_lo))
     return daily.ru_day(cfg, src)
 
 
 def _rau_week(cfg: KpiConfig, src: Sources, store: TableStore) -> DataFrame:
-    return weekly.rau_week(cfg, store.read("rau_day", daily.rau_day(cfg, src).schema))
+    return weekly.rau_week(cfg, store.read("rau_day", daily.rau_day(cfg, src).schema, game=cfg.game_code, lo=_first_week(cfg), hi=cfg.week_hi))
 
 
 def _m(fn):
@@ -176,48 +175,61 @@ def log_windows(jobs: list[Job], cfgs: dict[str, KpiConfig]) -> dict[str, date]:
     return lows
 
 
-def _stored_days(spark: SparkSession, path: str) -> set[date]:
-    """Partition dates of a stored reduction, from the file listing (no job)."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except AnalysisException:
-        return set()
-    return {date.fromisoformat(m.group(1)) for m in (re.search(r"/dt=(\d{4}-\d{2}-\d{2})/", f) for f in files) if m}
-
-
 def refresh_reductions(
-    spark: SparkSession, store: TableStore, src: Sources, game_code: str, lo: date, hi: date, refresh_lo: date
+    spark: SparkSession,
+    store: TableStore,
+    src: Sources,
+    game_code: str,
+    lo: date | dict[str, date],
+    hi: date,
+    refresh_lo: date | None = None,
+    overlap: int = 1,
 ) -> Sources:
-    """The reduced logs for days ``[lo, hi)``, kept in the store between runs.
-
-    Each log's reduction is a table partitioned by ``dt``. A run re-reduces
-    only the days from ``refresh_lo`` on (where new or late rows can land)
-    plus any day of the window not stored yet, deleting what is stored of them
-    and then writing them anew (a day whose raw rows vanished is empty then;
-    after a crash in between it counts as not stored); older days are read back. A daily run thus
-    scans about ``before_days + 1`` days of raw log instead of the whole
-    look-back window.
+    """The reduced logs for days ``[lo, hi)`` (``lo`` may differ by log), kept in the store between runs.
+
+    Each log's reduction is a table partitioned by ``dt``; the ledger says which
+    days to reduce anew (``ledger.days_to_reduce``). They are staged whole and
+    then swapped in, so readers see the old days until the new ones are there. A
+    day that has lost all its raw rows becomes empty if the log still holds
+    rows of that day or an earlier one; if not, the raw day has expired and what
+    was stored of it stays.
     """
-    frames = {}
-    for name in LOG_TS:
-        path = store.path(f"_reduced/{game_code}/{name}")
-        present = _stored_days(spark, path)
-        window = [lo + timedelta(days=i) for i in range((hi - lo).days)]
-        todo = [d for d in window if d >= refresh_lo or d not in present]
-        part = reduce_log(name, getattr(src, name), min(todo, default=lo), max(todo, default=lo - DAY) + DAY)
+    known = ledger.read_ledger(store, game_code)
+    lows = lo if isinstance(lo, dict) else dict.fromkeys(LOG_TS, lo)
+    frames, changed = {}, False
+    for name, ts in LOG_TS.items():
+        first = lows.get(name, hi)
+        table, raw = f"_reduced/{game_code}/{name}", getattr(src, name)
+        days = known.setdefault(name, {})
+        todo = ledger.days_to_reduce(days, first, hi, overlap, refresh_lo)
+        part = reduce_log(name, raw, min(todo, default=first), max(todo, default=first - DAY) + DAY)
         if todo:
-            for d in present.intersection(todo):
-                delete_path(spark, f"{path}/dt={d.isoformat()}")
             if len(todo) != (max(todo) - min(todo)).days + 1:
                 part = part.filter(F.col("dt").isin(todo))
-            (
-                part.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("dt")
-                .parquet(path)
-            )
-        stored = spark.read.schema(part.schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], part.schema)
-        frames[name] = stored.filter((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
+            staged = store.staging(table)
+            part.hint("rebalance", "dt").write.partitionBy("dt").parquet(staged)
+            found = {date.fromisoformat(p[-10:]) for p in leaf_partitions(spark, staged)}
+            lost = [d for d in todo if d not in found and d in days and days[d].rows]
+            if lost:  # rare: only then the log's oldest row is looked for
+                oldest = raw.agg(F.min(F.to_date(ts))).first()[0]
+                lost = [d for d in lost if oldest is not None and oldest <= d]
+            for d in lost:
+                make_folder(spark, f"{staged}/dt={d.isoformat()}")
+            store.swap(table, staged)
+            store.vacuum(table, keep=1)
+            counts = {}
+            if found:
+                new = spark.read.schema(part.schema).parquet(store.parts(table)).filter(F.col("dt").isin(sorted(found)))
+                counts = {r["dt"]: r["count"] for r in new.groupBy("dt").count().collect()}  # a row a day
+            for d in todo:
+                kept = d not in found and d not in lost and d in days
+                days[d] = ledger.DayState(days[d].rows if kept else counts.get(d, 0))
+            changed = True
+        there = path_exists(spark, store.parts(table))
+        stored = spark.read.schema(part.schema).parquet(store.parts(table)) if there else spark.createDataFrame([], part.schema)
+        frames[name] = stored.filter((F.col("dt") >= F.lit(first)) & (F.col("dt") < F.lit(hi)))
+    if changed:
+        ledger.write_ledger(spark, store, game_code, known)
     return src.replace(**frames)
 
 
@@ -227,13 +239,6 @@ def job_config(base: KpiConfig, job: Job, marks: dict[tuple[str, str, str], str]
     return base.replace(start=mark) if job.kind == "day" else base.replace(week_start=mark)
 
 
-def refresh_start(jobs: list[Job], cfgs: dict[str, KpiConfig]) -> date:
-    """First day whose raw rows a run must re-reduce: the first new report day."""
-    return min(
-        (cfgs[j.table].day_lo + DAY) if j.kind == "day" else (cfgs[j.table].week_lo + timedelta(days=7)) for j in jobs
-    )
-
-
 def scan_window(cfgs: list[KpiConfig]) -> tuple[date, date]:
     lo = min(
         min(c.month_lo, c.rau_scan_lo, c.retention_day_lo + DAY, c.day_lo + DAY, c.week_lo + timedelta(days=7))
@@ -243,6 +248,7 @@ def scan_window(cfgs: list[KpiConfig]) -> tuple[date, date]:
     return lo, hi
 
 
+# What is kept of a job's run, from the sources or from the rows that it committed.
 BACKUPS: dict[str, Callable[[KpiConfig, Sources, DataFrame], DataFrame]] = {
     "nru_day": lambda cfg, src, result: daily.nru_backup_rows(cfg, src),
     "dau_day": lambda cfg, src, result: result,
@@ -316,6 +322,7 @@ def run_jobs(
     buckets: int | None = None,
     keep_versions: int | None = None,
     rescan: str = "window",
+    landed_only: bool = False,
 ) -> dict[str, str | None]:
     """Run ``jobs`` in order; returns job table -> new bookmark (None if skipped).
 
@@ -329,20 +336,27 @@ def run_jobs(
     * ``"window"`` (default): every day of the run's look-back window is
       reduced from the raw logs, so every result reflects all rows present
       when the run starts, late ones included -- the reference's semantics;
-    * ``"recent"``: reductions persist in the store and only the days from
-      the first new report day on (plus days never reduced) are re-reduced.
-      Late rows for older days need their bookmarks rewound.
+    * ``"recent"``: reductions persist in the store; a run re-reduces days never
+      reduced, each log's newest ``before_days`` reduced days, and days that the
+      ledger calls stale because rows have landed for them
+      (``streaming.refresh`` marks these, and rewinds bookmarks).
+
+    With ``landed_only`` a job reports only days before the one that the upstream
+    marks of its logs name, which may still be landing.
     """
     if rescan not in ("window", "recent"):
         raise ValueError("rescan must be 'window' or 'recent'")
     ckpt = checkpoint_dir(spark)
-    marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA))
+    marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA, game=base.game_code))
     cfgs = {job.table: job_config(base, job, marks) for job in jobs}
+    if landed_only:
+        landed = bookmark_values(store.read(ledger.UPSTREAM, BOOKMARK_SCHEMA, game=base.game_code))
+        cfgs = {t: ledger.bounded(c, LOG_READS.get(t, ((), None))[0], landed) for t, c in cfgs.items()}
     lows, hi = log_windows(jobs, cfgs), max(c.day_hi for c in cfgs.values())
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(spark, RUN_CONF):
         if rescan == "recent":
-            logs = refresh_reductions(spark, store, src, base.game_code, min(lows.values(), default=hi), hi, refresh_start(jobs, cfgs))
+            logs = refresh_reductions(spark, store, src, base.game_code, lows, hi, overlap=base.before_days)
         else:
             logs = reduce_logs(src, lows, hi)
         reduced, work_tables, work_folder = colocate(spark, logs, f"{ckpt}/daybook-work", n)
@@ -360,23 +374,19 @@ def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str
     out: dict[str, str | None] = {}
     for job in jobs:
         cfg = cfgs[job.table]
-        # rows without a report date are never written (they cannot arise from
-        # the window predicates; the filter states the contract)
-        result = job.compute(cfg, reduced, store).filter(F.col(job.date_col).isNotNull()).checkpoint(eager=True)
-        # one aggregate answers both "empty?" and "new bookmark"
-        latest = result.agg(F.max(job.date_col).cast("string")).first()[0]
-        out[job.table] = latest
-        if latest is None:
+        result = job.compute(cfg, reduced, store)
+        landed = store.replace(job.table, result, cfg.game_code, job.cutoff(cfg), job.keys, job.date_col)
+        out[job.table] = landed.latest.isoformat() if landed else None
+        if landed is None:
             continue
-        current = store.read(job.table, result.schema)
-        merged = replace_range(current, result, cfg.game_code, job.cutoff(cfg), job.keys, job.date_col)
-        store.commit(job.table, merged)
-        # the bookmark moves only after the table version is committed; others' marks are read anew
-        marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA)) | {(cfg.game_code, job.name, job.kind): latest}
-        store.commit("bookmark", bookmarks_frame(spark, marks), partitions=1)
+        # the bookmark moves only after the table's commit; a game's marks are a partition of their own
+        marks = bookmark_values(store.read("bookmark", BOOKMARK_SCHEMA, game=cfg.game_code))
+        marks[cfg.game_code, job.name, job.kind] = landed.latest.isoformat()
+        store.replace_game("bookmark", bookmarks_frame(spark, marks), cfg.game_code)
         if backup_root and job.table in BACKUPS:
-            folder = job.table.split("_")[0]
-            backup_csv(BACKUPS[job.table](cfg, reduced, result), f"{backup_root.rstrip('/')}/{folder}_backup/{cfg.start.isoformat()}")
+            folder, first = job.table.split("_")[0], job.cutoff(cfg)
+            rows = store.read(job.table, result.schema, game=cfg.game_code, lo=first).filter(F.col(job.date_col) >= F.lit(first))
+            backup_csv(BACKUPS[job.table](cfg, reduced, rows), f"{backup_root.rstrip('/')}/{folder}_backup/{cfg.start.isoformat()}")
     return out
 
 
@@ -389,8 +399,9 @@ def run_daily(
     buckets: int | None = None,
     keep_versions: int | None = None,
     rescan: str = "window",
+    landed_only: bool = False,
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets, keep_versions, rescan)
+    return run_jobs(spark, store, src, base, DAILY_JOBS, backup_root, buckets, keep_versions, rescan, landed_only)
 
 
 def run_weekly(
@@ -401,5 +412,6 @@ def run_weekly(
     buckets: int | None = None,
     keep_versions: int | None = None,
     rescan: str = "window",
+    landed_only: bool = False,
 ) -> dict[str, str | None]:
-    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets, keep_versions=keep_versions, rescan=rescan)
+    return run_jobs(spark, store, src, base, WEEKLY_JOBS, buckets=buckets, keep_versions=keep_versions, rescan=rescan, landed_only=landed_only)
