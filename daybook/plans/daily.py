@@ -9,7 +9,7 @@ reference and is stated per function.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +18,13 @@ from pyspark.sql import types as T
 from daybook.config import KpiConfig
 from daybook.functions.calendar import day_range, day_range_incl, local_date, scan_days
 from daybook.operators.activity import SEG, profile_segment, returning_days, row_weight, seg_not_null, with_game
-from daybook.operators.month_to_date import month_to_date_distinct
+from daybook.operators.month_to_date import LOG_SEG, month_bits, month_masks, month_to_date_distinct
 from daybook.operators.running import running_sum
 from daybook.operators.spine import bounded_days, expand_days
 from daybook.sources.tables import Sources
 
 MONEY_SUM = T.DecimalType(38, 2)
 RETENTION_DAYS = 30
-COHORT_K = -1  # offset marking a cohort-membership row in retention_day
 
 
 def _new_members(cfg: KpiConfig, src: Sources, lo_exclusive=None, hi_exclusive=None) -> DataFrame:
@@ -67,30 +66,39 @@ def nru_backup_rows(cfg: KpiConfig, src: Sources) -> DataFrame:
 # D2 dau_day: daily + month-to-date active members
 # seg = COALESCE(profile, login log) with profile INNER; still-NULL seg vanishes
 # --------------------------------------------------------------------------
-def dau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
-    lo, hi = cfg.day_lo, cfg.day_hi
-    first = scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", cfg.month_lo, hi)
-    # a member's first login of a day is one row per member-day already
-    login_days = first.select(
-        "member_id",
-        F.to_date("login_ts").alias("day"),
-        F.col("os_type").alias("l_os_type"),
-        F.col("country_code").alias("l_country_code"),
-    )
-    report_days = login_days.filter(F.col("day") > F.lit(lo)).select("day").distinct()
-    act = (
-        login_days.join(profile_segment(src.profile), "member_id", "inner")
-        .select(
-            "day",
-            F.coalesce("p_os_type", "l_os_type").alias("os_type"),
-            F.coalesce("p_country_code", "l_country_code").alias("country_code"),
-            "member_id",
-        )
-        .filter(seg_not_null())
-    )
-    out = month_to_date_distinct(
-        act, bounded_days(report_days), hi, "dau", "sum_month_dau"
-    )
+def _first_logins(cfg: KpiConfig, src: Sources, lo: date | None) -> DataFrame:
+    first = scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", cfg.month_lo if lo is None else lo, cfg.day_hi)
+    return first.select("member_id", "login_ts", F.col("os_type").alias("l_os_type"), F.col("country_code").alias("l_country_code"))
+
+
+def login_masks(cfg: KpiConfig, src: Sources, lo: date | None = None) -> DataFrame:
+    """Month masks of members' first logins from ``lo`` (default: the month window's first day) on, by logged segment."""
+    return month_masks(_first_logins(cfg, src, lo), F.to_date("login_ts"), LOG_SEG)
+
+
+def billing_masks(cfg: KpiConfig, src: Sources, lo: date | None = None) -> DataFrame:
+    """Month masks of members' purchases from ``lo`` (default: the month window's first day) on."""
+    bill = scan_days(src.billing, "log_ts", cfg.month_lo if lo is None else lo, cfg.day_hi)
+    return month_masks(bill, F.to_date("log_ts"), [])
+
+
+def _counted(masks: DataFrame, src: Sources, seg: list) -> DataFrame:
+    """Masks with the segment to report; those without a profile or with a NULL segment don't count."""
+    # without a profile there is no row to join: its segment doesn't count, whatever was logged
+    profile = profile_segment(src.profile).withColumn("has_profile", F.lit(True))
+    joined = masks.join(profile, "member_id", "left").select("month", *seg, "member_id", "days", "has_profile")
+    counted = F.coalesce(F.col("has_profile"), F.lit(False)) & seg_not_null()
+    named = joined.withColumn("counted", counted)
+    # one segment for all that don't count
+    return named.select("month", *(F.when(F.col("counted"), F.col(c)).alias(c) for c in SEG), "counted", "member_id", "days")
+
+
+def dau_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> DataFrame:
+    """``masks``, where given, are the month window's ``login_masks``, kept from earlier runs; no log is read then."""
+    if masks is None:  # a member's first login of a day is one row already: the join may take them as they are
+        masks = month_bits(_first_logins(cfg, src, None), F.to_date("login_ts"), LOG_SEG)
+    seg = [F.coalesce(f"p_{c}", f"l_{c}").alias(c) for c in SEG]
+    out = month_to_date_distinct(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "dau", "sum_month_dau")
     return with_game(out, cfg.game_code)
 
 
@@ -98,19 +106,11 @@ def dau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
 # D3 pu_day: daily + month-to-date payers; seg from profile only (INNER);
 # NULL seg vanishes
 # --------------------------------------------------------------------------
-def pu_day(cfg: KpiConfig, src: Sources) -> DataFrame:
-    lo, hi = cfg.day_lo, cfg.day_hi
-    bill = scan_days(src.billing, "log_ts", cfg.month_lo, hi)
-    bill_days = bill.select("member_id", F.to_date("log_ts").alias("day")).distinct()
-    report_days = bill_days.filter(F.col("day") > F.lit(lo)).select("day").distinct()
-    act = (
-        bill_days.join(src.profile.select("member_id", *SEG), "member_id", "inner")
-        .select("day", *SEG, "member_id")
-        .filter(seg_not_null())
-    )
-    out = month_to_date_distinct(
-        act, bounded_days(report_days), hi, "pu", "sum_month_pu"
-    )
+def pu_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> DataFrame:
+    """``masks``, where given, are the month window's ``billing_masks``, kept from earlier runs; no log is read then."""
+    masks = billing_masks(cfg, src) if masks is None else masks
+    seg = [F.col(f"p_{c}").alias(c) for c in SEG]
+    out = month_to_date_distinct(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "pu", "sum_month_pu", one_per_member=True)
     return with_game(out, cfg.game_code)
 
 
@@ -279,56 +279,61 @@ def ru_day_incremental(cfg: KpiConfig, src: Sources, prior: DataFrame) -> DataFr
 # logging in on day k = 1..30 and cohort money on day k = 0..30. A cohort
 # with a NULL segment keeps user_count; its other measures are NULL.
 # --------------------------------------------------------------------------
+def _cohort_days(cohort: DataFrame, src: Sources, lo: date, hi: date) -> DataFrame:
+    """``cohort`` with ``day, login, amount``: a row for each of a member's days with logins or purchases in ``[lo, hi)``.
+
+    A member without any keeps one row of NULLs. A member has at most a row a
+    day and log, so what is gathered of one is bounded by the calendar.
+    """
+    keys = ["member_id", "day"]
+    logins = scan_days(src.login, "login_ts", lo, hi).select("member_id", F.to_date("login_ts").alias("day"))
+    sales = scan_days(src.billing, "log_ts", lo, hi).select("member_id", F.to_date("log_ts").alias("day"), F.col("amount").cast(MONEY_SUM).alias("amount"))
+    total = F.sum("amount").cast(MONEY_SUM).alias("amount")
+    nothing = F.lit(None).cast(MONEY_SUM).alias("amount")
+    if not src.colocated:
+        both = logins.select(*keys, F.lit(True).alias("login"), nothing).unionByName(sales.select(*keys, F.lit(False).alias("login"), "amount"))
+        return cohort.join(both.groupBy(*keys).agg(F.max("login").alias("login"), total), "member_id", "left")
+    # all sides are partitioned by member already; left joins of a list a member keep that, a union would not
+    rows = cohort
+    for name, days in (
+        ("logins", logins.distinct().select(*keys, F.lit(True).alias("login"), nothing)),
+        ("sales", sales.groupBy(*keys).agg(total).select(*keys, F.lit(False).alias("login"), "amount")),
+    ):
+        lists = days.groupBy("member_id").agg(F.collect_list(F.struct("day", "login", "amount")).alias(name))
+        rows = rows.join(lists, "member_id", "left")
+    none = F.array().cast("array<struct<day:date,login:boolean,amount:decimal(38,2)>>")
+    both = F.concat(F.coalesce("logins", none), F.coalesce("sales", none))
+    return rows.select(*cohort.columns, F.explode_outer(both).alias("_at")).select(*cohort.columns, "_at.*")
+
+
 def retention_day(cfg: KpiConfig, src: Sources) -> DataFrame:
+    """One cohort join: member-days of both logs meet the cohort once; per member logins are bits and money is by offset."""
     lo, hi = cfg.retention_day_lo, cfg.day_hi
-    act_lo = lo + timedelta(days=1)
     cohort = (
         _new_members(cfg, src, lo_exclusive=lo)
         .join(src.profile.select("member_id", *SEG), "member_id", "inner")
         .select("member_id", "reg_date", *SEG)
     )
-    # member-day reductions of each log (no shuffle when the logs are
-    # partitioned by member), each joined to the cohort on the member
-    login_days = (
-        scan_days(src.login, "login_ts", act_lo, hi).select("member_id", F.to_date("login_ts").alias("day")).distinct()
-    )
-    sales_days = (
-        scan_days(src.billing, "log_ts", act_lo, hi)
-        .groupBy("member_id", F.to_date("log_ts").alias("day"))
-        .agg(F.sum("amount").alias("amount"))
-    )
-    k = F.datediff(F.col("day"), F.col("reg_date")).alias("k")
-    zero = F.lit(0).cast(MONEY_SUM)
-    logged = cohort.join(login_days, "member_id").select("reg_date", *SEG, k, F.lit(1).alias("u"), zero.alias("s"))
-    paid = cohort.join(sales_days, "member_id").select("reg_date", *SEG, k, F.lit(0).alias("u"), F.col("amount").cast(MONEY_SUM).alias("s"))
-    in_range = (F.col("k") >= 0) & (F.col("k") <= RETENTION_DAYS)
-    # plus one row per cohort member at k = -1, which counts the cohort and
-    # keeps cohorts without any activity
-    members = cohort.select("reg_date", *SEG, F.lit(COHORT_K).alias("k"), F.lit(1).alias("u"), zero.alias("s"))
-    per_k = (
-        logged.filter(in_range)
-        .unionByName(paid.filter(in_range))
-        .unionByName(members)
-        .groupBy("reg_date", *SEG, "k")
-        .agg(F.sum("u").alias("u"), F.sum("s").alias("s"))
-    )
-    # narrow aggregate first, then a pivot of the (cohort x offset) rows
-    wide = (
-        per_k.groupBy("reg_date", *SEG)
-        .pivot("k", [COHORT_K] + list(range(RETENTION_DAYS + 1)))
-        .agg(F.first("u").alias("u"), F.first("s").alias("s"))
+    k = F.datediff("day", "reg_date")
+    rows = _cohort_days(cohort, src, lo + timedelta(days=1), hi).select("member_id", "reg_date", *SEG, k.alias("k"), "login", "amount")
+    # per member: logins as the bits 1..30 of one integer, money by offset
+    offsets = range(RETENTION_DAYS + 1)
+    seen = F.when(F.col("login") & F.col("k").between(1, RETENTION_DAYS), F.expr("shiftleft(1, k)"))
+    per_member = rows.groupBy("member_id", "reg_date", *SEG).agg(
+        F.coalesce(F.bit_or(seen), F.lit(0)).alias("mask"), *(F.sum(F.when(F.col("k") == i, F.col("amount"))).alias(f"s{i}") for i in offsets)
     )
+    counts = [F.sum(F.expr(f"(mask >> {i}) & 1")).alias(f"user_{i}") for i in offsets if i]
+    money = [F.sum(f"s{i}").alias(f"sales_{i}") for i in offsets]
+    wide = per_member.groupBy("reg_date", *SEG).agg(F.count(F.lit(1)).alias("user_count"), *counts, *money)
 
-    def measure(i: int, kind: str):
-        v = F.col(f"{i}_{kind}")
-        name, typ = (f"user_{i}", "bigint") if kind == "u" else (f"sales_{i}", MONEY_SUM)
-        return F.when(seg_not_null(), F.coalesce(v, F.lit(0))).cast(typ).alias(name)
+    def measure(name: str, kind):
+        return F.when(seg_not_null(), F.coalesce(F.col(name), F.lit(0))).cast(kind).alias(name)
 
     out = wide.select(
         F.col("reg_date").alias("division_date"),
         *SEG,
-        F.col(f"{COHORT_K}_u").cast("bigint").alias("user_count"),
-        *[measure(i, "u") for i in range(1, RETENTION_DAYS + 1)],
-        *[measure(i, "s") for i in range(0, RETENTION_DAYS + 1)],
+        "user_count",
+        *(measure(f"user_{i}", "bigint") for i in offsets if i),
+        *(measure(f"sales_{i}", MONEY_SUM) for i in offsets),
     )
     return with_game(out, cfg.game_code)

@@ -287,7 +287,7 @@ def colocate(spark: SparkSession, src: Sources, work_root: str, buckets: int) ->
     except BaseException:
         _drop_work(spark, tables, folder)
         raise
-    return Sources(**frames), tables, folder
+    return Sources(**frames, colocated=True), tables, folder
 
 
 # Job-level session settings, restored after the run. The co-located tables

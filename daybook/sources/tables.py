@@ -84,6 +84,7 @@ class Sources:
     login: DataFrame
     billing: DataFrame
     tutorial_end: DataFrame
+    colocated: bool = False  # every table is partitioned alike by member, and logs are reduced to member-days
 
     def replace(self, **kw) -> "Sources":
         return replace(self, **kw)

@@ -134,3 +134,26 @@ def test_colocated_sources_need_no_member_shuffle(spark, colocated, name):
         plan = _plan(catalog.metric(name, CFG, colocated))
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert not [k for k in keys if "member_id" in k], keys
+
+
+def _scans_of(plan: str, table: str) -> int:
+    return len(re.findall(rf"Location: InMemoryFileIndex[^\n]*/{table}\]", plan))
+
+
+def test_retention_reads_each_table_once(spark, stored):
+    """One scan a table and five hash exchanges at most: both logs' member-days, the cohort's two sides, the result."""
+    from daybook.plans import runner
+
+    root, src = stored
+    with runner.session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = _plan(catalog.metric("retention_day", CFG, src))
+    assert [_scans_of(plan, t) for t in ("member", "profile", "login", "billing")] == [1, 1, 1, 1]
+    assert plan.count("Exchange hashpartitioning") <= 5
+
+
+@pytest.mark.parametrize(("name", "log"), [("dau_day", "login"), ("pu_day", "billing")])
+def test_month_to_date_reads_its_log_once(spark, stored, name, log):
+    root, src = stored
+    plan = _plan(catalog.metric(name, CFG, src))
+    assert _scans_of(plan, log) == 1
+    assert plan.count("Generate posexplode(filter(") == 1  # members spread into the days they were active, no others
