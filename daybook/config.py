@@ -116,6 +116,10 @@ class KpiConfig:
         # first report day is day_lo + 1; its gap window starts 7 days earlier
         return self.day_lo + timedelta(days=1) - timedelta(days=back)
 
+    def first_run(self) -> "KpiConfig":
+        """The variant in which the returning-user lag sees no login before the bookmark."""
+        return self.replace(rau_lookback_days=1 - self.before_days)
+
 
 # Fixed values of the checked scenario (FIXTURES.md section 3): local offset 9 h,
 # one day of overlap, daily bookmark 2024-01-01, weekly bookmark 2023-12-24,

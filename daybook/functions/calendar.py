@@ -75,18 +75,47 @@ def week_range(ts, week_lo_exclusive: date, week_hi_exclusive: date, hours: int
     return day_range_incl(ts, week_lo_exclusive + timedelta(days=7), week_hi_exclusive, hours)
 
 
+# Partition layouts of logs by local date: the columns, and their day or month as one number that orders like it.
+LAYOUTS: list[tuple[tuple[str, ...], str, str]] = [
+    (("dt",), "day", "dt"),
+    (("yyyy", "mm", "dd"), "day", "yyyy * 10000 + mm * 100 + dd"),
+    (("yyyy", "mm"), "month", "yyyy * 100 + mm"),
+    (("ym",), "month", "ym"),
+]
+LAYOUT_COLUMNS = ("dt", "yyyy", "mm", "dd", "ym")
+
+
+def partition_range(columns: list[str], lo_inclusive: date, hi_exclusive: date) -> Column | None:
+    """Local days ``[lo, hi)`` as a predicate on a table's partition columns alone; None if it has none that is known.
+
+    ``dt`` is a date, ``ym`` a string yyyy-MM, the others are numbers. Month
+    layouts keep whole months, so days are filtered on the timestamp as well.
+    """
+    found = next((x for x in LAYOUTS if set(x[0]) <= set(columns)), None)
+    if found is None:
+        return None
+    (first, *rest), grain, sql = found
+    last = hi_exclusive - timedelta(days=1)
+    if first == "dt":
+        return (F.col("dt") >= F.lit(lo_inclusive)) & (F.col("dt") < F.lit(hi_exclusive))
+    if first == "ym":
+        return F.col("ym").between(f"{lo_inclusive:%Y-%m}", f"{last:%Y-%m}")
+    lo, hi = (d.year * 10000 + d.month * 100 + d.day if grain == "day" else d.year * 100 + d.month for d in (lo_inclusive, last))
+    # the bound on the first column alone also prunes where a catalog takes simple comparisons only
+    return F.col(first).between(lo_inclusive.year, last.year) & F.expr(sql).between(lo, hi)
+
+
 def scan_days(df: DataFrame, ts: str, lo_inclusive: date, hi_exclusive: date, hours: int = 0) -> DataFrame:
     """Restrict a log scan to local days ``[lo, hi)``.
 
-    Adds the range on the timestamp column and, when the table carries a ``dt``
-    date partition column (the production log layout), the same range on
-    ``dt`` so whole partitions are skipped (only for already-local logs,
-    ``hours == 0``, whose ``dt`` is the local date).
+    Adds the range on the timestamp column and, when the table carries
+    partition columns of a known layout, the same range on them, so whole
+    partitions are skipped (only for already-local logs, ``hours == 0``, whose
+    partitions are by local date).
     """
     out = df.filter(day_range_incl(ts, lo_inclusive, hi_exclusive, hours))
-    if hours == 0 and "dt" in df.columns:
-        out = out.filter((F.col("dt") >= F.lit(lo_inclusive)) & (F.col("dt") < F.lit(hi_exclusive)))
-    return out
+    parts = partition_range(df.columns, lo_inclusive, hi_exclusive) if hours == 0 else None
+    return out if parts is None else out.filter(parts)
 
 
 def date_sequence(lo_inclusive: date, hi_exclusive: date) -> Column:

@@ -47,9 +47,13 @@ def month_masks(days: DataFrame, day: Column, seg: list[str]) -> DataFrame:
     return month_bits(days, day, seg).groupBy("member_id", "month", *seg).agg(F.bit_or("days").alias("days"))
 
 
-def merge_masks(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Masks of both by ``bit_or``: ``new`` may hold new days, and late rows of old ones."""
+def merge_masks(old: DataFrame, new: DataFrame, anew: int = 0) -> DataFrame:
+    """Masks of both by ``bit_or``: ``new`` may hold new days, and late rows of old ones.
+
+    ``anew`` has the bits of days that ``new`` holds whole: what ``old`` says of them is dropped.
+    """
     keys = [c for c in old.columns if c != "days"]
+    old = old.withColumn("days", F.col("days").bitwiseAND(F.lit(~anew & 0x7FFFFFFF))).filter("days <> 0") if anew else old
     return old.unionByName(new.select(*old.columns)).groupBy(*keys).agg(F.bit_or("days").alias("days"))
 
 

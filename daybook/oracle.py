@@ -396,3 +396,30 @@ def bookmark_statement(jobs: list[tuple[str, str, str, str]], cfg_day: KpiConfig
             f"max({col}) AS value FROM ({statement(metric, cfg)}) s"
         )
     return " UNION ALL ".join(parts)
+
+
+def landed(name: str, cfg: KpiConfig, log: str, ts: str, until) -> str:
+    """A metric over a log that ends before ``until``, of the days before the one of its newest row."""
+    some = f"SELECT * FROM {log} WHERE {ts} < TIMESTAMP '{until.isoformat(sep=' ')}'"
+    ctes = _with(cfg).rstrip()
+    whole = f"{ctes}, landed AS ({some}) SELECT * FROM (WITH {log} AS (SELECT * FROM landed) {body(name, cfg)}) q WHERE division_date < (SELECT CAST(max({ts}) AS DATE) FROM landed)"
+    return _present(whole, DAILY_DATES, NUMERIC[name])
+
+
+def sales_replaced(cfg: KpiConfig, other_game: str, cutoff: date) -> str:
+    """Rows of ``sales_day`` after two games' full runs and a run of the first game without market 0.
+
+    The first game's rows: those of the last run, and of the first (each amount
+    one more) those before the cutoff whose key the last run doesn't hold. Its
+    members divisible by 3 have no logged platform.
+    """
+    other = cfg.replace(game_code=other_game)
+    blank = "SELECT * REPLACE (CASE WHEN member_id % 3 <> 0 THEN os_type END AS os_type) FROM billing"
+    old = f"WITH billing AS (SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(18,2)) AS amount) FROM unsegmented) {body('sales_day', cfg)}"
+    new = f"WITH billing AS (SELECT * FROM unsegmented WHERE market <> 0) {body('sales_day', cfg)}"
+    keys = ("division_date", "os_type", "country_code", "market", "product_idx")
+    same = " AND ".join(f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in keys)
+    sql = f"""{_with(cfg).rstrip()}, unsegmented AS ({blank}), old AS ({old}), fresh AS ({new}), other AS ({body('sales_day', other)})
+SELECT * FROM fresh UNION ALL SELECT * FROM other
+UNION ALL SELECT * FROM old o WHERE division_date < {_d(cutoff)} AND NOT EXISTS (SELECT 1 FROM fresh n WHERE {same})"""
+    return _present(sql, DAILY_DATES, NUMERIC["sales_day"])

@@ -15,6 +15,17 @@ Scenarios (all on the fixture configuration of FIXTURES.md section 3):
 * ``replace_range``: sales as of 2024-01-20 stored, then a run from 2024-01-15
   merged in; the merge must equal the full run;
 * ``bookmark_advance``: the bookmark table after all fourteen jobs;
+* ``*_stateful``, ``*_masks``: the mid-month run from what an earlier run has to
+  hand down alone: last-seen days, month masks merged with the new days';
+* ``rau_day_first_run``: the mid-month run as the reference's first run;
+* ``dau_day_landed``: the login log has landed up to 2024-01-20 10:00, and the
+  report ends the day before its newest row;
+* ``sales_day_replaced``: three commits to a partitioned table: two games and an
+  older run with rows that must go, a later run of one game with a NULL
+  segment and keys below its cutoff. All rows of both games are returned;
+* ``rau_week_stored``: the roll-up of a stored ``rau_day`` that holds two games;
+* ``sales_day_by_month``: billing stored in ``yyyy/mm`` partitions;
+* ``bookmarks_kept``: filled bookmarks after a run with a job that finds nothing;
 * ``*_months``: every metric on the second fixture (``orders`` + ``customer``)
   over the whole span of orders: daily reports 1995-01-01..2001-08-04, weekly
   reports 1995-01-01..2001-07-29.
@@ -22,8 +33,9 @@ Scenarios (all on the fixture configuration of FIXTURES.md section 3):
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +43,18 @@ from pyspark.sql import types as T
 
 from daybook import oracle
 from daybook.config import FIXTURE_CONFIG, KpiConfig
+from daybook.functions.calendar import ntz
 from daybook.operators.incremental import advance_bookmark, empty_bookmarks, replace_range
+from daybook.operators.last_seen import last_seen
+from daybook.operators.month_to_date import merge_masks
 from daybook.plans import daily, weekly
+from daybook.plans.ledger import UPSTREAM, bounded
+from daybook.session import checkpoint_dir
 from daybook.sources.fixtures import fixture_sources, fixture_sources_orders
+from daybook.sources.sinks import TableStore
 from daybook.sources.tables import Sources
 
+DAY = timedelta(days=1)
 CFG = FIXTURE_CONFIG
 # Fixed scenario dates (see module docstring).
 MID_MONTH_START = date(2024, 1, 15)
@@ -43,6 +62,8 @@ RU_PRIOR_AS_OF = datetime(2024, 1, 5)
 RU_INCREMENTAL_START = date(2024, 1, 5)
 REPLACE_PRIOR_AS_OF = datetime(2024, 1, 20)
 REPLACE_START = date(2024, 1, 15)
+LANDED_UNTIL = datetime(2024, 1, 20, 10)
+OTHER_GAME = "game02"
 
 # Second fixture: a short window across month and year boundaries, for the runner's tests.
 CFG_MONTHS = CFG.replace(start=date(1995, 11, 1), week_start=date(1995, 10, 29), as_of=datetime(1996, 3, 1))
@@ -133,6 +154,82 @@ def bookmark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks
 
 
+def rau_day_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+    state = last_seen(daily.first_login_days(CFG_MID, src, CFG.start, CFG_MID.day_lo + DAY))
+    return daily.rau_day(CFG_MID.replace(rau_lookback_days=0), src, state)
+
+
+def rau_day_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.rau_day_first_run(CFG_MID, fixture_sources(spark, sf_dir, CFG.tz_offset_hours))
+
+
+def _from_masks(metric_: Callable, masks: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+        kept = masks(CFG.replace(as_of=datetime.combine(MID_MONTH_START, time())), src)
+        return metric_(CFG_MID, src, merge_masks(kept, masks(CFG_MID, src, MID_MONTH_START)))
+
+    return run
+
+
+def dau_day_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+    src = src.replace(login=src.login.filter(F.col("login_ts") < ntz(LANDED_UNTIL)))
+    newest = src.login.agg(F.max("login_ts").cast("string")).first()[0]  # what the file stream keeps as the log's mark
+    cfg = bounded(CFG, ("login",), {(CFG.game_code, "login", UPSTREAM): newest} if newest else {})
+    return daily.dau_day(cfg, src)
+
+
+def _scratch_store(spark: SparkSession) -> TableStore:
+    return TableStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}")
+
+
+def sales_day_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+    store, other = _scratch_store(spark), CFG.replace(game_code=OTHER_GAME)
+    unsegmented = src.replace(billing=src.billing.withColumn("os_type", F.when(F.col("member_id") % 3 != 0, F.col("os_type"))))
+    old = unsegmented.replace(billing=unsegmented.billing.withColumn("amount", F.col("amount") + 1))  # every sum will differ
+
+    def put(cfg: KpiConfig, rows: DataFrame, cutoff: date) -> None:
+        store.replace("sales_day", rows, cfg.game_code, cutoff, SALES_KEYS, "division_date")
+
+    put(CFG, daily.sales_day(CFG, old), CFG.start)
+    put(other, daily.sales_day(other, src), CFG.start)
+    # the new result holds all days, the range to delete starts mid-month: days before it go by their keys
+    put(CFG, daily.sales_day(CFG, unsegmented.replace(billing=unsegmented.billing.filter(F.col("market") != 0))), REPLACE_START)
+    return store.read("sales_day")
+
+
+def rau_week_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+    store = _scratch_store(spark)
+    for game in (CFG.game_code, OTHER_GAME):
+        cfg = CFG.replace(game_code=game)
+        store.replace("rau_day", daily.rau_day(cfg, src), game, CFG.start, SALES_KEYS[:4], "division_date")
+    days = store.read("rau_day", daily.rau_day(CFG, src).schema, game=CFG.game_code, lo=CFG.week_lo, hi=CFG.week_hi)
+    return weekly.rau_week(CFG, days)
+
+
+def sales_day_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+    parts = {"yyyy": F.year("log_ts"), "mm": F.month("log_ts")}
+    src.billing.withColumns(parts).write.partitionBy(*parts).parquet(path)
+    return daily.sales_day(CFG_MID, src.replace(billing=spark.read.parquet(path)))
+
+
+def bookmarks_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir, CFG.tz_offset_hours)
+    nobody = src.replace(tutorial_end=src.tutorial_end.filter("member_id < 0"))  # no tutorial ends: its job finds nothing
+    marks = empty_bookmarks(spark)
+    for cfg, own in ((CFG.replace(as_of=REPLACE_PRIOR_AS_OF), src), (CFG.replace(game_code=OTHER_GAME, as_of=RU_PRIOR_AS_OF), src), (CFG, nobody)):
+        for job, kind, name, col in BOOKMARK_JOBS:
+            if name in ("sales_day", "eru_day"):
+                marks = advance_bookmark(marks, cfg.game_code, job, kind, metric(name, cfg, own), col)
+    return marks
+
+
 METRICS = [
     "nru_day", "dau_day", "pu_day", "eru_day", "rau_day", "sales_day", "ru_day", "retention_day",
     "nru_week", "wau_week", "pu_week", "eru_week", "rau_week", "sales_week", "sales_week_members",
@@ -148,6 +245,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["ru_day_seeded"] = ru_day_seeded
     q["replace_range"] = replace_range_query
     q["bookmark_advance"] = bookmark_advance
+    q["rau_day_stateful"] = rau_day_stateful
+    q["rau_day_first_run"] = rau_day_first_run
+    q["dau_day_masks"] = _from_masks(daily.dau_day, daily.login_masks)
+    q["pu_day_masks"] = _from_masks(daily.pu_day, daily.billing_masks)
+    q["dau_day_landed"] = dau_day_landed
+    q["sales_day_replaced"] = sales_day_replaced
+    q["rau_week_stored"] = rau_week_stored
+    q["sales_day_by_month"] = sales_day_by_month
+    q["bookmarks_kept"] = bookmarks_kept
     for n in METRICS:
         q[f"{n}_months"] = _simple(n, CFG_SPAN, "orders")
     return {name: _presented(fn) for name, fn in q.items()}
@@ -172,6 +278,21 @@ def oracle_statements() -> dict[str, str]:
     )
     s["replace_range"] = oracle.statement("sales_day", CFG)
     s["bookmark_advance"] = oracle.bookmark_statement(BOOKMARK_JOBS, CFG, CFG)
+    s["rau_day_stateful"] = oracle.restricted("rau_day", CFG, "division_date", CFG_MID.day_lo)
+    s["rau_day_first_run"] = oracle.statement("rau_day", CFG_MID.replace(rau_lookback_days=0))
+    s["dau_day_masks"] = s["dau_day_incremental"]
+    s["pu_day_masks"] = s["pu_day_incremental"]
+    s["dau_day_landed"] = oracle.landed("dau_day", CFG, "login", "login_ts", LANDED_UNTIL)
+    s["sales_day_replaced"] = oracle.sales_replaced(CFG, OTHER_GAME, REPLACE_START)
+    s["rau_week_stored"] = oracle.statement("rau_week", CFG)
+    s["sales_day_by_month"] = oracle.statement("sales_day", CFG_MID)
+    s["bookmarks_kept"] = " UNION ALL ".join(
+        [
+            oracle.bookmark_statement([("sales", "day", "sales_day", "division_date")], CFG, CFG),
+            oracle.bookmark_statement([("eru", "day", "eru_day", "division_date")], CFG.replace(as_of=REPLACE_PRIOR_AS_OF), CFG),
+            oracle.bookmark_statement([j for j in BOOKMARK_JOBS if j[2] in ("sales_day", "eru_day")], CFG.replace(game_code=OTHER_GAME, as_of=RU_PRIOR_AS_OF), CFG),
+        ]
+    )
     for n in METRICS:
         s[f"{n}_months"] = oracle.statement(n, CFG_SPAN, fixture="orders")
     return s

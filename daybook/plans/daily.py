@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from daybook.config import KpiConfig
 from daybook.functions.calendar import day_range, day_range_incl, local_date, scan_days
 from daybook.operators.activity import SEG, profile_segment, returning_days, row_weight, seg_not_null, with_game
+from daybook.operators.last_seen import returning_after
 from daybook.operators.month_to_date import LOG_SEG, month_bits, month_masks, month_to_date_distinct
 from daybook.operators.running import running_sum
 from daybook.operators.spine import bounded_days, expand_days
@@ -25,6 +26,7 @@ from daybook.sources.tables import Sources
 
 MONEY_SUM = T.DecimalType(38, 2)
 RETENTION_DAYS = 30
+RAU_GAP = 7  # days without a login before a returning day
 
 
 def _new_members(cfg: KpiConfig, src: Sources, lo_exclusive=None, hi_exclusive=None) -> DataFrame:
@@ -95,6 +97,8 @@ def _counted(masks: DataFrame, src: Sources, seg: list) -> DataFrame:
 
 def dau_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> DataFrame:
     """``masks``, where given, are the month window's ``login_masks``, kept from earlier runs; no log is read then."""
+    if masks is None and src.masks:
+        masks = src.masks["login"]
     if masks is None:  # a member's first login of a day is one row already: the join may take them as they are
         masks = month_bits(_first_logins(cfg, src, None), F.to_date("login_ts"), LOG_SEG)
     seg = [F.coalesce(f"p_{c}", f"l_{c}").alias(c) for c in SEG]
@@ -108,7 +112,8 @@ def dau_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> Dat
 # --------------------------------------------------------------------------
 def pu_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> DataFrame:
     """``masks``, where given, are the month window's ``billing_masks``, kept from earlier runs; no log is read then."""
-    masks = billing_masks(cfg, src) if masks is None else masks
+    if masks is None:
+        masks = src.masks["billing"] if src.masks else billing_masks(cfg, src)
     seg = [F.col(f"p_{c}").alias(c) for c in SEG]
     out = month_to_date_distinct(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "pu", "sum_month_pu", one_per_member=True)
     return with_game(out, cfg.game_code)
@@ -144,16 +149,19 @@ def eru_day(cfg: KpiConfig, src: Sources) -> DataFrame:
 # D5 rau_day: returning members (first login of the day, registered before
 # D-7, no first login in [D-7, D-1]); profile LEFT with defaults 0 / '00'
 # --------------------------------------------------------------------------
-def rau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
+def first_login_days(cfg: KpiConfig, src: Sources, lo: date, hi: date) -> DataFrame:
+    """(member_id, day) of first logins of local days ``[lo, hi)``: one row a member and day."""
+    return scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", lo, hi).select("member_id", F.to_date("login_ts").alias("day"))
+
+
+def rau_day(cfg: KpiConfig, src: Sources, state: DataFrame | None = None) -> DataFrame:
+    """``state``, where given, is the members' ``last_seen`` of all days before ``cfg.rau_scan_lo``; no earlier log is read then."""
     lo, hi, tz = cfg.day_lo, cfg.day_hi, cfg.tz_offset_hours
-    # first logins are one row per member-day; a duplicate could not qualify
-    # anyway (its gap to the previous row is 0), and the distinct below stays
-    first_days = scan_days(src.login.filter(F.col("login_day_seq") == 1), "login_ts", cfg.rau_scan_lo, hi).select(
-        "member_id", F.to_date("login_ts").alias("day")
-    )
-    back = returning_days(first_days, gap_days=7).filter(F.col("day") > F.lit(lo))
+    # a duplicate row could not qualify anyway (its gap to the previous row is 0), and the distinct below stays
+    first_days = first_login_days(cfg, src, cfg.rau_scan_lo, hi)
+    back = returning_days(first_days, gap_days=RAU_GAP) if state is None else returning_after(first_days, state, RAU_GAP)
     reg = src.member.select("member_id", local_date("reg_utc", tz).alias("reg_date"))
-    back = back.join(reg, "member_id", "inner").filter(F.col("reg_date") < F.date_sub(F.col("day"), 7))
+    back = back.filter(F.col("day") > F.lit(lo)).join(reg, "member_id", "inner").filter(F.col("reg_date") < F.date_sub(F.col("day"), RAU_GAP))
     out = (
         back.select(F.col("day").alias("division_date"), "member_id")
         .distinct()
@@ -164,6 +172,11 @@ def rau_day(cfg: KpiConfig, src: Sources) -> DataFrame:
     return with_game(out, cfg.game_code)
 
 
+def rau_day_first_run(cfg: KpiConfig, src: Sources) -> DataFrame:
+    """The reference's first run: logins before the bookmark aren't looked at, so members seen just before it count as returning."""
+    return rau_day(cfg.first_run(), src)
+
+
 # --------------------------------------------------------------------------
 # D6 sales_day: buyers, purchases and money per day, seg (from the billing
 # log), market, product. NULL seg is an ordinary group.

@@ -40,18 +40,22 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.config import KpiConfig
 from daybook.functions.calendar import scan_days
 from daybook.operators.activity import LOG_ROWS, SEG
 from daybook.operators.incremental import BOOKMARK_SCHEMA, bookmark_values, bookmarks_frame
+from daybook.operators.last_seen import last_seen
+from daybook.operators.month_to_date import LOG_SEG, merge_masks
 from daybook.plans import daily, ledger, weekly
 from daybook.session import checkpoint_dir
-from daybook.sources.sinks import TableStore, backup_csv, delete_path, leaf_partitions, make_folder, path_exists
+from daybook.sources.sinks import TableStore, backup_csv, delete_path, leaf_partitions, make_folder, month_part, path_exists
 from daybook.sources.tables import Sources
 
 DAY = timedelta(days=1)
@@ -92,6 +96,36 @@ def _rau_week(cfg: KpiConfig, src: Sources, store: TableStore) -> DataFrame:
     return weekly.rau_week(cfg, store.read("rau_day", daily.rau_day(cfg, src).schema, game=cfg.game_code, lo=_first_week(cfg), hi=cfg.week_hi))
 
 
+LAST_SEEN, LAST_SEEN_SCHEMA = "last_seen", T.StructType([T.StructField("member_id", T.LongType()), T.StructField("last_day", T.DateType())])
+
+
+def seen_through(store: TableStore, cfg: KpiConfig) -> date | None:
+    """Newest day that the stored last-seen state covers, if it ends before the first report day."""
+    days = [date.fromisoformat(p[2:]) for p in store.part_names(LAST_SEEN, cfg.game_code)]
+    return max((d for d in days if d <= cfg.day_lo), default=None)
+
+
+def _rau(cfg: KpiConfig, src: Sources, store: TableStore) -> DataFrame:
+    through = seen_through(store, cfg)
+    if through is None or cfg.rau_scan_lo != through + DAY:  # the run wasn't set up to go on from the state
+        return daily.rau_day(cfg, src)
+    return daily.rau_day(cfg, src, store.read_part(LAST_SEEN, LAST_SEEN_SCHEMA, cfg.game_code, f"d-{through}"))
+
+
+def _keep_last_seen(store: TableStore, cfg: KpiConfig, src: Sources, latest: date) -> None:
+    """Store the state up to the day before the next run's first report day, in place of older ones."""
+    through, until = seen_through(store, cfg), latest - timedelta(days=cfg.before_days)
+    if through is not None and (cfg.rau_scan_lo != through + DAY or until <= through):
+        through = None
+    if until < cfg.rau_scan_lo:
+        return
+    state = None if through is None else store.read_part(LAST_SEEN, LAST_SEEN_SCHEMA, cfg.game_code, f"d-{through}")
+    days = daily.first_login_days(cfg, src, cfg.rau_scan_lo, until + DAY)
+    store.replace_game(LAST_SEEN, last_seen(days, state), cfg.game_code, f"d-{until}", few=False)
+    for part in store.part_names(LAST_SEEN, cfg.game_code) - {f"d-{until}"}:
+        store.drop_part(LAST_SEEN, cfg.game_code, part)
+
+
 def _m(fn):
     return lambda cfg, src, store: fn(cfg, src)
 
@@ -101,7 +135,7 @@ DAILY_JOBS = [
     Job("dau", "day", "dau_day", _m(daily.dau_day), DAY_KEYS, _first_day),
     Job("pu", "day", "pu_day", _m(daily.pu_day), DAY_KEYS, _first_day),
     Job("eru", "day", "eru_day", _m(daily.eru_day), DAY_KEYS, _first_day),
-    Job("rau", "day", "rau_day", _m(daily.rau_day), DAY_KEYS, _first_day),
+    Job("rau", "day", "rau_day", _rau, DAY_KEYS, _first_day),
     Job("sales", "day", "sales_day", _m(daily.sales_day), DAY_KEYS + SALES_EXTRA, _first_day),
     Job("ru", "day", "ru_day", _ru, DAY_KEYS, _first_day),
     Job("retention", "day", "retention_day", _m(daily.retention_day), DAY_KEYS, lambda c: c.retention_day_lo + DAY),
@@ -184,6 +218,7 @@ def refresh_reductions(
     hi: date,
     refresh_lo: date | None = None,
     overlap: int = 1,
+    reduced: dict[str, list[date]] | None = None,
 ) -> Sources:
     """The reduced logs for days ``[lo, hi)`` (``lo`` may differ by log), kept in the store between runs.
 
@@ -192,7 +227,8 @@ def refresh_reductions(
     then swapped in, so readers see the old days until the new ones are there. A
     day that has lost all its raw rows becomes empty if the log still holds
     rows of that day or an earlier one; if not, the raw day has expired and what
-    was stored of it stays.
+    was stored of it stays. ``reduced``, where given, gets each log's days that
+    were reduced.
     """
     known = ledger.read_ledger(store, game_code)
     lows = lo if isinstance(lo, dict) else dict.fromkeys(LOG_TS, lo)
@@ -225,6 +261,8 @@ def refresh_reductions(
                 kept = d not in found and d not in lost and d in days
                 days[d] = ledger.DayState(days[d].rows if kept else counts.get(d, 0))
             changed = True
+        if reduced is not None:
+            reduced[name] = todo
         there = path_exists(spark, store.parts(table))
         stored = spark.read.schema(part.schema).parquet(store.parts(table)) if there else spark.createDataFrame([], part.schema)
         frames[name] = stored.filter((F.col("dt") >= F.lit(first)) & (F.col("dt") < F.lit(hi)))
@@ -233,6 +271,47 @@ def refresh_reductions(
     return src.replace(**frames)
 
 
+MASKS = {"login": ("dau_day", daily.login_masks, LOG_SEG), "billing": ("pu_day", daily.billing_masks, [])}
+
+
+def _mask_schema(seg: list[str]) -> T.StructType:
+    types = {"l_os_type": T.IntegerType(), "l_country_code": T.StringType()}
+    fields = [("member_id", T.LongType()), ("month", T.DateType()), *((c, types[c]) for c in seg), ("days", T.IntegerType())]
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+def refresh_masks(store: TableStore, src: Sources, cfgs: dict[str, KpiConfig], reduced: dict[str, list[date]]) -> dict[str, DataFrame]:
+    """The month masks behind ``dau_day`` and ``pu_day`` over their month windows, kept in the store between runs.
+
+    A month's masks are a part of their table. A run reads only the days that
+    were reduced anew: it drops what the stored masks say of these and merges
+    the rest with the new bits; other months' parts stay untouched.
+    """
+    out = {}
+    for log, (table, masks, seg) in MASKS.items():
+        if table not in cfgs:
+            return {}
+        cfg, name, schema = cfgs[table], f"{log}_masks", _mask_schema(seg)
+        parts = store.part_names(name, cfg.game_code)
+        days = [cfg.month_lo + timedelta(days=k) for k in range((cfg.day_hi - cfg.month_lo).days)]
+        months = sorted({d.replace(day=1) for d in days})
+        for month in months:
+            own = [d for d in days if d.replace(day=1) == month]
+            new = own if month_part(month) not in parts else sorted(set(own) & set(reduced.get(log, [])))
+            if not new:
+                continue
+            rows = masks(cfg.replace(as_of=datetime.combine(new[-1] + DAY, time())), src, new[0])
+            if len(new) < (new[-1] - new[0]).days + 1:  # days in between that were not reduced anew are read, too
+                new = [new[0] + timedelta(days=k) for k in range((new[-1] - new[0]).days + 1)]
+            if month_part(month) in parts:
+                old = store.read_part(name, schema, cfg.game_code, month_part(month))
+                rows = merge_masks(old, rows, sum(1 << (d.day - 1) for d in new))
+            store.replace_game(name, rows.select([f.name for f in schema]), cfg.game_code, month_part(month), few=False)
+        store.vacuum(name, keep=1)
+        out[log] = reduce(DataFrame.unionByName, [store.read_part(name, schema, cfg.game_code, month_part(m)) for m in months])
+    return out
+
+
 def job_config(base: KpiConfig, job: Job, marks: dict[tuple[str, str, str], str]) -> KpiConfig:
     default = base.start if job.kind == "day" else base.week_start
     mark = marks.get((base.game_code, job.name, job.kind)) or default.isoformat()
@@ -352,16 +431,24 @@ def run_jobs(
     if landed_only:
         landed = bookmark_values(store.read(ledger.UPSTREAM, BOOKMARK_SCHEMA, game=base.game_code))
         cfgs = {t: ledger.bounded(c, LOG_READS.get(t, ((), None))[0], landed) for t, c in cfgs.items()}
+    if rescan == "recent" and "rau_day" in cfgs and (through := seen_through(store, cfgs["rau_day"])) is not None:
+        cfg = cfgs["rau_day"]  # only days after the state are read
+        cfgs["rau_day"] = cfg.replace(rau_lookback_days=(cfg.day_lo - through).days)
     lows, hi = log_windows(jobs, cfgs), max(c.day_hi for c in cfgs.values())
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(spark, RUN_CONF):
         if rescan == "recent":
-            logs = refresh_reductions(spark, store, src, base.game_code, lows, hi, overlap=base.before_days)
+            anew: dict[str, list[date]] = {}
+            logs = refresh_reductions(spark, store, src, base.game_code, lows, hi, overlap=base.before_days, reduced=anew)
+            masks = refresh_masks(store, logs, cfgs, anew)
         else:
             logs = reduce_logs(src, lows, hi)
         reduced, work_tables, work_folder = colocate(spark, logs, f"{ckpt}/daybook-work", n)
         try:
-            out = _run(spark, store, reduced, cfgs, jobs, marks, backup_root)
+            out = _run(spark, store, reduced.replace(masks=masks or None) if rescan == "recent" else reduced, cfgs, jobs, backup_root)
+            if rescan == "recent" and "rau_day" in cfgs:
+                cfg = cfgs["rau_day"]
+                _keep_last_seen(store, cfg, reduced, date.fromisoformat(out["rau_day"] or cfg.start.isoformat()))
         finally:
             _drop_work(spark, work_tables, work_folder)
     if keep_versions:
@@ -370,7 +457,7 @@ def run_jobs(
     return out
 
 
-def _run(spark, store, reduced, cfgs, jobs, marks, backup_root) -> dict[str, str | None]:
+def _run(spark, store, reduced, cfgs, jobs, backup_root) -> dict[str, str | None]:
     out: dict[str, str | None] = {}
     for job in jobs:
         cfg = cfgs[job.table]

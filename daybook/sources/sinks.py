@@ -185,15 +185,26 @@ class TableStore:
             self._empty(staged, game_code, touched)
         return Landed(seen.get["rows"], date.fromisoformat(seen.get["latest"]), self.swap(table, staged))
 
-    def replace_game(self, table: str, rows: DataFrame, game_code: str) -> int:
-        """Put ``rows``, all of one game and few, in place of the game's rows of a control table."""
+    def replace_game(self, table: str, rows: DataFrame, game_code: str, part: str = ALL_MONTHS, few: bool = True) -> int:
+        """Put ``rows``, all of one game, in place of what a control or state table holds of it under ``part``."""
         self.adopt(table, None)
         staged = self.staging(table)
-        parts = {PART_GAME: F.lit(f"g-{game_code}"), PART_MONTH: F.lit(ALL_MONTHS)}
-        rows.coalesce(1).withColumns(parts).write.partitionBy(PART_GAME, PART_MONTH).parquet(staged)
-        self._empty(staged, game_code, {ALL_MONTHS})
+        parts = {PART_GAME: F.lit(f"g-{game_code}"), PART_MONTH: F.lit(part)}
+        (rows.coalesce(1) if few else rows).withColumns(parts).write.partitionBy(PART_GAME, PART_MONTH).parquet(staged)
+        self._empty(staged, game_code, {part})
         return self.swap(table, staged)
 
+    def read_part(self, table: str, schema: T.StructType, game_code: str, part: str) -> DataFrame:
+        rows = self.spark.read.schema(_with_parts(schema)).parquet(self.parts(table))
+        return rows.filter((F.col(PART_GAME) == f"g-{game_code}") & (F.col(PART_MONTH) == part)).drop(PART_GAME, PART_MONTH)
+
+    def part_names(self, table: str, game_code: str) -> set[str]:
+        """What a table holds of a game: months, or the parts of a state table (a folder listing, no job)."""
+        return self._months(table, game_code)
+
+    def drop_part(self, table: str, game_code: str, part: str) -> None:
+        delete_path(self.spark, f"{self.parts(table)}/{PART_GAME}={self._escaped('g-' + game_code)}/{PART_MONTH}={part}")
+
     def adopt(self, table: str, date_col: str | None) -> None:
         """A table kept as whole versions until now becomes a partitioned one, once."""
         if self._partitioned(table) or (whole := self._newest(table)) is None:

@@ -25,6 +25,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from daybook.functions.calendar import LAYOUT_COLUMNS
+
 MONEY = T.DecimalType(18, 2)
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -85,6 +87,7 @@ class Sources:
     billing: DataFrame
     tutorial_end: DataFrame
     colocated: bool = False  # every table is partitioned alike by member, and logs are reduced to member-days
+    masks: dict[str, DataFrame] | None = None  # stored month masks by log, covering the run's month window
 
     def replace(self, **kw) -> "Sources":
         return replace(self, **kw)
@@ -102,15 +105,16 @@ class Sources:
 def read_sources(spark: SparkSession, root: str) -> Sources:
     """Read ``root/<table>`` parquet datasets.
 
-    Logs may be partitioned by ``dt`` (local date); partition discovery exposes
-    it and the metric windows filter on it. Tables are projected to ``SCHEMAS``
-    (and ``dt``) with its types, so other columns of theirs have no effect.
+    Logs may be partitioned by local date in any of ``calendar.LAYOUTS`` (``dt``,
+    ``yyyy/mm/dd``, ``yyyy/mm``, ``ym``); partition discovery exposes the columns
+    and the metric windows filter on them. Tables are projected to ``SCHEMAS``
+    (and these) with its types, so other columns of theirs have no effect.
     """
     frames = {}
     for name, schema in SCHEMAS.items():
         df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
         columns = [df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
-        frames[name] = df.select(*columns, *(["dt"] if name in LOG_TABLES and "dt" in df.columns else []))
+        frames[name] = df.select(*columns, *(c for c in LAYOUT_COLUMNS if name in LOG_TABLES and c in df.columns))
     return Sources(**frames)
 
 
