@@ -24,7 +24,7 @@ classes are kept. (3) Each class is verified against the most similar-looking
 leader (smallest class) of its signatures: linear in the index, however large
 a group of near copies is. (4) Only pairs that share a signature and are still
 in different components are verified one by one, after exact lower bounds by
-size and profile. A signature of more than ``CELL`` sets is cut into cells,
+size and both profiles, which the task that pairs them applies itself. A signature of more than ``CELL`` sets is cut into cells,
 and each pair of cells that may hold such a pair is a task's work of its own.
 Verification ships the two texts and compares whole sets.
 Hashes have 64 bits; equal hashes count as equal shingles and sets.
@@ -42,7 +42,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import components, materialise, slices
@@ -366,6 +366,15 @@ def _profiles(column) -> np.ndarray:
     return np.concatenate([rows & 15, rows >> 4], axis=1)
 
 
+def folded(fine: np.ndarray) -> np.ndarray:
+    """Coarse profiles from fine ones, whose even buckets come before the odd ones."""
+    if fine.shape[1] <= COARSE:
+        return fine
+    half, each = fine.shape[1] // 2, FINE // COARSE // 2
+    two = fine[:, :half] + fine[:, half:]
+    return two.reshape(len(fine), -1, each).sum(axis=2, dtype=np.uint8) & 15
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
     """``a, b, gap`` of the pairs that the bounds by size and ``profile`` leave."""
     for side in "ab":
@@ -385,23 +394,31 @@ def plausible(pairs: DataFrame, classes: DataFrame, profile: str) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long, gap long")
 
 
-def dealt(placed: DataFrame, classes: DataFrame, cell: int) -> DataFrame:
-    """``sig, pair, side, cid, comp, n, coarse``: the sets of each signature with two components, dealt to pairs of cells.
+def dealt(placed: DataFrame, classes: DataFrame, cell: int, kind: str = "coarse") -> DataFrame:
+    """``sig, pair, side, cid, comp, n, profile`` (of that kind): the sets of each signature with two components, dealt to pairs of cells.
 
+    ``placed`` has ``sig, cid, comp``, and ``n`` where it is at hand. A set without any of another component
+    near its size under the signature is left out before profiles are sent.
     A signature of at most ``cell`` sets is one cell. Others are cut by size,
     so that links stay within a size or reach the next one, then by component
     where one has more than ``cell`` sets, then by hash. A cell meets itself
     (side 2) and others (sides 0 and 1), unless both belong to one component.
     """
+    if "n" not in placed.columns:
+        placed = placed.join(classes.select("cid", "n"), "cid")
     groups = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets"))
     groups = groups.where("lo <> hi").select("sig", "sets")
     hot = materialise(groups.where(F.col("sets") > cell), "join-hot")
-    rows = placed.join(groups.where(F.col("sets") <= cell).select("sig"), "sig").join(classes.select("cid", "n", "coarse"), "cid")
-    rows = rows.select("sig", F.lit(0).cast("long").alias("pair"), F.lit(2).alias("side"), "cid", "comp", "n", "coarse")
+    rows = placed.join(groups.where(F.col("sets") <= cell).select("sig"), "sig")
+    reach = math.ceil(math.log(1.25) * 1e6) + 1  # sizes of linked sets, as logarithms
+    near = Window.partitionBy("sig").orderBy(F.floor(F.log(F.col("n").cast("double")) * 1e6)).rangeBetween(-reach, reach)
+    rows = rows.withColumn("lo", F.min("comp").over(near)).withColumn("hi", F.max("comp").over(near)).where("lo <> hi")
+    rows = rows.drop("n").join(classes.select("cid", "n", F.col(kind).alias("profile")), "cid")
+    rows = rows.select("sig", F.lit(0).cast("long").alias("pair"), F.lit(2).alias("side"), "cid", "comp", "n", "profile")
     if hot.isEmpty():
         return rows
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(RATIO)).cast("int")
-    members = placed.join(hot.select("sig"), "sig").join(classes.select("cid", "n"), "cid").select("sig", "cid", "comp", "n", size.alias("s"))
+    members = placed.join(hot.select("sig"), "sig").select("sig", "cid", "comp", "n", size.alias("s"))
     members = materialise(members, "join-members")
     large = members.groupBy("sig", "s", "comp").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > cell)
     large = materialise(large.select("sig", "s", "comp", F.col("comp").alias("own")), "join-large")
@@ -420,14 +437,16 @@ def dealt(placed: DataFrame, classes: DataFrame, cell: int) -> DataFrame:
     met = met.withColumn("same", same)
     at = [met.select("sig", *(F.col(c + k).alias(c) for c in ("s", "whole", "own", "h")), name, F.when(F.col("same"), 2).otherwise(side).alias("side")) for side, k in enumerate("12")]
     seats = materialise(at[0].unionByName(at[1].where("side <> 2")), "join-cells")
-    members = members.join(classes.select("cid", "coarse"), "cid").join(seats, [*part, "h"])
+    members = members.join(classes.select("cid", F.col(kind).alias("profile")), "cid").join(seats, [*part, "h"])
     return rows.unionByName(members.select(rows.columns))
 
 
 def across(groups: DataFrame) -> DataFrame:
-    """``a, b`` of sets that meet in ``groups`` (see ``dealt``), lie in different components and pass the coarse bounds.
+    """``a, b`` of sets that meet in ``groups`` (see ``dealt``), lie in different components and pass the bounds.
 
-    A task holds two cells at a time: some 300 bytes a set.
+    The fine profile decides inside the cell, where a coarse one made of it has
+    not yet: a pair that isn't linked shares many signatures, and would be
+    emitted once for each. A task holds two cells at a time: some 1.3 KB a set.
     """
 
     def by_size(cols):
@@ -437,8 +456,10 @@ def across(groups: DataFrame) -> DataFrame:
     def pairs_of(one, two):
         """Of the sets of ``one`` and ``two``: columns cid, comp, n, profile; the pairs inside ``one`` if ``two`` is None."""
         inner = two is None
-        cid, comp, n, prof = by_size(one)
-        cid2, comp2, n2, prof2 = (cid, comp, n, prof) if inner else by_size(two)
+        cid, comp, n, fine = by_size(one)
+        cid2, comp2, n2, fine2 = (cid, comp, n, fine) if inner else by_size(two)
+        prof = folded(fine)
+        prof2 = prof if inner else folded(fine2)
         for k in range(0, len(cid), BLOCK):
             end = min(k + BLOCK, len(cid))
             lo, hi = (int(np.searchsorted(n2, x, side=side)) for x, side in ((-(-n[k] * 4 // 5), "left"), (n[end - 1] * 5 // 4, "right")))  # others can't link
@@ -450,9 +471,13 @@ def across(groups: DataFrame) -> DataFrame:
             for at in range(0, len(x), 50_000):
                 xx, yy = x[at : at + 50_000] + k, y[at : at + 50_000] + lo
                 ok, _ = _bounded(n[xx], n2[yy], prof[xx], prof2[yy])
-                if ok.any():
-                    a, b = cid[xx[ok]], cid2[yy[ok]]
-                    yield np.minimum(a, b), np.maximum(a, b)
+                xx, yy = xx[ok], yy[ok]
+                for sub in range(0, len(xx), 10_000):
+                    x1, y1 = xx[sub : sub + 10_000], yy[sub : sub + 10_000]
+                    ok, _ = _bounded(n[x1], n2[y1], fine[x1], fine2[y1])
+                    if ok.any():
+                        a, b = cid[x1[ok]], cid2[y1[ok]]
+                        yield np.minimum(a, b), np.maximum(a, b)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -488,7 +513,7 @@ def across(groups: DataFrame) -> DataFrame:
             yield batch(got)
 
     groups = groups.repartition("sig", "pair").sortWithinPartitions("sig", "pair")
-    return groups.select("sig", "pair", "side", "cid", "comp", "n", "coarse").mapInArrow(run, "a long, b long")
+    return groups.select("sig", "pair", "side", "cid", "comp", "n", "profile").mapInArrow(run, "a long, b long")
 
 
 def _and_end(batches: Iterator) -> Iterator:
@@ -549,10 +574,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = materialise(verify(first, classes, texts), "join-links")
 
     comp = components(links, "join-cc").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
-    placed = groups.join(comp, "cid", "left").select("sig", "cid", F.coalesce("comp", "cid").alias("comp"))
+    sized = classes.select("cid", "n").join(comp, "cid", "left").select("cid", "n", F.coalesce("comp", "cid").alias("comp"))
+    placed = groups.join(sized, "cid").select("sig", "cid", "comp", "n")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = across(dealt(placed, classes, CELL)).distinct().join(tried, ["a", "b"], "left_anti")
-    rest = materialise(plausible(rest, classes, "fine").select("a", "b"), "join-rest")
+    rest = across(dealt(placed, classes, CELL, "fine")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = materialise(rest, "join-rest")
     links = links.unionByName(materialise(verify(rest, classes, texts), "join-links"))
 
     # rows that share an id are one document: their sets are one component
