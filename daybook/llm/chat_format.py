@@ -100,8 +100,8 @@ def table_turns(df: DataFrame, layouts=LAYOUTS) -> DataFrame:
         conv, turn, role, text = layout.rows
         return df.select(
             F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
-            _role(F.col(role)).alias("role"), F.col(text).alias("text"), F.lit(layout.name).alias("layout"),
-        )
+            F.coalesce(F.col(role), F.lit("")).alias("role"), F.col(text).alias("text"), F.lit(layout.name).alias("layout"),
+        )  # fmt: skip; roles of turn rows are taken as they are, names in records are mapped
     if layout.items:
         name, role, text = layout.items
         turns = F.transform(F.col(name), lambda x: F.struct(x[role].cast("string").alias("role"), x[text].cast("string").alias("text")))

@@ -6,7 +6,6 @@ import ctypes
 import uuid
 from collections.abc import Iterator
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,19 +82,19 @@ def ranked(df: DataFrame, cls: list[str], order: list[str], buckets: int, name:
     return joined.select(*keep, (F.col("_off") + F.col("_r")).cast("long").alias(name))
 
 
-def components(edges: DataFrame, label: str = "cc", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """Connected components of ``edges(a long, b long)``: rows ``(node, component)``, component = smallest node.
 
-    Alternates large-star and small-star steps (Kiverisoglou et al., "Connected
+    Alternates large-star and small-star steps (Kiveris et al., "Connected
     Components in MapReduce and Beyond") as joins with map-side-combined minima:
     no neighbour list is gathered, and Spark may split the join of a hot node.
-    Each round is written to the shared folder. Self loops are ignored; an
+    Each round is written to the shared folder; rounds go on until one changes nothing. Self loops are ignored; an
     empty input gives an empty result.
     """
     e = materialise(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label
     )
-    for _ in range(max_rounds):
+    while True:
         # large star: every larger neighbour of u points to the smallest of u and its neighbours
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -112,4 +111,3 @@ def components(edges: DataFrame, label: str = "cc", max_rounds: int = 60) -> Dat
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("component"))
             ).distinct()
-    raise RuntimeError("components did not settle")

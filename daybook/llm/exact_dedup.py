@@ -91,13 +91,14 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per group of equal texts, with their own columns."""
-    out = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")
-    ).distinct()
-    norm = F.translate(F.coalesce(docs[text_col], F.lit("")), WHITE, "")
-    marked = docs.withColumn("_sha", F.sha2(norm.cast("binary"), 256)).withColumn("_len", F.length(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = marked.join(out, marked[id_col].eqNullSafe(out["_keep_id"]) & (F.col("_sha") == F.col("_keep_sha")), "left_semi")
+    """The rows of ``docs`` that stay, one per group of equal texts, with their own columns (of any names)."""
+    names = docs.columns
+    flat = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    own_id, own_text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    out = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha")).distinct()
+    text = F.coalesce(F.col(own_text), F.lit(""))
+    marked = flat.withColumn("sha", F.sha2(F.translate(text, WHITE, "").cast("binary"), 256)).withColumn("size", F.length(text))
+    joined = marked.join(out, marked[own_id].eqNullSafe(out["keep_id"]) & (F.col("sha") == F.col("keep_sha")), "left_semi")
     # repeats of a winning row (same id, equal text) meet here: the longest stays
-    order = Window.partitionBy(id_col, "_sha").orderBy(F.col("_len").desc())
-    return joined.withColumn("_one", F.row_number().over(order)).where("_one = 1").select(*docs.columns)
+    order = Window.partitionBy(own_id, "sha").orderBy(F.col("size").desc())
+    return joined.withColumn("nth", F.row_number().over(order)).where("nth = 1").select(*flat.columns).toDF(*names)

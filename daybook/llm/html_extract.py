@@ -15,8 +15,9 @@ Per page (a small helper inside ``mapInArrow``; Spark deals out the pages):
    with a heading, or for more than half of the text outside links; if nothing
    else is left, classes and ids aren't heeded. Of the other nodes the one with the largest sum of its children's densities is the content;
    the smallest density on its path to the body is the threshold that side
-   branches of that path must reach to be content too. A surrounding article
-   or main element is taken whole.
+   branches of that path must reach to be content too; text that stands directly
+   in a node of that path is. A surrounding article or main element is taken
+   whole, whatever the densities.
 4. Character references are decoded, white space in a block becomes one space,
    blocks are trimmed and joined by a line feed in page order.
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -41,6 +43,7 @@ TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>",
     re.S,
 )
+UNENDED = re.compile(r"<!--.*", re.S)  # behind the last ">" only a comment can begin
 ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 WORDS = re.compile(r"[a-z0-9]+")
 
@@ -90,18 +93,22 @@ class Page:
         self.tag, self.parent, self.skip = ["#root"], [0], [False]
         self.items: list[tuple[int, str] | None] = []  # (node, text), or None where a block begins or ends
         self.main: list[bool] = [False]
+        self.direct: set[int] = set()  # nodes whose own text is content, but not all below them
         self.mark = [0]  # BY_TAG or BY_NAME: not content, unless it holds the content
+        self.open = Counter()  # of each name, how many elements are open
         open_ = [0]
         at, end = 0, len(source)
+        last = source.rfind(">")  # no tag begins behind it, so none is looked for to the end again and again
+        endless: set[str] = set()  # raw elements known to have no end tag any more
         while at < end:
-            m = TOKEN.search(source, at)
+            m = TOKEN.search(source, at) if at <= last else UNENDED.search(source, at)
             if m is None:
                 self.text(open_[-1], source[at:])
                 break
             if m.start() > at:
                 self.text(open_[-1], source[at : m.start()])
             at = m.end()
-            tag = m["tag"] or m["tag2"]
+            tag = m["tag"] or m["tag2"] if m.re is TOKEN else None
             if tag is None:
                 continue
             tag = tag.lower()
@@ -111,11 +118,18 @@ class Page:
             attrs = m["attrs"] or m["attrs2"] or ""
             self.begin(open_, tag, attrs)
             if tag in RAW and not attrs.rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+                close = None if tag in endless else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+                if close is None:
+                    endless.add(tag)
                 if tag == "textarea" and close is None:
                     continue
                 at = close.end() if close else end
-                open_.pop()
+                self.shut(open_, len(open_) - 1)
+
+    def shut(self, open_: list[int], k: int) -> None:
+        for x in open_[k:]:
+            self.open[self.tag[x]] -= 1
+        del open_[k:]
 
     def text(self, node: int, raw: str) -> None:
         if raw and not raw.isspace():
@@ -128,14 +142,14 @@ class Page:
             self.items.append((open_[-1], "\n"))
         if tag in ENDS_P:
             self.close(open_, "p", frozenset(("table", "td", "th", "button", "caption")))
-        if tag in SIBLINGS:
+        if tag in SIBLINGS and any(self.open[x] for x in SIBLINGS[tag][0]):
             same, bounds = SIBLINGS[tag]
             for k in range(len(open_) - 1, 0, -1):
                 name = self.tag[open_[k]]
                 if name in bounds:
                     break
                 if name in same:
-                    del open_[k:]
+                    self.shut(open_, k)
                     self.items.append(None)
                     if tag != "tr":
                         break
@@ -147,7 +161,7 @@ class Page:
         if own and not skip:
             skip = own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
         main, mark = tag in CONTAINERS or own.get("role") == "main", BY_TAG if tag in ASIDE else 0
-        nested = tag == "article" and any(self.tag[x] == "article" for x in open_)  # a comment may be an article in the article
+        nested = tag == "article" and self.open["article"] > 0  # a comment may be an article in the article
         if own and not mark and tag not in ("html", "body") and tag not in HEADINGS and (nested or not main):
             if own.get("role") in ROLES:
                 mark = BY_TAG
@@ -160,15 +174,18 @@ class Page:
             self.items.append(None)
         if tag not in VOID and not (attrs.endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "span")):
             open_.append(node)
+            self.open[tag] += 1
 
     def close(self, open_: list[int], tag: str, bounds: frozenset = frozenset()) -> None:
+        if not self.open[tag]:
+            return
         inline = tag not in BLOCK
         for k in range(len(open_) - 1, 0, -1):
             name = self.tag[open_[k]]
             if name == tag:
                 if any(self.tag[x] in BLOCK for x in open_[k:]):
                     self.items.append(None)
-                del open_[k:]
+                self.shut(open_, k)
                 return
             if name in bounds or (inline and name in BLOCK):
                 return
@@ -195,12 +212,13 @@ class Page:
                 tops[i] += self.tag[i] == "h1"
             for k in (plain, mains, heads, tops):
                 k[p] += k[i]
+        titled = any(self.tag[i] == "h1" and not marked[i] and not self.skip[i] for i in range(n))
         outside = any(self.main[i] and plain[i] and not marked[i] and not self.skip[i] for i in range(n))  # an article apart from all marks
 
         def holds(i: int) -> bool:
             if self.tag[i] in ("nav", "menu"):
                 return False
-            if not outside and (mains[i] or 2 * plain[i] > plain[0]):
+            if not outside and (mains[i] or 2 * plain[i] > plain[0] and not titled and (tops[i] or not free)):
                 return True
             return tops[i] > 0 if self.mark[i] == BY_NAME else self.tag[i] == "header" and article[i] and heads[i] > 0
 
@@ -262,6 +280,7 @@ class Page:
             chosen = {around}
         else:
             on = set(path)
+            self.direct = {i for i in path if i >= body and not self.skip[i] and not linked[i]}
             chosen |= {i for i in live if i not in on and self.parent[i] in on and i > body and dens[i] >= low}
             if not any(sums[i] for i in live):  # text without elements
                 chosen |= on
@@ -277,7 +296,7 @@ class Page:
                 if block := " ".join("".join(now).split()):
                     blocks.append(block)
                 now = []
-            elif inside[x[0]]:
+            elif inside[x[0]] or x[0] in self.direct:
                 now.append(x[1])
         return "\n".join(blocks)
 

@@ -3,9 +3,9 @@
 Two gated recurrent units read the UTF-8 bytes of a window forwards and
 backwards; their states give language probabilities at every byte, and a
 document's probabilities are the means over all its bytes. The network is
-trained in numpy by backpropagation through time on a bounded sample: at most
-about ``per_language`` documents of each language, one short window at a
-hashed place of each. Its weights (some tens of kilobytes) travel with the
+trained in numpy by backpropagation through time on a bounded sample: whole
+texts of at most ``per_language`` documents of each language, chosen by a hash
+of the text alone; equal texts count once. Its weights (some tens of kilobytes) travel with the
 tasks; every byte of every text is labelled, in windows of ``WINDOW`` bytes
 that are read independently of each other, so memory doesn't grow with a text.
 
@@ -20,14 +20,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import slices
 from daybook.llm.quality import held_out
 
 WINDOW, HIDDEN = 128, 8
-PER_LANGUAGE, TRAIN_CHARS = 1500, 48
+PER_LANGUAGE = 1500  # whole texts learned from
+CHECKED = 10  # a text in so many of the sample is left out of the training, to calibrate the least probability
+ENOUGH = 100  # texts to calibrate on; with fewer, only the chance of the number of languages is asked for
+MARGIN = 0.9  # of the lowest probability that a calibration text has
 STEPS, BATCH, LEARNING_RATE = 350, 96, 0.02
 PAD = 256
 UNKNOWN = "und"
@@ -43,7 +46,7 @@ class ByteNetwork:
 
     def __init__(self, languages: list[str], hidden: int = HIDDEN, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.languages, self.h = languages, hidden
+        self.languages, self.h, self.least = languages, hidden, 0.0
         shape = {"w": (257, 3 * hidden), "u": (hidden, 3 * hidden)}
         self.p = {f"{k}{side}": rng.normal(0, 0.25 if k == "u" else 0.3, s).astype(np.float32) for side in "fb" for k, s in shape.items()}
         for side in "fb":
@@ -174,26 +177,41 @@ def padded(windows: list[bytes]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """About ``per_language`` short windows of each language, never of held-out documents, in a fixed order."""
+    """At most ``per_language`` whole texts of each language, never of held-out documents, in a fixed order."""
     rows = docs.where(~held_out(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
+    named = rows.select("lang", F.xxhash64("text", F.lit("langid")).alias("u"), "text")
+    counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
     if not counts:
         return []
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))))
-    u = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.length("text") - TRAIN_CHARS, F.lit(1))) + 1
-    window = F.substr(F.col("text"), place.cast("int"), F.lit(TRAIN_CHARS))
-    got = rows.where(u < share[F.col("lang")]).select("lang", window.alias("w")).collect()
-    return sorted((r["lang"], r["w"].encode()) for r in got if r["w"])
+    # twice the wanted share by hash, then exactly the smallest hashes, each text once
+    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * per_language / n))))
+    near = F.pmod("u", F.lit(1 << 30)) / F.lit(float(1 << 30)) < share[F.col("lang")]
+    # by hash first: the texts of one hash are few unless equal, and the window keeps no more than are asked for
+    once = named.where(near).groupBy("lang", "u").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("u", F.lit(1 << 30)), "u")
+    got = once.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_language).select("lang", "text").collect()
+    return sorted((r["lang"], r["text"].encode()) for r in got)
+
+
+def windows(text: bytes) -> list[bytes]:
+    return [text[k : k + WINDOW] for k in range(0, len(text), WINDOW)]
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork | None:
+    """A network trained on all windows of the sample; ``least`` is calibrated on texts of it that weren't learned from."""
     rows = sample(docs, per_language)
     if not rows:
         return None
     languages = sorted({x for x, _ in rows})
     net = ByteNetwork(languages)
-    net.train([w for _, w in rows], np.array([languages.index(x) for x, _ in rows]))
+    seen = [(languages.index(lang), w) for k, (lang, text) in enumerate(rows) if k % CHECKED or len(rows) <= CHECKED for w in windows(text)]
+    net.train([w for _, w in seen], np.array([k for k, _ in seen]))
+    checked = [text for k, (_, text) in enumerate(rows) if k % CHECKED == 0]
+    sizes = np.array([len(x) for x in checked])
+    low = net.pooled(np.frombuffer(b"".join(checked), np.uint8), np.cumsum(sizes) - sizes, sizes).max(1)
+    # never below the chance of the number of languages, nor near what any clean text has shown
+    chance = 1 / len(languages) if len(languages) > 1 else 0.0
+    net.least = max(chance, MARGIN * float(low.min()) if len(low) >= ENOUGH else 0.0)
     return net
 
 
@@ -225,9 +243,10 @@ def predict(rows: DataFrame, net: ByteNetwork | None, schema) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def accepted(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose language could be told: not ``und``, mean probability of ``least`` or more."""
+def accepted(docs: DataFrame, least: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose language could be told: not ``und``, mean probability of ``least`` (default: as calibrated) or more."""
     net = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")))
+    least = (net.least if net else 1.0) if least is None else least
     names = docs.columns
     flat = docs.toDF(*(f"c{k}" for k in range(len(names))))  # any names, clashing ones too
     text = flat[f"c{names.index(text_col)}"]

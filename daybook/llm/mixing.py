@@ -173,5 +173,8 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as scheduled."""
-    return mix(docs, **options).select(*docs.columns)
+    """The rows of ``docs``, each as often as scheduled; its columns may have any names."""
+    names = docs.columns
+    own = {k: f"c{names.index(options.pop(k, d))}" for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
+    flat = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    return mix(flat, **own, **options).select(*flat.columns).toDF(*names)

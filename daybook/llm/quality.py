@@ -151,12 +151,14 @@ def held_out(id_: Column, folds: int, fold: int) -> Column:
 
 
 def train(measured: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> AdditiveModel:
-    """Fit on at most about ``max_train`` labelled rows, chosen by a hash of the id."""
+    """Fit on at most ``max_train`` labelled rows, chosen by a hash of their id and features."""
     known = labels.where("quality is not null").select(F.col("doc_id").alias("l_id"), "quality")
     rows = measured.where(~F.col("held_out")).join(known, F.col("doc_id") == F.col("l_id"))
     total = rows.count()
     if total > max_train:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * max_train / total)))
+        u = F.pmod(F.xxhash64("doc_id", *FEATURES), F.lit(1 << 30))  # rows without an id, or with one id, differ by their features
+        near = rows.where(u < F.lit(min(1 << 30, int((1 << 30) * 1.2 * max_train / total))))
+        rows = near.orderBy(u, "doc_id", *FEATURES, "quality").limit(max_train)
     got = rows.select("doc_id", "quality", *FEATURES).toPandas().sort_values(["doc_id", *FEATURES, "quality"])
     return AdditiveModel(got[list(FEATURES)].to_numpy(float), got["quality"].to_numpy(float))
 
