@@ -57,14 +57,15 @@ def merge_masks(old: DataFrame, new: DataFrame, anew: int = 0) -> DataFrame:
     return old.unionByName(new.select(*old.columns)).groupBy(*keys).agg(F.bit_or("days").alias("days"))
 
 
-def month_to_date_distinct(
+def month_to_date_masks(
     masks: DataFrame,
-    report_lo: date,
+    report_lo: date | None,
     report_hi: date,
     daily_name: str,
     mtd_name: str,
     day_name: str = "division_date",
     one_per_member: bool = False,
+    report_days: DataFrame | None = None,
 ) -> DataFrame:
     """Per report day and segment: members active that day and month-to-date.
 
@@ -72,7 +73,8 @@ def month_to_date_distinct(
     covering the month window up to ``report_hi`` (exclusive); segments of
     counted rows must be non-null. ``one_per_member`` says that no member has two
     rows of one month and segment. Report days are those after ``report_lo`` on
-    which a mask, counted or not, has its bit. Rows exist where the
+    which a mask, counted or not, has its bit, or those given by
+    ``report_days`` (one column ``day``, safe to broadcast). Rows exist where the
     month-to-date count is positive; the daily count may be zero.
     """
     keys = ["month", *SEG, "counted"]
@@ -87,19 +89,43 @@ def month_to_date_distinct(
     )
     per_seg = Window.partitionBy(*keys).orderBy("bit")
     days = F.expr("sequence(bit, until)")
-    return (
+    if report_days is None:
+        reported = F.expr("(anyone >> bit) & 1 = 1") & (F.col("day") > F.lit(report_lo))
+    else:
+        reported = F.lit(True)
+    spans = (
         per_day.withColumn("anyone", F.bit_or(F.expr("shiftleft(1, bit)")).over(Window.partitionBy("month")))
         .withColumn("mtd", F.sum("new_members").over(per_seg.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("until", F.coalesce(F.lead("bit").over(per_seg) - 1, F.lit(30)))
         .filter("counted")
         .select("month", *SEG, "anyone", "mtd", "daily", F.col("bit").alias("active"), F.explode(days).alias("bit"))
-        .filter("(anyone >> bit) & 1 = 1")
         .withColumn("day", F.date_add("month", F.col("bit")))
-        .filter((F.col("day") > F.lit(report_lo)) & (F.col("day") < F.lit(report_hi)))
-        .select(
-            F.col("day").alias(day_name),
-            *SEG,
-            F.when(F.col("bit") == F.col("active"), F.col("daily")).otherwise(F.lit(0)).cast("bigint").alias(daily_name),
-            F.col("mtd").cast("bigint").alias(mtd_name),
-        )
+        .filter((F.col("day") <= F.last_day("month")) & (F.col("day") < F.lit(report_hi)) & reported)
+    )
+    if report_days is not None:
+        spans = spans.join(report_days, "day")
+    return spans.select(
+        F.col("day").alias(day_name),
+        *SEG,
+        F.when(F.col("bit") == F.col("active"), F.col("daily")).otherwise(F.lit(0)).cast("bigint").alias(daily_name),
+        F.col("mtd").cast("bigint").alias(mtd_name),
     )
+
+
+def month_to_date_distinct(
+    active: DataFrame,
+    report_days: DataFrame,
+    report_hi: date,
+    daily_name: str,
+    mtd_name: str,
+    day_name: str = "division_date",
+) -> DataFrame:
+    """``month_to_date_masks`` of plain activity.
+
+    ``active`` has columns (day, os_type, country_code, member_id) covering the
+    month window up to ``report_hi`` (exclusive); segments must be non-null.
+    ``report_days`` has one column ``day``: the days to report (already
+    restricted to the report window and safe to broadcast).
+    """
+    masks = month_masks(active, F.col("day"), SEG).withColumn("counted", F.lit(True))
+    return month_to_date_masks(masks, None, report_hi, daily_name, mtd_name, day_name, one_per_member=True, report_days=report_days)

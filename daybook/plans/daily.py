@@ -19,7 +19,7 @@ from daybook.config import KpiConfig
 from daybook.functions.calendar import day_range, day_range_incl, local_date, scan_days
 from daybook.operators.activity import SEG, profile_segment, returning_days, row_weight, seg_not_null, with_game
 from daybook.operators.last_seen import returning_after
-from daybook.operators.month_to_date import LOG_SEG, month_bits, month_masks, month_to_date_distinct
+from daybook.operators.month_to_date import LOG_SEG, month_bits, month_masks, month_to_date_masks
 from daybook.operators.running import running_sum
 from daybook.operators.spine import bounded_days, expand_days
 from daybook.sources.tables import Sources
@@ -102,7 +102,7 @@ def dau_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> Dat
     if masks is None:  # a member's first login of a day is one row already: the join may take them as they are
         masks = month_bits(_first_logins(cfg, src, None), F.to_date("login_ts"), LOG_SEG)
     seg = [F.coalesce(f"p_{c}", f"l_{c}").alias(c) for c in SEG]
-    out = month_to_date_distinct(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "dau", "sum_month_dau")
+    out = month_to_date_masks(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "dau", "sum_month_dau")
     return with_game(out, cfg.game_code)
 
 
@@ -115,7 +115,7 @@ def pu_day(cfg: KpiConfig, src: Sources, masks: DataFrame | None = None) -> Data
     if masks is None:
         masks = src.masks["billing"] if src.masks else billing_masks(cfg, src)
     seg = [F.col(f"p_{c}").alias(c) for c in SEG]
-    out = month_to_date_distinct(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "pu", "sum_month_pu", one_per_member=True)
+    out = month_to_date_masks(_counted(masks, src, seg), cfg.day_lo, cfg.day_hi, "pu", "sum_month_pu", one_per_member=True)
     return with_game(out, cfg.game_code)
 
 
