@@ -81,8 +81,8 @@ class Pieces:
         self.together = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
         self.lines = not any("\n" in pair for pair in self.together)  # line breaks stand alone
         self.words = re.compile(rf"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self._pairs: dict[tuple[str, str], bool] = {}
-        self._merged: dict[str, tuple[str, ...]] = {}
+        self._pairs: dict[str, dict[str, bool]] = {}  # first piece, second piece
+        self._tested = 0
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a short ``text`` by merging: always the pair of highest score, of equals the first."""
@@ -102,16 +102,21 @@ class Pieces:
 
     def follows(self, before: str, piece: str) -> bool:
         """Whether merging the characters of both gives both; ``before`` is empty at the start of a text."""
-        known = self._pairs.get((before, piece))
+        row = self._pairs.get(before)
+        if row is None:
+            row = self._pairs[before] = {}
+        known = row.get(piece)
         if known is None:
-            if len(self._pairs) >= CACHE_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[before, piece] = self.merge(before + piece) == ([before, piece] if before else [piece])
+            if self._tested >= CACHE_PAIRS:
+                row = {}
+                self._pairs, self._tested = {before: row}, 0
+            self._tested += 1
+            known = row[piece] = self.merge(before + piece) == ([before, piece] if before else [piece])
         return known
 
     def last_pieces(self, text: str) -> list[str]:
         """At k: the last piece of the encoding of the first k characters."""
-        last, done, pairs, follows = [""] * (len(text) + 1), 0, self._pairs.get, self.follows
+        last, done, follows, pairs, none = [""] * (len(text) + 1), 0, self.follows, self._pairs, {}
         for end, piece in self.matches.iter(text):
             if done > end:
                 continue
@@ -119,10 +124,12 @@ class Pieces:
                 last[done + 1] = text[done]
                 done += 1
             before = last[end + 1 - len(piece)]
-            known = pairs((before, piece))
-            if follows(before, piece) if known is None else known:
+            known = pairs.get(before, none).get(piece)
+            if known or known is None and follows(before, piece):
                 last[end + 1] = piece
                 done = end + 1
+            if pairs is not self._pairs:
+                pairs = self._pairs
         while done < len(text):
             last[done + 1] = text[done]
             done += 1
@@ -137,8 +144,13 @@ class Pieces:
         return found[::-1]
 
     def ids_of(self, text: str) -> list[int]:
+        pieces = self.pieces(text)
+        try:
+            return [self.id[p] for p in pieces]
+        except KeyError:  # characters in no piece
+            pass
         found: list[int] = []
-        for p in self.pieces(text):
+        for p in pieces:
             i = self.id.get(p)
             if i is not None:
                 found.append(i)

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,13 +52,14 @@ CACHE_CHARS = 64  # longer ones aren't remembered
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed values: Unicode's white space
 
 
-class Aligned:
-    """One word's or text's alignment: counts, groups as text, linked pairs (A id, B id in 32 bits each) as bytes."""
+# One word's or text's alignment: A's and B's tokens, groups as text (None: other bytes than the text's), linked pairs
+# (A id, B id in 32 bits each) as bytes.
+Aligned = tuple[int, int, str | None, bytes]
 
-    __slots__ = ("groups", "n_a", "n_b", "pairs", "same")
 
-    def __init__(self, n_a: int, n_b: int, groups: str, pairs: bytes, same: bool):
-        self.n_a, self.n_b, self.groups, self.pairs, self.same = n_a, n_b, groups, pairs, same
+def joined(parts: list[Aligned]) -> Aligned:
+    n_a, n_b, groups, pairs = zip(*parts, strict=True)
+    return sum(n_a), sum(n_b), None if None in groups else ";".join(groups), b"".join(pairs)
 
 
 class Words(dict):
@@ -66,15 +68,16 @@ class Words(dict):
     def __init__(self, owner: Aligner, lead: str):
         self.owner, self.lead = owner, lead
 
-    def __missing__(self, word: str) -> list[Aligned]:
+    def __missing__(self, word: str) -> Aligned:
         own = self.owner
         if "\n" in word:
             first, *rest = own.lines.split(word)
             if rest:
-                return self[first] + [x for w in rest for x in (own.line, *own.bare[w])]
+                return joined([self[first], *(x for w in rest for x in (own.line, own.bare[w]))])
         if len(word) > 1 and word[-1] in ".,!?;:" and word[-2].isalpha() and word[-2:] not in own.b.together:
-            return self[word[:-1]] + own.bare[word[-1]]  # a letter and a sign are one token in neither
-        found = [own.align(self.lead + word)]
+            found = joined([self[word[:-1]], own.bare[word[-1]]])  # a letter and a sign are one token in neither
+        else:
+            found = own.align(self.lead + word)
         if len(word) <= CACHE_CHARS:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -87,13 +90,15 @@ class Aligner:
 
     Neither tokenizer joins a blank to a character before it that isn't white
     space, nor a single line break to its neighbours, so texts are cut there.
+    Tokens' bytes joined are the text's by the way both are made, but for B's
+    mark of blanks inside a text, which stands for a blank, and unknown ids.
     """
 
     def __init__(self, a_path: str, b_path: str):
         self.a = packing.encoder(a_path).merge.__self__
         self.b = sentencepiece_bpe.model(b_path)
-        self.a_bytes: dict[int, bytes] = {}
-        self.b_bytes = {i: p.replace(sentencepiece_bpe.BLANK, " ").encode() for i, p in self.b.text.items()} | {i: bytes([b]) for i, b in self.b.raw.items()}
+        self.a_size = [len(self.a.decode_single_token_bytes(i)) for i in range(self.a.n_vocab)]
+        self.b_size = {i: len(p.replace(sentencepiece_bpe.BLANK, " ").encode()) for i, p in self.b.text.items()} | dict.fromkeys(self.b.raw, 1)
         self.cuts = re.compile(f"(?<=[^{WHITE}]) ")
         self.lines = re.compile(f"(?<=[^{WHITE}])\n(?=[^{WHITE}])") if self.b.lines else re.compile(r"(?!)")
         self.spaced, self.bare = Words(self, " "), Words(self, "")
@@ -102,33 +107,32 @@ class Aligner:
     def align(self, raw: str) -> Aligned:
         """The alignment of ``raw`` as it stands, no blank added."""
         a = self.a.encode_ordinary(raw)
-        known = self.a_bytes
-        for i in a:
-            if i not in known:
-                known[i] = self.a.decode_single_token_bytes(i)
         b = self.b.ids_of(raw.replace(" ", sentencepiece_bpe.BLANK))
-        text = raw.encode()
-        if b"".join([known[i] for i in a]) != text or b"".join([self.b_bytes.get(i, b"") for i in b]) != text:
-            return Aligned(0, 0, "", b"", False)
-        groups, pairs = [], []
+        if sentencepiece_bpe.BLANK in raw or self.b.unknown in b:
+            return 0, 0, None, b""
+        a_size, b_size, groups, pairs = self.a_size, self.b_size, [], array("q")
         left, start, a_end, b_end, k = 0, 0, 0, 0, -1
         for n, i in enumerate(a):
-            a_end += len(known[i])
+            a_end += a_size[i]
             while b_end < a_end:
                 k += 1
-                b_end += len(self.b_bytes[b[k]])
+                b_end += b_size[b[k]]
             if b_end == a_end:
-                groups.append(f"{','.join(map(str, a[left : n + 1]))}|{','.join(map(str, b[start : k + 1]))}")
+                own_a = str(i) if left == n else ",".join(map(str, a[left : n + 1]))
+                groups.append(f"{own_a}|{b[k]}" if start == k else f"{own_a}|{','.join(map(str, b[start : k + 1]))}")
                 pairs.append(i << 32 | b[k])
                 left, start = n + 1, k + 1
-        return Aligned(len(a), len(b), ";".join(groups), np.array(pairs, np.int64).tobytes(), True)
+        return len(a), len(b), ";".join(groups), pairs.tobytes()
 
-    def text(self, text: str) -> list[Aligned]:
-        """Parts of a whole text, in order; none if it has no tokens."""
-        if not text:
-            return []
-        found = [x for w in self.cuts.split(text) for x in self.spaced[w]]
-        return found if all([x.same for x in found]) else []
+    def text(self, text: str) -> Aligned:
+        """The alignment of a whole text after a blank; zeros and no group if it has no tokens."""
+        if not text or sentencepiece_bpe.BLANK in text:
+            return 0, 0, None, b""
+        words = text.split()
+        single = len(" ".join(words)) == len(text) and text.count(" ") + text.count("\n") == len(words) - 1
+        # with single blanks and line breaks between words every blank is a cut
+        found = joined(list(map(self.spaced.__getitem__, text.split(" ") if single else self.cuts.split(text))))
+        return found if found[2] is not None else (0, 0, None, b"")
 
 
 @lru_cache(maxsize=2)
@@ -251,8 +255,7 @@ def inverted(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: s
             cols: dict[str, list] = {n: [] for n in (*DOC_FIELDS, "groups_sha256", "place", "block")}
             places, pairs = [], []
             for text in b.column(1).to_pylist():
-                found = own.text(text)
-                linked = b"".join([x.pairs for x in found])
+                n_a, n_b, names, linked = own.text(text)
                 if block.docs >= BLOCK_DOCS or block.links + sum(map(len, pairs)) // 8 + len(linked) // 8 > BLOCK_LINKS and block.docs:
                     if places:
                         block.add(places, pairs)
@@ -260,9 +263,9 @@ def inverted(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: s
                     yield from close()
                     block, number = Block(), number + 1
                 groups = len(linked) // 8
-                for n, v in zip(DOC_FIELDS, (sum([x.n_a for x in found]), sum([x.n_b for x in found]), groups, groups), strict=True):
+                for n, v in zip(DOC_FIELDS, (n_a, n_b, groups, groups), strict=True):
                     cols[n].append(v)
-                cols["groups_sha256"].append(hashlib.sha256(";".join([x.groups for x in found]).encode()).hexdigest() if found else "")
+                cols["groups_sha256"].append("" if names is None else hashlib.sha256(names.encode()).hexdigest())
                 cols["place"].append(block.docs)
                 cols["block"].append(base + number)
                 if linked:
