@@ -91,14 +91,23 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per group of equal texts, with their own columns (of any names)."""
+    """The rows of ``docs`` that stay, one per group of equal texts, with their own columns (of any names).
+
+    What goes is decided on (id, digest) rows. Texts are only joined with the
+    few that go or repeat: where Spark finds those small, no text is shuffled,
+    else each once. Repeats of a staying row (same id, equal text) are merged
+    with map-side combining: the longest stays, of those the greatest text.
+    """
     names = docs.columns
     flat = docs.toDF(*(f"c{k}" for k in range(len(names))))
     own_id, own_text = (f"c{names.index(c)}" for c in (id_col, text_col))
-    out = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha")).distinct()
+    decided = exact_dedup(docs, id_col, text_col).groupBy(F.col("doc_id").alias("on_id"), F.col("text_sha256").alias("on_sha"))
+    decided = decided.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    special = materialise(decided.where("NOT kept OR n > 1").select("on_id", "on_sha", "kept"), "exact-special")
     text = F.coalesce(F.col(own_text), F.lit(""))
-    marked = flat.withColumn("sha", F.sha2(F.translate(text, WHITE, "").cast("binary"), 256)).withColumn("size", F.length(text))
-    joined = marked.join(out, marked[own_id].eqNullSafe(out["keep_id"]) & (F.col("sha") == F.col("keep_sha")), "left_semi")
-    # repeats of a winning row (same id, equal text) meet here: the longest stays
-    order = Window.partitionBy(own_id, "sha").orderBy(F.col("size").desc())
-    return joined.withColumn("nth", F.row_number().over(order)).where("nth = 1").select(*flat.columns).toDF(*names)
+    marked = flat.withColumn("sha", F.sha2(F.translate(text, WHITE, "").cast("binary"), 256))
+    same = marked[own_id].eqNullSafe(F.col("on_id")) & (F.col("sha") == F.col("on_sha"))
+    single = marked.join(special, same, "left_anti").select(*flat.columns)
+    repeats = marked.join(special.where("kept"), same, "left_semi")
+    one = repeats.groupBy(own_id, "sha").agg(F.max_by(F.struct(*flat.columns), F.struct(F.length(text), text)).alias("row"))
+    return single.unionByName(one.select("row.*")).toDF(*names)

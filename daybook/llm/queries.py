@@ -72,7 +72,8 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents"), target_entropy=MIX_ENTROPY, max_epochs=MIX_EPOCHS)
 
 
-OP10_SQL = rf"""
+def mix_sql(block_tokens: int) -> str:
+    return rf"""
 WITH t AS (
   SELECT doc_id, source, text, coalesce('s:' || source, 'null') AS skey,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS n_tokens,
@@ -96,7 +97,7 @@ WITH t AS (
   FROM q
 ), plan AS (
   SELECT skey, tokens, CAST(floor(tokens * pow(tokens / CAST(high AS DOUBLE), exponent - 1)) AS BIGINT) AS budget, exponent,
-         CAST(ceil(tokens / {1 << 22}.0) AS BIGINT) AS blocks
+         CAST(ceil(tokens / {block_tokens}.0) AS BIGINT) AS blocks
   FROM q, best
 ), placed AS (
   SELECT t.*, p.tokens, p.budget, p.exponent, p.budget // p.tokens AS whole_epochs, p.budget % p.tokens AS rest,
@@ -120,6 +121,10 @@ SELECT doc_id, source, n_tokens, epoch, block, slot, CAST(start AS BIGINT) AS st
 FROM paid WHERE whole OR before_ + upto <= rest
 """
 
+
+OP10_SQL = mix_sql(1 << 22)
+
+
 def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 

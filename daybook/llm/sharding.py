@@ -8,12 +8,12 @@ until each leaf holds one shard's target bytes.
 
 A quantile is found by radix refinement: rows get a 52-bit key (20 bits of the
 coordinate, 32 of the text's CRC), and each pass sums the bytes of the next
-``BITS`` key bits of all nodes of a level, with map-side combining; one row
-per node comes back. Equal texts have equal keys and stay in one shard, unless
-a border falls into a group of copies too heavy to lie on either side: then 32
-more bits, of the id, split that group. A shard is a function of a row's own
-values and the few borders, so no row moves until slots are given out by
-offset buckets.
+``BITS`` key bits of all nodes of a level, with map-side combining, into a
+table of a row per node. Equal texts have equal keys and stay in one shard,
+unless a border falls into a group of copies too heavy to lie on either side:
+then 32 more bits, of the id, split that group. Rows meet their node's border
+by a join with that table, which Spark broadcasts below its size threshold;
+slots are given out by offset buckets.
 
 Defined results: a null text has no bytes and counts 1 like an empty one; rows
 repeated with the same id stay together; an id may be null; an empty table
@@ -22,8 +22,6 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,19 +33,6 @@ TOLERANCE = 0.002  # of a shard's bytes: a border this near to its target doesn'
 DIMS = ("x_bytes", "x_wide", "x_lines")
 
 
-@dataclass
-class Node:
-    """``shards`` shards from ``first`` on; split at (key, id) < (key, id hash) if it has children."""
-
-    first: int
-    shards: int
-    dim: str = ""
-    key: int = 0
-    id_hash: int = 0
-    left: Node | None = None
-    right: Node | None = None
-
-
 def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -63,91 +48,90 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _key(dim: Column, crc: Column) -> Column:
-    return F.shiftleft(dim, 32) + crc
-
-
-def place(tree: Node, pick, leaf) -> Column:
-    """An expression over the tree: ``leaf(node)`` of the leaf that a row falls into."""
-    if tree.left is None:
-        return leaf(tree)
-    key = pick(tree.dim)
-    before = (key < F.lit(tree.key)) | ((key == F.lit(tree.key)) & (F.col("id_hash") < F.lit(tree.id_hash)))
-    return F.when(before, place(tree.left, pick, leaf)).otherwise(place(tree.right, pick, leaf))
+def _key(dim: Column) -> Column:
+    """The 52-bit key of a row along the dimension numbered ``dim`` (from 1)."""
+    return F.shiftleft(F.element_at(F.array(*DIMS), dim), 32) + F.col("text_crc32")
 
 
-def _borders(rows: DataFrame, value: str, bits: int, wanted: dict[int, float]) -> dict[int, tuple[int, int, int]]:
-    """For each node the smallest value v with bytes(value <= v) >= wanted: ``(v, bytes before v, bytes at v)``.
+def _borders(rows: DataFrame, value: str, bits: int, wanted: DataFrame) -> DataFrame:
+    """For each node the smallest value v with bytes(value <= v) >= want: ``node, want, v, before, here``.
 
-    ``rows`` has ``node, size`` and ``value`` of ``bits`` bits; ``wanted`` maps nodes to bytes.
+    ``rows`` has ``node, size`` and ``value`` of ``bits`` bits, ``wanted`` has
+    ``node, want``; ``before`` and ``here`` are the bytes below v and at v.
     """
-    found = {k: (0, 0) for k in wanted}  # bits fixed so far, bytes before them
-    at, here = bits, {}
+    zero = F.lit(0).cast("long")
+    found, at = wanted.select("node", "want", zero.alias("v"), zero.alias("before"), zero.alias("here")), bits
     while at > 0:
         step = min(BITS, at)
         at -= step
-        prefix = F.create_map(*(F.lit(x) for k, (p, _) in found.items() for x in (k, p)))
-        want = F.create_map(*(F.lit(x) for k, (_, w) in found.items() for x in (k, float(wanted[k] - w))))
-        inside = rows.where(F.shiftright(value, at + step) == prefix[F.col("node")])
-        bins = inside.groupBy("node", F.shiftright(value, at).alias("v")).agg(F.sum("size").alias("w"))
-        run = Window.partitionBy("node").orderBy("v")
-        bins = bins.withColumn("upto", F.sum("w").over(run.rowsBetween(Window.unboundedPreceding, 0)))
-        last = F.row_number().over(Window.partitionBy("node").orderBy(F.col("v").desc())) == 1
-        hit = bins.withColumn("last", last).where((F.col("upto") >= want[F.col("node")]) | F.col("last"))
-        first = hit.groupBy("node").agg(F.min_by(F.struct("v", "w", "upto"), F.col("v")).alias("b")).collect()  # a row per node
-        for r in first:
-            b = r["b"]
-            found[r["node"]] = (b["v"], found[r["node"]][1] + b["upto"] - b["w"])
-            here[r["node"]] = b["w"]
-    return {k: (v, w, here.get(k, 0)) for k, (v, w) in found.items()}
-
-
-def kd_tree(slim: DataFrame, shards: int) -> tuple[Node, DataFrame]:
-    """The tree over ``slim`` (``measured``) and ``slim`` with its 20-bit coordinates."""
+        inside = rows.join(found, "node").where(F.shiftright(value, at + step) == F.col("v"))
+        bins = inside.groupBy("node", "want", "before", F.shiftright(value, at).alias("bin")).agg(F.sum("size").alias("w"))
+        run = Window.partitionBy("node").orderBy("bin")  # at most 2**BITS bins a node
+        bins = bins.withColumn("upto", F.col("before") + F.sum("w").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+        last = F.col("bin") == F.max("bin").over(Window.partitionBy("node"))
+        hit = bins.withColumn("last", last).where((F.col("upto") >= F.col("want")) | F.col("last"))
+        first = hit.groupBy("node", "want").agg(F.min_by(F.struct("bin", "w", "upto"), "bin").alias("b"))
+        found = first.select("node", "want", F.col("b.bin").alias("v"), (F.col("b.upto") - F.col("b.w")).alias("before"), F.col("b.w").alias("here"))
+        found = materialise(found, "shard-borders")
+    return found
+
+
+def _cuts(rows: DataFrame) -> DataFrame:
+    """``node, dim, key, id_key`` of every node in ``rows`` that has more than one shard."""
+    w = F.col("size").cast("double")
+    sums = [F.sum("size").alias("w")] + [f.alias(f"{k}_{d}") for d in DIMS for k, f in (("s", F.sum(w * F.col(d))), ("q", F.sum(w * F.col(d) * F.col(d))))]
+    spread = F.array(*(F.col(f"q_{d}") / F.col("w") - F.pow(F.col(f"s_{d}") / F.col("w"), F.lit(2.0)) for d in DIMS))
+    half = F.expr("shards div 2")
+    level = rows.where("shards > 1").groupBy("node", "shards").agg(*sums).select(
+        "node",
+        F.array_position(spread, F.array_max(spread)).cast("int").alias("dim"),
+        half.alias("half"),
+        (F.col("w") * half / F.col("shards")).alias("want"),
+    )
+    level = materialise(level, "shard-level")
+    keyed = rows.join(level.select("node", "dim"), "node").select("node", "size", "id_hash", _key(F.col("dim")).alias("value"))
+    near = F.lit(TOLERANCE) * F.greatest(F.lit(1.0), F.col("want") / F.col("half"))
+    low, high = F.col("want") - F.col("before") <= near, F.col("before") + F.col("here") - F.col("want") <= near
+    cut = level.join(_borders(keyed, "value", KEY_BITS, level.select("node", "want")).drop("want"), "node")
+    cut = materialise(
+        cut.select("node", "dim", "want", "before", (~low & ~high).alias("split"), F.when(~low & high, F.col("v") + 1).otherwise(F.col("v")).alias("key")),
+        "shard-cuts",
+    )
+    tied = cut.where("split").select("node", (F.col("want") - F.col("before")).alias("want"), "key")
+    if tied.isEmpty():
+        return cut.select("node", "dim", "key", F.lit(0).cast("long").alias("id_key"))
+    copies = keyed.join(tied.select("node", "key"), "node").where("value = key").select("node", "size", "id_hash")
+    ids = _borders(copies, "id_hash", ID_BITS, tied.select("node", "want")).select("node", (F.col("v") + 1).alias("id_key"))
+    return materialise(cut.join(ids, "node", "left").select("node", "dim", "key", F.coalesce("id_key", F.lit(0)).alias("id_key")), "shard-cuts")
+
+
+def kd_tree(slim: DataFrame, shards: int) -> DataFrame:
+    """``slim`` (``measured``) with ``node``, the shard of each row; the tree grows a level of nodes at a time.
+
+    A node is named by its first shard. A level's borders are a table of a row
+    per node, joined to the rows by its checked size, and the rows' new nodes
+    are written down, so neither plans nor the driver grow with the tree.
+    """
     ends = slim.agg(*(f(d).alias(f"{n}_{d}") for d in DIMS for n, f in (("lo", F.min), ("hi", F.max)))).first()
     scaled = []
     for d in DIMS:
         lo, hi = ends[f"lo_{d}"] or 0.0, ends[f"hi_{d}"] or 0.0
         unit = (F.col(d) - F.lit(lo)) / F.lit(hi - lo) if hi > lo else F.lit(0.0)
         scaled.append(F.floor(unit * F.lit((1 << 20) - 1)).cast("long").alias(d))
-    grid = materialise(slim.select("doc_id", "size", "text_crc32", "id_hash", *scaled), "shard-grid")
-    root, pick = Node(0, shards), lambda d: _key(F.col(d), F.col("text_crc32"))
-    open_ = [root] if shards > 1 else []
-    while open_:
-        node = place(root, pick, lambda n: F.lit(n.first if n.shards > 1 else -1))
-        rows = grid.withColumn("node", node).where("node >= 0")
-        w = F.col("size").cast("double")
-        sums = [F.sum("size").alias("w")] + [f.alias(f"{k}_{d}") for d in DIMS for k, f in (("s", F.sum(w * F.col(d))), ("q", F.sum(w * F.col(d) * F.col(d))))]
-        stats = {r["node"]: r for r in rows.groupBy("node").agg(*sums).collect()}  # a row per node
-        for n in open_:
-            r = stats.get(n.first)
-            spread = lambda d, r=r: r[f"q_{d}"] / r["w"] - (r[f"s_{d}"] / r["w"]) ** 2
-            n.dim = max(DIMS, key=spread) if r else DIMS[0]
-        own = F.coalesce(*(F.when(F.col("node") == n.first, pick(n.dim)) for n in open_))
-        keyed = rows.select("node", "size", "id_hash", own.alias("value"))
-        wanted = {n.first: (stats[n.first]["w"] if n.first in stats else 0) * (n.shards // 2) / n.shards for n in open_}
-        key = _borders(keyed, "value", KEY_BITS, wanted)
-        split: dict[int, float] = {}
-        for n in open_:
-            v, before, at = key[n.first]
-            near = TOLERANCE * max(1.0, wanted[n.first] / (n.shards // 2))
-            if wanted[n.first] - before <= near:
-                n.key, n.id_hash = v, 0
-            elif before + at - wanted[n.first] <= near:
-                n.key, n.id_hash = v + 1, 0
-            else:
-                n.key, split[n.first] = v, wanted[n.first] - before
-        if split:
-            tie = F.coalesce(*(F.when(F.col("node") == n.first, F.col("value") == F.lit(n.key)) for n in open_ if n.first in split))
-            ids = _borders(keyed.where(tie), "id_hash", ID_BITS, split)
-            for n in open_:
-                if n.first in split:
-                    n.id_hash = ids[n.first][0] + 1
-        for n in open_:
-            half = n.shards // 2
-            n.left, n.right = Node(n.first, half), Node(n.first + half, n.shards - half)
-        open_ = [c for n in open_ for c in (n.left, n.right) if c.shards > 1]
-    return root, grid
+    start = [F.lit(0).cast("long").alias("node"), F.lit(shards).cast("long").alias("shards")]
+    rows = materialise(slim.select("doc_id", "size", "text_crc32", "id_hash", *scaled, *start), "shard-grid")
+    widest = shards  # shards of the level's largest node
+    while widest > 1:
+        key = _key(F.col("dim"))
+        before = (key < F.col("key")) | ((key == F.col("key")) & (F.col("id_hash") < F.col("id_key")))
+        half = F.expr("shards div 2")
+        leaf, left = F.col("shards") <= 1, F.coalesce(before, F.lit(True))
+        node = F.when(leaf | left, F.col("node")).otherwise(F.col("node") + half)
+        size = F.when(leaf, F.col("shards")).when(left, half).otherwise(F.col("shards") - half)
+        kept = [c for c in rows.columns if c not in ("node", "shards")]
+        rows = materialise(rows.join(_cuts(rows), "node", "left").select(*kept, node.alias("node"), size.alias("shards")), "shard-grid")
+        widest -= widest // 2
+    return rows
 
 
 def kd_shards(
@@ -158,9 +142,7 @@ def kd_shards(
     total, n = slim.agg(F.sum("size"), F.count(F.lit(1))).first()
     if shards is None:
         shards = max(1, -(-(total or 0) // target_bytes))
-    tree, grid = kd_tree(slim, shards)
-    pick = lambda d: _key(F.col(d), F.col("text_crc32"))
-    put = materialise(grid.select("doc_id", "size", "text_crc32", place(tree, pick, lambda x: F.lit(x.first)).alias("shard")), "shard-placed")
+    put = materialise(kd_tree(slim, shards).select("doc_id", "size", "text_crc32", F.col("node").alias("shard")), "shard-placed")
     slots = ranked(put, ["shard"], ["doc_id", "text_crc32", "size"], bucket_count(n), "slot")
     return slots.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
