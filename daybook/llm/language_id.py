@@ -162,7 +162,7 @@ class ByteNetwork:
             o = order[k : k + batch]
             steps = np.arange(int(size[o].max()))[:, None]
             real = steps < size[o]
-            x = np.where(real, data[np.minimum(at[o] + steps, len(data) - 1)], PAD).astype(np.int64)
+            x = np.where(real, data[np.minimum(at[o] + steps, len(data) - 1)].astype(np.int64), PAD)  # PAD doesn't fit a byte
             q = self.labels(x)
             q *= real[:, None, :]
             np.add.at(sums, owner[o], q.sum(0, dtype=np.float64).T)

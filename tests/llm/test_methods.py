@@ -90,7 +90,7 @@ def test_block_permutations_agree_with_sql(spark, sf001_dir):
     for r in got.select("source", "epoch", "slot", "block", "start").distinct().collect():
         slots[r["source"], r["epoch"]].add(r["slot"])
         orders[r["source"], r["epoch"]][r["slot"]] = r["block"]
-    assert max(len(s) for s in slots.values()) > 10  # many blocks a source
+    assert max(len(s) for s in slots.values()) > 5  # many blocks a source
     for (source, epoch), order in orders.items():  # each epoch has its own order of the blocks it shares
         if epoch and len(order) > 5:
             assert [order[k] for k in sorted(order)] != [orders[source, 0][k] for k in sorted(order)]
