@@ -26,6 +26,9 @@ a group of near copies is. (4) Only pairs that share a signature and are still
 in different components are verified one by one, after exact lower bounds by
 size and both profiles, which the task that pairs them applies itself. A signature of more than ``CELL`` sets is cut into cells,
 and each pair of cells that may hold such a pair is a task's work of its own.
+At first a task only names pairs that would join its components, fewer than it
+has sets; the sets of all its other pairs are kept by signature, and the pairs
+of them that are still apart after that verification are verified one by one.
 Verification ships the two texts and compares whole sets.
 Hashes have 64 bits; equal hashes count as equal shingles and sets.
 
@@ -441,9 +444,13 @@ def dealt(placed: DataFrame, classes: DataFrame, cell: int, kind: str = "coarse"
     return rows.unionByName(members.select(rows.columns))
 
 
-def across(groups: DataFrame) -> DataFrame:
+def across(groups: DataFrame, spanning: bool = False) -> DataFrame:
     """``a, b`` of sets that meet in ``groups`` (see ``dealt``), lie in different components and pass the bounds.
 
+    With ``spanning`` only the pairs that would join the components that meet, nearest sets first, and
+    ``sig, a`` (no ``b``) of every set with another such pair: in a group of near copies the pairs grow with
+    the square of its sets, these rows don't.
+
     The fine profile decides inside the cell, where a coarse one made of it has
     not yet: a pair that isn't linked shares many signatures, and would be
     emitted once for each. A task holds two cells at a time: some 1.3 KB a set.
@@ -454,7 +461,10 @@ def across(groups: DataFrame) -> DataFrame:
         return [c[order] for c in cols]
 
     def pairs_of(one, two):
-        """Of the sets of ``one`` and ``two``: columns cid, comp, n, profile; the pairs inside ``one`` if ``two`` is None."""
+        """Of the sets of ``one`` and ``two``: columns cid, comp, n, profile; the pairs inside ``one`` if ``two`` is None.
+
+        Yields the ids of both, their components and the lower bound of their difference.
+        """
         inner = two is None
         cid, comp, n, fine = by_size(one)
         cid2, comp2, n2, fine2 = (cid, comp, n, fine) if inner else by_size(two)
@@ -474,16 +484,42 @@ def across(groups: DataFrame) -> DataFrame:
                 xx, yy = xx[ok], yy[ok]
                 for sub in range(0, len(xx), 10_000):
                     x1, y1 = xx[sub : sub + 10_000], yy[sub : sub + 10_000]
-                    ok, _ = _bounded(n[x1], n2[y1], fine[x1], fine2[y1])
+                    ok, gap = _bounded(n[x1], n2[y1], fine[x1], fine2[y1])
                     if ok.any():
                         a, b = cid[x1[ok]], cid2[y1[ok]]
-                        yield np.minimum(a, b), np.maximum(a, b)
+                        yield np.minimum(a, b), np.maximum(a, b), comp[x1[ok]], comp2[y1[ok]], gap[ok]
+
+    def joining(pairs):
+        """The pairs that join components not joined before, and the sets of the others, each once."""
+        root: dict[int, int] = {}
+        left = np.zeros(0, np.int64)
+
+        def find(c):
+            while (up := root.get(c, c)) != c:
+                root[c] = c = root.get(up, up)
+            return c
+
+        for a, b, one, two, gap in pairs:
+            names, at = np.unique(np.concatenate([one, two]), return_inverse=True)
+            now = np.array([find(c) for c in names.tolist()], np.int64)[at].reshape(2, -1)
+            pick = np.zeros(len(a), bool)
+            for k in (k for k in np.lexsort((b, a, gap)).tolist() if now[0, k] != now[1, k]):
+                x, y = find(int(now[0, k])), find(int(now[1, k]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    pick[k] = True
+            if pick.any():
+                yield a[pick], b[pick]
+            left = np.unique(np.concatenate([left, a[~pick], b[~pick]]))
+        if len(left):
+            yield left, None
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         def batch(got):
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[j] for g in got])) for j in (0, 1)], names=["a", "b"])
+            cols = [pa.array(np.concatenate([g[j] for g in got])) for j in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(cols[0]), pa.int64()), *cols] if spanning else cols, names=names)
 
         rest: tuple | None = None
         got: list = []
@@ -504,7 +540,11 @@ def across(groups: DataFrame) -> DataFrame:
             for lo, hi in zip(edge[:-1], edge[1:], strict=True):
                 sets = [c[lo:hi] for c in done[2:]]
                 left, right, own = ([c[sets[0] == k] for c in sets[1:]] for k in (0, 1, 2))
-                for pair in (p for x, y in ((left, right), (own, None)) if len(x[0]) for p in pairs_of(x, y)):
+                met = (p for x, y in ((left, right), (own, None)) if len(x[0]) for p in pairs_of(x, y))
+                for pair in joining(met) if spanning else met:
+                    if pair[1] is None:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair[0]), done[0][lo])), pa.array(pair[0]), pa.nulls(len(pair[0]), pa.int64())], names=names)
+                        continue
                     got.append(pair)
                     if len(got) >= 64 or len(pair[0]) >= 10_000:
                         yield batch(got)
@@ -512,8 +552,9 @@ def across(groups: DataFrame) -> DataFrame:
         if got:
             yield batch(got)
 
+    names = ["sig", "a", "b"] if spanning else ["a", "b"]
     groups = groups.repartition("sig", "pair").sortWithinPartitions("sig", "pair")
-    return groups.select("sig", "pair", "side", "cid", "comp", "n", "profile").mapInArrow(run, "a long, b long")
+    return groups.select("sig", "pair", "side", "cid", "comp", "n", "profile").mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def _and_end(batches: Iterator) -> Iterator:
@@ -573,13 +614,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = materialise(best.select("a", "b"), "join-stars")
     links = materialise(verify(first, classes, texts), "join-links")
 
-    comp = components(links, "join-cc").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
-    sized = classes.select("cid", "n").join(comp, "cid", "left").select("cid", "n", F.coalesce("comp", "cid").alias("comp"))
-    placed = groups.join(sized, "cid").select("sig", "cid", "comp", "n")
+    def placed(groups: DataFrame) -> DataFrame:
+        comp = components(links, "join-cc").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
+        sized = classes.select("cid", "n").join(comp, "cid", "left").select("cid", "n", F.coalesce("comp", "cid").alias("comp"))
+        return groups.join(sized, "cid").select("sig", "cid", "comp", "n")
+
+    def untried(pairs: DataFrame) -> DataFrame:
+        # written first: Spark would move the join below the distinct, to a row for each signature of a pair
+        return materialise(materialise(pairs.select("a", "b").distinct(), "join-pairs").join(tried, ["a", "b"], "left_anti"), "join-rest")
+
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = across(dealt(placed, classes, CELL, "fine")).distinct().join(tried, ["a", "b"], "left_anti")
-    rest = materialise(rest, "join-rest")
+    some = materialise(across(dealt(placed(groups), classes, CELL, "fine"), spanning=True), "join-spanning")
+    rest = untried(some.where("b IS NOT NULL"))
     links = links.unionByName(materialise(verify(rest, classes, texts), "join-links"))
+    left = some.where("b IS NULL").select("sig", F.col("a").alias("cid")).distinct()
+    if not left.isEmpty():
+        tried = tried.unionByName(rest)
+        rest = untried(across(dealt(placed(left), classes, CELL, "fine")))
+        links = links.unionByName(materialise(verify(rest, classes, texts), "join-links"))
 
     # rows that share an id are one document: their sets are one component
     same = rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "cid").distinct()

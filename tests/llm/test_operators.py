@@ -360,3 +360,31 @@ def test_jaccard_template_over_the_cell(spark, monkeypatch):
     got = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     want = similar_components(docs)
     assert {r["doc_id"]: r["component_id"] for r in got} == want and len(set(want.values())) > 1
+
+
+def test_jaccard_pairs_verified_follow_the_sets(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    docs = []
+    for k in range(300):  # near copies of one text, some 4,200 linked pairs that share no leader
+        t = [f"t{j}" for j in range(100)]
+        for _ in range(2):
+            t[int(rng.integers(0, 25))] = f"n{k}_{rng.integers(9)}"
+        docs.append((k, " ".join(t)))
+    counts, verify = [], jaccard_join.verify
+    monkeypatch.setattr(jaccard_join, "verify", lambda pairs, *rest: (counts.append(pairs.count()), verify(pairs, *rest))[1])
+    got = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == similar_components(docs)
+    assert sum(counts) <= 3 * len(docs)
+
+
+def test_jaccard_spanning_pairs_leave_no_set_out(spark):
+    sets, placed, classes = _hot_signature(spark)
+    comp = {(s, k): c for s, k, c, _ in sets}
+    groups = jaccard_join.dealt(placed, classes, 50)
+    whole = {tuple(r) for r in jaccard_join.across(groups).collect()}
+    some = jaccard_join.across(groups, spanning=True).collect()
+    pairs = {(r["a"], r["b"]) for r in some if r["b"] is not None}
+    left = {(r["sig"], r["a"]) for r in some if r["b"] is None}
+    assert pairs <= whole
+    for a, b in whole - pairs:
+        assert any({(s, a), (s, b)} <= left and comp[s, a] != comp[s, b] for s in (1, 2, 3) if (s, a) in comp and (s, b) in comp)
