@@ -3,9 +3,15 @@
 Two gated recurrent units read the UTF-8 bytes of a window forwards and
 backwards; their states give language probabilities at every byte, and a
 document's probabilities are the means over all its bytes. The network is
-trained in numpy by backpropagation through time on a bounded sample: whole
+trained by backpropagation through time, in numpy, on a bounded sample: whole
 texts of at most ``per_language`` documents of each language, chosen by a hash
-of the text alone; equal texts count once. Its weights (some tens of kilobytes) travel with the
+of the text alone; equal texts count once. ``accepted`` learns from every
+labelled document that isn't held out: where a language has more of them, the
+sample only gives the weights to start from. All documents are then dealt to
+``ROUNDS`` parts by hash, and each round moves the weights along the gradient
+over all windows of its part, summed by Spark; the texts of one hash in
+``CHECKED`` are left out of both, and all of them calibrate the least
+probability. The weights (some tens of kilobytes) travel with the
 tasks; every byte of every text is labelled, in windows of ``WINDOW`` bytes
 that are read independently of each other, so memory doesn't grow with a text.
 
@@ -20,15 +26,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import slices
 from daybook.llm.quality import held_out
 
 WINDOW, HIDDEN = 128, 8
-PER_LANGUAGE = 1500  # whole texts learned from
-CHECKED = 10  # a text in so many of the sample is left out of the training, to calibrate the least probability
+PER_LANGUAGE = 1500  # whole texts that the driver learns from
+ROUNDS = 6  # parts of the corpus, a step of the weights each, where the driver doesn't learn from all
+AT_ONCE = 512  # windows of one language that a task takes the gradient of
+CHECKED = 10  # a text in so many is left out of the training, to calibrate the least probability
 ENOUGH = 100  # texts to calibrate on; with fewer, only the chance of the number of languages is asked for
 MARGIN = 0.9  # of the lowest probability that a calibration text has
 STEPS, BATCH, LEARNING_RATE = 350, 96, 0.02
@@ -117,19 +125,37 @@ class ByteNetwork:
         out = {"v": np.einsum("tkb,tlb->kl", both, q, optimize=True), "c": q.sum((0, 2))}
         back = np.matmul(self.p["v"], q)
         for side, xs, states, gates, d_out in (("f", x, f, gf, back[:, :n]), ("b", xb, b, gb, back[:, n:][::-1])):
-            u, du, dw = self.p[f"u{side}"], np.zeros_like(self.p[f"u{side}"]), np.zeros_like(self.p[f"w{side}"])
-            dh, da = np.zeros(states.shape[1:], np.float32), np.empty((len(xs), x.shape[1], 3 * n), np.float32)
-            for i in range(len(xs) - 1, -1, -1):
-                dh = dh + d_out[i]
-                h, z, r, c, hu = states[i], gates[i, :n], gates[i, n : 2 * n], gates[i, 2 * n : 3 * n], gates[i, 3 * n :]
-                dc = dh * (1 - z) * (1 - np.abs(c)) ** 2
-                dz = 0.25 * dh * (h - c) * ((z > 0) & (z < 1))
-                dr = 0.25 * dc * hu * ((r > 0) & (r < 1))
-                ds = np.concatenate([dz, dr, dc * r])
-                da[i] = np.concatenate([dz, dr, dc]).T
-                du += h @ ds.T
-                dh = dh * z + u @ ds
-            np.add.at(dw, xs.ravel(), da.reshape(-1, 3 * n))
+            u, du, dw = self.p[f"u{side}"], np.zeros_like(self.p[f"u{side}"]), np.zeros((3 * n, 257), self.p[f"w{side}"].dtype)
+            z, r, c, hu = (gates[:, k * n : (k + 1) * n] for k in range(4))
+            dh, da = np.zeros(states.shape[1:], np.float32), np.empty((3 * n, len(xs), x.shape[1]), np.float32)
+            ds, t, both_in = np.empty((3 * n, x.shape[1]), np.float32), np.empty_like(dh), np.empty((2 * n, x.shape[1]), bool)
+            above, below = np.empty_like(both_in), gates[:, : 2 * n]
+            dz, dr, dzr, dc = ds[:n], ds[n : 2 * n], ds[: 2 * n], ds[2 * n :]
+            for i in range(len(xs) - 1, -1, -1):  # each step's arrays stay in the cache
+                dh += d_out[i]
+                np.abs(c[i], out=t)
+                np.subtract(1, t, out=t)
+                t *= t
+                np.subtract(1, z[i], out=dc)
+                dc *= dh
+                dc *= t
+                np.subtract(states[i], c[i], out=dz)
+                dz *= dh
+                np.multiply(dc, hu[i], out=dr)
+                np.greater(below[i], 0, out=both_in)
+                np.less(below[i], 1, out=above)
+                both_in &= above
+                dzr *= 0.25
+                dzr *= both_in
+                da[:, i] = ds
+                dc *= r[i]
+                du += states[i] @ ds.T
+                dh *= z[i]
+                dh += u @ ds
+            at = xs.ravel()
+            for k in range(3 * n):
+                np.add.at(dw[k], at, da[k].ravel())
+            dw = np.ascontiguousarray(dw.T)
             dw[PAD] = 0
             out[f"w{side}"], out[f"u{side}"] = dw, du
         return out
@@ -148,6 +174,12 @@ class ByteNetwork:
                 m[k] += 0.1 * (g - m[k])
                 v[k] += 0.01 * (g * g - v[k])
                 self.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        self.spread = {k: np.sqrt(a / (1 - 0.99**steps)) for k, a in v.items()}  # of the last gradients
+
+    def step(self, grads: dict[str, np.ndarray]) -> None:
+        """Against a gradient over many rows, in units of what the gradients of batches spread, by a unit at most."""
+        for k, g in grads.items():
+            self.p[k] -= (LEARNING_RATE * np.clip(g / (self.spread[k] + 1e-8), -1, 1)).astype(np.float32)
 
     def pooled(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, batch: int = 2048) -> np.ndarray:
         """Mean probabilities of each text: ``data`` holds all bytes, a text has ``lengths`` of them from ``starts``."""
@@ -176,11 +208,20 @@ def padded(windows: list[bytes]) -> np.ndarray:
     return x
 
 
+def labelled(docs: DataFrame) -> DataFrame:
+    """``lang, u, text`` of every document to learn from; ``u``: a hash of the text alone."""
+    rows = docs.where(~held_out(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    return rows.select("lang", F.xxhash64("text", F.lit("langid")).alias("u"), "text")
+
+
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
     """At most ``per_language`` whole texts of each language, never of held-out documents, in a fixed order."""
-    rows = docs.where(~held_out(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    named = rows.select("lang", F.xxhash64("text", F.lit("langid")).alias("u"), "text")
-    counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
+    named = labelled(docs)
+    return chosen(named, {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}, per_language)
+
+
+def chosen(named: DataFrame, counts: dict[str, int], per_language: int) -> list[tuple[str, bytes]]:
+    """``sample`` of ``labelled`` rows, ``counts`` of them in each language."""
     if not counts:
         return []
     # twice the wanted share by hash, then exactly the smallest hashes, each text once
@@ -197,24 +238,101 @@ def windows(text: bytes) -> list[bytes]:
     return [text[k : k + WINDOW] for k in range(0, len(text), WINDOW)]
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork | None:
-    """A network trained on all windows of the sample; ``least`` is calibrated on texts of it that weren't learned from."""
-    rows = sample(docs, per_language)
-    if not rows:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, every: bool = False) -> ByteNetwork | None:
+    """A network trained on all windows of the sample, or of ``every`` labelled document, but those that calibrate ``least``."""
+    named = labelled(docs)
+    slot = F.pmod(F.shiftright("u", 34), F.lit(CHECKED * ROUNDS)).cast("int")  # other bits than those the start is chosen by
+    sizes = named.groupBy("lang", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    counts: dict[str, int] = {}
+    for r in sizes:  # some rows per language
+        counts[r["lang"]] = counts.get(r["lang"], 0) + r["n"]
+    if not counts:
         return None
-    languages = sorted({x for x, _ in rows})
-    net = ByteNetwork(languages)
-    seen = [(languages.index(lang), w) for k, (lang, text) in enumerate(rows) if k % CHECKED or len(rows) <= CHECKED for w in windows(text)]
-    net.train([w for _, w in seen], np.array([k for k, _ in seen]))
-    checked = [text for k, (_, text) in enumerate(rows) if k % CHECKED == 0]
-    sizes = np.array([len(x) for x in checked])
-    low = net.pooled(np.frombuffer(b"".join(checked), np.uint8), np.cumsum(sizes) - sizes, sizes).max(1)
     # never below the chance of the number of languages, nor near what any clean text has shown
-    chance = 1 / len(languages) if len(languages) > 1 else 0.0
-    net.least = max(chance, MARGIN * float(low.min()) if len(low) >= ENOUGH else 0.0)
+    chance = 1 / len(counts) if len(counts) > 1 else 0.0
+    net = ByteNetwork(sorted(counts))
+    if not every or max(counts.values()) <= per_language:
+        rows = chosen(named, counts, per_language)
+        learn(net, [x for k, x in enumerate(rows) if k % CHECKED or len(rows) <= CHECKED])
+        low = net.pooled(*joined([text for k, (_, text) in enumerate(rows) if k % CHECKED == 0])).max(1)
+        net.least = max(chance, MARGIN * float(low.min()) if len(low) >= ENOUGH else 0.0)
+        return net
+    learned = {r["lang"] for r in sizes if r["slot"] >= ROUNDS}
+    checked = (slot < ROUNDS) & F.col("lang").isin(*learned)  # a language without other texts is learned from these
+    rest = {k: sum(r["n"] for r in sizes if r["lang"] == k and (r["slot"] >= ROUNDS or k not in learned)) for k in counts}
+    learn(net, chosen(named.where(~checked), rest, per_language))
+    for k in range(ROUNDS):
+        total: dict[str, int] = {}
+        for r in sizes:
+            if r["slot"] % ROUNDS == k and (r["slot"] >= ROUNDS or r["lang"] not in learned):
+                total[r["lang"]] = total.get(r["lang"], 0) + r["bytes"]
+        if total:
+            net.step(gradient(net, named.where(~checked & (slot % ROUNDS == k)).select("lang", "text"), total))
+    low = lowest(net, named.where(checked).select("text"))
+    net.least = max(chance, MARGIN * low["p"] if low["n"] >= ENOUGH else 0.0)
     return net
 
 
+def learn(net: ByteNetwork, rows: list[tuple[str, bytes]]) -> None:
+    seen = [(net.languages.index(lang), w) for lang, text in rows for w in windows(text)]
+    net.train([w for _, w in seen], np.array([k for k, _ in seen]))
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes, and where each text starts and how long it is."""
+    sizes = np.array([len(x) for x in texts])
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+def gradient(net: ByteNetwork, rows: DataFrame, total: dict[str, int]) -> dict[str, np.ndarray]:
+    """The gradient of the cross-entropy over every byte of ``rows`` (lang, text), each language weighing as much.
+
+    ``total`` has the bytes of each language. A task sums over its windows, Spark over the tasks.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        wait: dict[str, list[bytes]] = {}
+        sums = None
+        for b in slices(batches):
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                wait.setdefault(lang, []).extend(windows(text.encode()))
+                while len(wait[lang]) >= AT_ONCE:
+                    sums = more(sums, lang, wait[lang][:AT_ONCE])
+                    del wait[lang][:AT_ONCE]
+        for lang, left in wait.items():
+            if left:
+                sums = more(sums, lang, left)
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], names=["at", "value"])
+
+    def more(sums, lang, some):
+        got = net.gradients(padded(some), np.full(len(some), net.languages.index(lang)))
+        flat = np.concatenate([got[k].ravel() for k in net.p]).astype(float) * (sum(map(len, some)) / total[lang] / len(total))
+        return flat if sums is None else sums + flat
+
+    got = rows.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()  # a row per weight
+    flat = np.zeros(sum(a.size for a in net.p.values()))
+    flat[[r["at"] for r in got]] = [r["value"] for r in got]
+    ends = np.cumsum([a.size for a in net.p.values()])
+    return {k: flat[hi - a.size : hi].reshape(a.shape) for (k, a), hi in zip(net.p.items(), ends, strict=True)}
+
+
+def lowest(net: ByteNetwork, rows: DataFrame) -> Row:
+    """``n, p``: how many texts there are, and the lowest of their highest mean probabilities."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in slices(batches):
+            if b.num_rows:
+                top = net.pooled(*joined([x.encode() for x in b.column(0).to_pylist()])).max(1)
+                yield pa.RecordBatch.from_arrays([pa.array([len(top)]), pa.array([float(top.min())])], names=["n", "p"])
+
+    return rows.mapInArrow(run, "n long, p double").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.min("p"), F.lit(0.0)).alias("p")).first()
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document."""
     net = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), per_language)
@@ -243,9 +361,9 @@ def predict(rows: DataFrame, net: ByteNetwork | None, schema) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def accepted(docs: DataFrame, least: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def accepted(docs: DataFrame, least: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """The rows whose language could be told: not ``und``, mean probability of ``least`` (default: as calibrated) or more."""
-    net = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")))
+    net = fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), per_language, every=True)
     least = (net.least if net else 1.0) if least is None else least
     names = docs.columns
     flat = docs.toDF(*(f"c{k}" for k in range(len(names))))  # any names, clashing ones too

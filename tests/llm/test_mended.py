@@ -2,6 +2,7 @@
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,42 @@ def test_components_of_a_long_chain(spark):
     chain = spark.range(400).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert components(chain).select("component").distinct().collect()[0][0] == 0
     assert messy(spark).columns  # the helper's names stay as they are
+
+
+def many_texts() -> list[tuple[int, str, str]]:
+    words = {"en": "the house and a tree with some water", "fr": "la maison et un arbre avec de l'eau", "de": "das Haus und ein Baum mit etwas Wasser"}
+    return [(k, " ".join([words[x].split()[(k * j) % 7] for j in range(1, 40)]) + f" {k}", x) for k in range(360) for x in (list(words)[k % 3],)]
+
+
+def test_pipeline_language_learns_from_every_text(spark):
+    """A text that the start isn't chosen from moves the weights, too; the gradient doesn't hang on the partitions."""
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame(many_texts(), schema).cache()
+    start = {t for _, t in language_id.sample(docs, 20)}
+    learned = language_id.labelled(docs).select("lang", "text")
+    seen = learned.where(~F.col("text").isin([t.decode() for t in start]))
+    assert seen.count() > 150
+    first, again = language_id.fit(docs, 20, every=True), language_id.fit(docs.repartition(7), 20, every=True)
+    assert all(np.allclose(first.p[k], again.p[k], atol=1e-4) for k in first.p)
+    one = seen.orderBy("text").first()["text"]
+    other = docs.withColumn("text", F.when(F.col("text") == one, F.lit("~~~~ zzzz " * 30)).otherwise(F.col("text")))
+    net = language_id.fit(other, 20, every=True)  # of the tenth that calibrates, it moves the least probability
+    assert net.least != first.least or any(not np.allclose(net.p[k], first.p[k], atol=1e-4) for k in net.p)
+    kept = language_id.accepted(docs, per_language=20)
+    assert kept.count() >= 0.99 * docs.count()
+
+
+def test_gradient_over_all_rows_is_the_plain_one(spark):
+    net = language_id.ByteNetwork(["de", "en", "fr"])
+    rows = many_texts()[:60]
+    total: dict[str, int] = {}
+    for _, t, x in rows:
+        total[x] = total.get(x, 0) + len(t.encode())
+    want = {k: np.zeros(a.shape) for k, a in net.p.items()}
+    for x in net.languages:
+        parts = [w for _, t, y in rows if x == y for w in language_id.windows(t.encode())]
+        for k, g in net.gradients(language_id.padded(parts), np.full(len(parts), net.languages.index(x))).items():
+            want[k] += g / 3
+    for parts in (1, 5):
+        got = language_id.gradient(net, spark.createDataFrame([(x, t) for _, t, x in rows], "lang string, text string").repartition(parts), total)
+        assert all(np.allclose(got[k], want[k], atol=1e-5) for k in want)
