@@ -95,8 +95,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     What goes is decided on (id, digest) rows. Texts are only joined with the
     few that go or repeat: where Spark finds those small, no text is shuffled,
-    else each once. Repeats of a staying row (same id, equal text) are merged
-    with map-side combining: the longest stays, of those the greatest text.
+    else each once, and only where rows repeat once more for these. Repeats of
+    a staying row (same id, equal text) are merged with map-side combining: the
+    longest stays, of those the greatest text.
     """
     names = docs.columns
     flat = docs.toDF(*(f"c{k}" for k in range(len(names))))
@@ -107,7 +108,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(own_text), F.lit(""))
     marked = flat.withColumn("sha", F.sha2(F.translate(text, WHITE, "").cast("binary"), 256))
     same = marked[own_id].eqNullSafe(F.col("on_id")) & (F.col("sha") == F.col("on_sha"))
-    single = marked.join(special, same, "left_anti").select(*flat.columns)
+    single = marked.join(special.select("on_id", "on_sha"), same, "left_anti").select(*flat.columns)
+    if special.where("kept").isEmpty():  # else Spark would shuffle all texts before it sees that none are asked for
+        return single.toDF(*names)
     repeats = marked.join(special.where("kept"), same, "left_semi")
     one = repeats.groupBy(own_id, "sha").agg(F.max_by(F.struct(*flat.columns), F.struct(F.length(text), text)).alias("row"))
     return single.unionByName(one.select("row.*")).toDF(*names)
