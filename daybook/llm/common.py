@@ -44,11 +44,26 @@ def slices(batches: Iterator, rows: int = 2048) -> Iterator:
             yield b.slice(k, rows)
         del b
     pa.default_memory_pool().release_unused()
+    trimmed()
+
+
+def trimmed() -> None:
+    """Give freed memory back to the system."""
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may not have it
     if trim is not None:
         trim(0)
 
 
+def reused(yes: bool) -> None:
+    """Let this worker keep freed arrays of up to 32 MB, rather than map fresh pages for each; or no longer (the C library's own limits)."""
+    option = getattr(ctypes.CDLL(None), "mallopt", None)
+    if option is not None:
+        option(-3, 1 << (25 if yes else 17))  # M_MMAP_THRESHOLD
+        option(-1, 1 << (28 if yes else 17))  # M_TRIM_THRESHOLD
+    if not yes:
+        trimmed()
+
+
 def bucket_of(*cols: Column | str, buckets: int) -> Column:
     """A stable bucket number from the values of ``cols``."""
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")

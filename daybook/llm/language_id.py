@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import slices
+from daybook.llm.common import reused, slices
 from daybook.llm.quality import held_out
 
 WINDOW, HIDDEN = 128, 8
@@ -295,6 +295,7 @@ def gradient(net: ByteNetwork, rows: DataFrame, total: dict[str, int]) -> dict[s
 
         wait: dict[str, list[bytes]] = {}
         sums = None
+        reused(True)
         for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 wait.setdefault(lang, []).extend(windows(text.encode()))
@@ -304,6 +305,7 @@ def gradient(net: ByteNetwork, rows: DataFrame, total: dict[str, int]) -> dict[s
         for lang, left in wait.items():
             if left:
                 sums = more(sums, lang, left)
+        reused(False)
         if sums is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(sums)], names=["at", "value"])
 
