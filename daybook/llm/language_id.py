@@ -122,10 +122,13 @@ class ByteNetwork:
         q[:, target, np.arange(x.shape[1])] -= 1
         q *= real / max(1, real.sum())
         both = np.concatenate([f[1:], b[1:][::-1]], axis=1)
-        out = {"v": np.einsum("tkb,tlb->kl", both, q, optimize=True), "c": q.sum((0, 2))}
+        some = max(1, WINDOW * BATCH // x.shape[1])  # steps at once, so that they stay in the cache
+        parts = (np.einsum("tkb,tlb->kl", both[k : k + some], q[k : k + some], optimize=True) for k in range(0, len(x), some))
+        out = {"v": sum(parts), "c": q.sum((0, 2))}
         back = np.matmul(self.p["v"], q)
         for side, xs, states, gates, d_out in (("f", x, f, gf, back[:, :n]), ("b", xb, b, gb, back[:, n:][::-1])):
-            u, du, dw = self.p[f"u{side}"], np.zeros_like(self.p[f"u{side}"]), np.zeros((3 * n, 257), self.p[f"w{side}"].dtype)
+            u, du = self.p[f"u{side}"], np.zeros_like(self.p[f"u{side}"])
+            dw = np.zeros((3 * n, 257), u.dtype.type)  # the type: np.add.at is some 15 times slower with a dtype that was unpickled, as in tasks
             z, r, c, hu = (gates[:, k * n : (k + 1) * n] for k in range(4))
             dh, da = np.zeros(states.shape[1:], np.float32), np.empty((3 * n, len(xs), x.shape[1]), np.float32)
             ds, t, both_in = np.empty((3 * n, x.shape[1]), np.float32), np.empty_like(dh), np.empty((2 * n, x.shape[1]), bool)
