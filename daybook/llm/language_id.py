@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import reused, slices
+from daybook.llm.common import reused, slices, trimmed
 from daybook.llm.quality import held_out
 
 WINDOW, HIDDEN = 128, 8
@@ -264,6 +264,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, every: bool = False)
     checked = (slot < ROUNDS) & F.col("lang").isin(*learned)  # a language without other texts is learned from these
     rest = {k: sum(r["n"] for r in sizes if r["lang"] == k and (r["slot"] >= ROUNDS or k not in learned)) for k in counts}
     learn(net, chosen(named.where(~checked), rest, per_language))
+    trimmed()  # the driver goes on, through all stages to come
     for k in range(ROUNDS):
         total: dict[str, int] = {}
         for r in sizes:

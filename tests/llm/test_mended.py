@@ -171,3 +171,12 @@ def test_gradients_cost_a_task_no_more_than_the_driver():
     assert there < 2 * here
     own, other = net.gradients(x, y), sent.gradients(x, y)
     assert all(np.array_equal(own[k], other[k]) for k in own)
+
+
+def test_the_driver_gives_the_memory_of_the_sample_back(spark, monkeypatch):
+    done, learn = [], language_id.learn
+    monkeypatch.setattr(language_id, "learn", lambda net, rows: done.append("learn") or learn(net, rows))
+    monkeypatch.setattr(language_id, "trimmed", lambda: done.append("trimmed"))
+    docs = spark.createDataFrame(many_texts(), "doc_id long, text string, lang string")
+    language_id.fit(docs, 20, every=True)
+    assert done == ["learn", "trimmed"]
