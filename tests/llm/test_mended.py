@@ -1,14 +1,17 @@
 """Cases that reviews found: marked boxes on pages without an article, broken markup, names that clash, whole training texts."""
 
+import math
 import pickle
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.llm import chat_format, exact_dedup, html_extract, language_id, mixing, quality
+from daybook.llm import chat_format, exact_dedup, html_extract, language_id, mixing, pq_dedup, quality
 from daybook.llm.common import components
+from daybook.session import checkpoint_dir
 from tests.llm.helpers import SCHEMA, messy
 
 PARAGRAPHS = "".join(f"<p>Paragraph {k} says something of some length about the matter at hand.</p>" for k in range(6))
@@ -180,3 +183,70 @@ def test_the_driver_gives_the_memory_of_the_sample_back(spark, monkeypatch):
     docs = spark.createDataFrame(many_texts(), "doc_id long, text string, lang string")
     language_id.fit(docs, 20, every=True)
     assert done == ["learn", "trimmed"]
+
+
+def embedding_links(x, label, cosine=0.93):
+    """Links of each row and the smallest row reachable by links, all pairs compared."""
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = (u @ u.T >= cosine) & (label[:, None] == label[None, :])
+    low = np.arange(len(x))
+    while True:
+        new = np.where(link, low[None, :], len(x)).min(1)
+        if (new == low).all():
+            return link.sum(1) - 1, low
+        low = new
+
+
+def embedded(spark, x, label, kind):
+    return spark.createDataFrame([(k, v.tolist(), int(c)) for k, (v, c) in enumerate(zip(x, label, strict=True))], f"vec_id long, embedding array<{kind}>, label int")
+
+
+def links_of(out):
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out.collect()}
+    return [[got[k][i] for k in sorted(got)] for i in (0, 1)]
+
+
+def test_embeddings_are_not_written_for_each_list_they_query(spark, monkeypatch):
+    """Spread vectors query most lists: a copy for each once took more memory than an executor has."""
+    monkeypatch.setattr(pq_dedup, "LIST_SIZE", 10)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 32))
+    x[100:160] = x[100] + rng.normal(scale=0.1, size=(60, 32))
+    x, label = x.astype(np.float32).astype(float), np.ones(2000, int)
+    there = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(there.iterdir())
+    n, low = links_of(pq_dedup.near_duplicates(embedded(spark, x, label, "float")))
+    written = sum(f.stat().st_size for d in set(there.iterdir()) - before for f in d.rglob("*.parquet"))
+    assert written < 6 * x.size * 4
+    want, lowest = embedding_links(x, label)
+    assert n == want.tolist() and low == lowest.tolist() and want.sum() > 3000
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embeddings_of_a_label_in_several_blocks(spark, monkeypatch, kind):
+    monkeypatch.setattr(pq_dedup, "BLOCK_BYTES", 8192)
+    monkeypatch.setattr(pq_dedup, "LIST_SIZE", 20)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.repeat(rng.normal(size=(60, 16)), 10, axis=0) + rng.normal(scale=0.12, size=(600, 16)), rng.normal(size=16) + rng.normal(scale=0.05, size=(500, 16)), rng.normal(size=(100, 16))])
+    x = x.astype(np.float32).astype(float)[rng.permutation(len(x))]
+    x[-40:] = x[:40]  # equal vectors
+    label = rng.choice(3, len(x), p=[0.8, 0.15, 0.05])
+    label[-40:] = label[:40]
+    n, low = links_of(pq_dedup.near_duplicates(embedded(spark, x, label, kind), max_train=300))
+    want, lowest = embedding_links(x, label)
+    assert n == want.tolist() and low == lowest.tolist() and want.max() > 300
+
+
+def test_embeddings_on_the_border_are_told_in_double_precision(spark):
+    """Cosines of 0.93 less or more than single precision can tell, on which one group's many pairs and single pairs depend."""
+    rng = np.random.default_rng(6)
+    axes = np.linalg.qr(rng.normal(size=(24, 24)))[0]
+    x, label = [], []
+    for k in range(12):
+        for c, off in ((axes[0], 1e-9), (axes[1], -1e-9)):
+            at = 0.93 + off
+            x += [c * (k + 1), (at * c + math.sqrt(1 - at * at) * axes[2 + k]) * 3]
+            label += [k, k]
+    x, label = np.array(x), np.array(label)
+    n, _ = links_of(pq_dedup.near_duplicates(embedded(spark, x, label, "double")))
+    assert n == [1, 1, 0, 0] * 12
