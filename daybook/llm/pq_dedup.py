@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -97,13 +98,18 @@ class Quantiser:
         # each of the products summed is off by half a unit at most
         return codes, np.clip(np.floor(cut * self.scale - (len(self.books) + 1) / 2), -32_768, 32_767).astype(np.int16)
 
+    @cached_property
+    def between(self) -> np.ndarray:
+        """Distances of the centroids, 1 of each to itself."""
+        d = np.sqrt(nearest(self.coarse, self.coarse)[0])
+        np.fill_diagonal(d, 1.0)
+        return d
+
     def probes(self, x: np.ndarray, radius: float) -> np.ndarray:
         """For each row and list whether it can hold a neighbour within ``radius``; the own list always can."""
         d, own = nearest(x, self.coarse)
-        between = np.sqrt(nearest(self.coarse, self.coarse)[0])
-        np.fill_diagonal(between, 1.0)
         # distance of x to the plane between its own centroid and another one
-        plane = (d - d[np.arange(len(x)), own][:, None]) / (2 * np.maximum(between[own], 1e-12))
+        plane = (d - d[np.arange(len(x)), own][:, None]) / (2 * np.maximum(self.between[own], 1e-12))
         return plane <= radius + SLACK
 
     def tables(self, x: np.ndarray) -> list[np.ndarray]:
@@ -255,13 +261,13 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
             count = lambda yes: np.concatenate([[0], np.cumsum(yes)])[at]
             bad, some = np.diff(count(~np.isfinite(flat))), np.diff(count(flat != 0))
             good = (bad == 0) & (some > 0) & given.is_valid().to_numpy(zero_copy_only=False)
-            data = [flat[at[k] : at[k + 1]].tobytes() if good[k] and l is not None else None for k, l in enumerate(labels)]
+            data = [flat[at[k] : at[k + 1]].tobytes() if good[k] and name is not None else None for k, name in enumerate(labels)]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("vec_id"),
-                    pa.array([None if d is None else l for l, d in zip(labels, data, strict=True)], pa.string()),
+                    pa.array([None if d is None else name for name, d in zip(labels, data, strict=True)], pa.string()),
                     pa.array([None if d is None else len(d) // flat.itemsize for d in data], pa.int32()),
-                    pa.array([None if d is None else hashlib.blake2b(f"{len(l)}|{l}|".encode() + d, digest_size=16).digest() for l, d in zip(labels, data, strict=True)], pa.binary()),
+                    pa.array([None if d is None else hashlib.blake2b(f"{len(name)}|{name}|".encode() + d, digest_size=16).digest() for name, d in zip(labels, data, strict=True)], pa.binary()),
                     pa.array(data, pa.binary()),
                 ],
                 ["vec_id", "label", "dim", "cid", "vector"],
@@ -323,7 +329,7 @@ class Layout:
         self.k, self.sizes, self.total = k, sizes, int(sizes.sum())
         self.start = np.cumsum(sizes) - sizes
         low, high = self.at(self.start), self.at(self.start + sizes)
-        self.holds = (np.arange(k) >= low[:, None]) & (np.arange(k) <= high[:, None]) & (sizes > 0)[:, None]
+        self.holds = (np.arange(k) >= low[:, None]) & (np.arange(k) <= high[:, None])  # an empty list's place too: a tie may fall to it in another batch
 
     def at(self, place: np.ndarray) -> np.ndarray:
         return np.minimum(place * self.k / self.total, self.k - 1).astype(np.int64)

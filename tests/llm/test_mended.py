@@ -250,3 +250,12 @@ def test_embeddings_on_the_border_are_told_in_double_precision(spark):
     x, label = np.array(x), np.array(label)
     n, _ = links_of(pq_dedup.near_duplicates(embedded(spark, x, label, "double")))
     assert n == [1, 1, 0, 0] * 12
+
+
+def test_each_list_is_held_by_the_blocks_of_its_classes():
+    sizes = np.array([0, 5, 0, 0, 100, 3, 0])
+    layout = pq_dedup.Layout(4, sizes)
+    for k in range(len(sizes)):
+        blocks = layout.block(np.full(300, k), np.arange(300) << 33)
+        assert layout.holds[k, blocks].all()
+    assert set(layout.block(np.full(300, 4), np.arange(300))) == {0, 1, 2, 3}
